@@ -41,3 +41,9 @@ def to_millis(us: Column) -> Column:
 def text_time(us: Column) -> Column:
     """``2017-11-26 09:05:00.0``: seconds with one fractional digit."""
     return F.date_format(F.timestamp_micros(us), "yyyy-MM-dd HH:mm:ss.S")
+
+
+def where_watermarked(df: DataFrame, condition: Column, ts: str = "ts") -> DataFrame:
+    """A filter behind the watermark. A plain ``where`` would be pushed in front
+    of it, and then rows of no interest could not move the time forward."""
+    return df.where(F.when(F.col(ts).isNotNull(), condition))

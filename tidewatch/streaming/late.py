@@ -1,0 +1,58 @@
+"""Splits late rows from a stream instead of dropping them."""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..functions.event_time import SECOND, micros, watermarked
+from ..operators.late import last_window_end
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Key values only spread the rows; nothing is kept per key.
+SPREAD = 1024
+
+
+class LateTagger(StatefulProcessor):
+    def __init__(self, columns: list[str]) -> None:
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        for chunk in rows:
+            kind = (chunk["_closes"] <= now).map({True: "late", False: "on_time"})
+            yield chunk.assign(kind=kind)[self.columns + ["kind"]]
+
+    def close(self) -> None:
+        pass
+
+
+def tag_late(
+    df: DataFrame, size_s: int = 600, slide_s: int = 10, delay_s: int = 1, lateness_s: int = 60, ts: str = "ts"
+) -> DataFrame:
+    """Adds ``kind`` (``on_time`` or ``late``) by the watermark of the micro-batch.
+    The watermark is defined here, but the tagged copy of the time no longer
+    carries it, so that Spark keeps the late rows."""
+    closes = last_window_end(micros(ts), size_s, slide_s) - 1000 + lateness_s * SECOND
+    plain = watermarked(df, delay_s, ts).select(
+        *[F.timestamp_micros(micros(ts)).alias(ts) if c == ts else F.col(c) for c in df.columns],
+        closes.alias("_closes"),
+        F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).alias("_spread"),
+    )
+    output = StructType(list(df.schema) + [StructField("kind", StringType())])
+    return plain.groupBy("_spread").transformWithStateInPandas(
+        statefulProcessor=LateTagger(df.columns), outputStructType=output,
+        outputMode="append", timeMode="EventTime",
+    )

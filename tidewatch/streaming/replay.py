@@ -1,0 +1,123 @@
+"""Keyed event logic on streams, in event order.
+
+Rows of a micro-batch have no order, and out-of-order rows may come in later
+batches. The processor therefore keeps rows until the watermark has passed
+them, then hands them in (time, arrival) order to the rules of an operator.
+State per key: the rows newer than the watermark and the few rows the rules
+hold on to. Limit the rows per trigger at the source to bound a batch.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import Any
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
+
+# Ship this module inside the tasks; executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+Row = tuple
+Held = list[Row]
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What an operator does with the ordered rows of one key.
+
+    Rows are tuples ``(us, seq, ...)``. ``deadline`` is the last time at which a
+    held row can still matter. ``on_row`` gets the held rows and the next row
+    and returns the rows held from then on with the results; ``on_expiry`` gives
+    the results for a held row whose deadline has passed."""
+
+    deadline: Callable[[Row], int]
+    on_row: Callable[[Held, Row], tuple[Held, list[tuple]]]
+    on_expiry: Callable[[Row], list[tuple]] = lambda row: []
+
+
+class InEventOrder(StatefulProcessor):
+    def __init__(self, rules: Rules, row_schema: StructType, output: list[str]) -> None:
+        self.rules, self.row_schema, self.output = rules, row_schema, output
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.row_schema)
+        self.held = handle.getListState("held", self.row_schema)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest = None
+        for chunk in rows:
+            chunk = chunk[self.row_schema.names]
+            self.waiting.appendList([_plain(row) for row in chunk.itertuples(index=False, name=None)])
+            top = int(chunk["us"].max())
+            newest = top if newest is None else max(newest, top)
+        self.handle.registerTimer(_timer(newest))
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = list(self.waiting.get())
+        ready = sorted((tuple(r) for r in waiting if r[0] <= now), key=lambda r: r[:2])
+        before = [tuple(r) for r in self.held.get()]
+        held, results = before, []
+        for row in ready:
+            held, passed = self._drop_expired(held, lambda d: d < row[0])
+            results += passed
+            held, found = self.rules.on_row(held, row)
+            results += found
+        held, passed = self._drop_expired(held, lambda d: d <= now)
+        results += passed
+        if ready:
+            _replace(self.waiting, [tuple(r) for r in waiting if r[0] > now])
+        if held != before:
+            _replace(self.held, held)
+            for row in held:
+                self.handle.registerTimer(_timer(self.rules.deadline(row)))
+        if results:
+            yield pd.DataFrame([(*key, *r) for r in results], columns=self.output, dtype=object)
+
+    def _drop_expired(self, held: Held, gone: Callable[[int], bool]) -> tuple[Held, list[tuple]]:
+        kept, results = [], []
+        for row in held:
+            if gone(self.rules.deadline(row)):
+                results += self.rules.on_expiry(row)
+            else:
+                kept.append(row)
+        return kept, results
+
+    def close(self) -> None:
+        pass
+
+
+def replay(df: DataFrame, key: str, rules: Rules, output: StructType) -> DataFrame:
+    """``df``: a watermarked stream with ``key``, the event time ``ts`` and the row
+    columns starting with ``us`` and ``seq``."""
+    row_schema = StructType([f for f in df.schema if f.name not in (key, "ts")])
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=InEventOrder(rules, row_schema, output.names),
+        outputStructType=output,
+        outputMode="append",
+        timeMode="EventTime",
+    )
+
+
+def _plain(row: tuple) -> tuple:
+    # Pandas marks absent values with NaN or NaT; state wants None.
+    return tuple(None if pd.api.types.is_scalar(v) and pd.isna(v) else v for v in row)
+
+
+def _timer(us: int) -> int:
+    return -(-us // 1000)
+
+
+def _replace(state, rows: list[tuple]) -> None:
+    if rows:
+        state.put(rows)
+    else:
+        state.clear()

@@ -70,8 +70,9 @@ def cap_clicks(
 ) -> DataFrame:
     """As the batch form. The count starts again at UTC midnight: of the event
     time, or of the clock with ``by_event_day=False``."""
-    columns = clicks.columns
-    output = StructType(list(clicks.schema) + [StructField("kind", StringType())])
+    kept = [field for field in clicks.schema if field.name != "kind"]
+    columns = [field.name for field in kept]
+    output = StructType(kept + [StructField("kind", StringType())])
     return (
         clicks.withColumn("us", micros()).withColumn("seq", F.col(seq))
         .groupBy(*keys)

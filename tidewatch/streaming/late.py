@@ -32,7 +32,7 @@ class LateTagger(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         for chunk in rows:
-            kind = (chunk["_closes"] <= now).map({True: "late", False: "on_time"})
+            kind = (chunk["closes_at"] <= now).map({True: "late", False: "on_time"})
             yield chunk.assign(kind=kind)[self.columns + ["kind"]]
 
     def close(self) -> None:
@@ -48,11 +48,12 @@ def tag_late(
     closes = last_window_end(micros(ts), size_s, slide_s) - 1000 + lateness_s * SECOND
     plain = watermarked(df, delay_s, ts).select(
         *[F.timestamp_micros(micros(ts)).alias(ts) if c == ts else F.col(c) for c in df.columns],
-        closes.alias("_closes"),
-        F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).alias("_spread"),
+        closes.alias("closes_at"),
+        F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).alias("spread_over"),
     )
-    output = StructType(list(df.schema) + [StructField("kind", StringType())])
-    return plain.groupBy("_spread").transformWithStateInPandas(
-        statefulProcessor=LateTagger(df.columns), outputStructType=output,
+    kept = [field for field in df.schema if field.name != "kind"]
+    output = StructType(kept + [StructField("kind", StringType())])
+    return plain.groupBy("spread_over").transformWithStateInPandas(
+        statefulProcessor=LateTagger([field.name for field in kept]), outputStructType=output,
         outputMode="append", timeMode="EventTime",
     )

@@ -51,13 +51,13 @@ class InEventOrder(StatefulProcessor):
         self.held = handle.getListState("held", self.row_schema)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = None
+        oldest = None
         for chunk in rows:
             chunk = chunk[self.row_schema.names]
             self.waiting.appendList([_plain(row) for row in chunk.itertuples(index=False, name=None)])
-            top = int(chunk["us"].max())
-            newest = top if newest is None else max(newest, top)
-        self.handle.registerTimer(_timer(newest))
+            low = int(chunk["us"].min())
+            oldest = low if oldest is None else min(oldest, low)
+        self.handle.registerTimer(_timer(oldest))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -74,7 +74,10 @@ class InEventOrder(StatefulProcessor):
         held, passed = self._drop_expired(held, lambda d: d <= now)
         results += passed
         if ready:
-            _replace(self.waiting, [tuple(r) for r in waiting if r[0] > now])
+            later = [tuple(r) for r in waiting if r[0] > now]
+            _replace(self.waiting, later)
+            if later:
+                self.handle.registerTimer(_timer(min(r[0] for r in later)))
         if held != before:
             _replace(self.held, held)
             for row in held:

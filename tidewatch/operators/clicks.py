@@ -24,7 +24,7 @@ def cap_clicks(
 
     The rank filter becomes a group limit in front of the shuffle: a task sends
     at most ``limit + 2`` rows per key and day, however hot the key is (Spark
-    does so for limits up to spark.sql.optimizer.windowGroupLimitThreshold).
+    does so for limits below spark.sql.optimizer.windowGroupLimitThreshold).
     """
     allowed = limit + 1 if strict else limit
     day = floor_to(micros(ts), DAY)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.event_time import SECOND, floor_to, micros
 
@@ -24,8 +25,10 @@ def is_late(us: Column, watermark_us: Column, size_s: int, slide_s: int, latenes
 
 def tag_late(
     df: DataFrame,
-    block: Column,
+    place: Column,
     arrival: list[str],
+    fine: int,
+    coarse: int,
     size_s: int = 600,
     slide_s: int = 10,
     delay_s: int = 1,
@@ -34,22 +37,33 @@ def tag_late(
 ) -> DataFrame:
     """Adds ``kind`` (``on_time`` or ``late``) against the watermark that stood
     when the row arrived: the largest event time of the rows before it, less
-    ``delay_s``. ``block`` cuts the arrival order into consecutive blocks. The
-    running maximum is taken inside blocks; of whole blocks only one number
-    each is carried forward, so no task sees all rows. Choose blocks of some
-    million rows."""
-    rows = df.withColumn("_block", block).withColumn("_us", micros(ts))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per block: small enough for the one task that accumulates them.
-    heights = rows.groupBy("_block").agg(F.max("_us").alias("_top"))
-    carried = heights.select("_block", F.max("_top").over(before).alias("_carried"))
-    inside = Window.partitionBy("_block").orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1)
+    ``delay_s``. ``place`` is the integer place of a row in the arrival order (a
+    time or an offset), ``arrival`` the full order.
+
+    The running maximum over all rows is taken in three levels: inside blocks of
+    ``fine`` places, over the blocks inside ``coarse`` places, and over those.
+    Each level hands one number per block to the next, so only as many rows
+    meet in the last task as there are coarse blocks."""
+    rows = df.withColumns({"_fine": floor_to(place, fine), "_us": micros(ts)})
+    blocks = rows.groupBy("_fine").agg(F.max("_us").alias("top")).withColumn(
+        "_coarse", floor_to(F.col("_fine"), coarse)
+    )
+    spans = blocks.groupBy("_coarse").agg(F.max("top").alias("span_top")).select(
+        "_coarse", F.max("span_top").over(_before("_coarse")).alias("span_seen")
+    )
+    carried = blocks.withColumn("block_seen", F.max("top").over(_before("_fine", "_coarse"))).join(
+        spans, "_coarse"
+    ).select("_fine", F.greatest("block_seen", "span_seen").alias("_carried"))
+    inside = Window.partitionBy("_fine").orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1)
     seen = F.greatest(F.max("_us").over(inside), F.col("_carried"))
+    late = is_late(F.col("_us"), seen - delay_s * SECOND, size_s, slide_s, lateness_s)
     return (
-        rows.join(carried, "_block")
-        .withColumn("_watermark", seen - delay_s * SECOND)
-        .withColumn("kind", F.when(
-            is_late(F.col("_us"), F.col("_watermark"), size_s, slide_s, lateness_s), LATE
-        ).otherwise(ON_TIME))
-        .drop("_block", "_us", "_watermark", "_carried")
+        rows.join(carried, "_fine")
+        .withColumn("kind", F.when(late, LATE).otherwise(ON_TIME))
+        .drop("_fine", "_us", "_carried")
     )
+
+
+def _before(order: str, *parts: str) -> WindowSpec:
+    spec = Window.partitionBy(*parts) if parts else Window.partitionBy()
+    return spec.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -41,15 +41,15 @@ def order_results(
     rows = logs.where(F.col(kind).isin(create, pay)).select(
         key, (F.col(kind) == create).alias("opens"), F.col(arrival).alias("_seq"), micros(ts).alias("us")
     )
-    both = with_neighbours(rows, [key], ["us", "_seq"], F.struct("opens", "us"), slice_s * SECOND)
-    waited = F.col("us") - F.col("prev.us")
+    both = with_neighbours(rows, [key], ["us", "_seq"], ["opens", "us"], slice_s * SECOND)
+    waited = F.col("us") - F.col("prev_us")
     kept = within + grace_s * SECOND if grace_s is not None else None
-    still_open = F.coalesce(F.col("prev.opens"), F.lit(False))
-    paid_later = F.col("next").isNotNull() & ~F.col("next.opens")
+    still_open = F.coalesce(F.col("prev_opens"), F.lit(False))
+    paid_later = F.col("next_us").isNotNull() & ~F.col("next_opens")
     if kept is not None:
         still_open = still_open & (waited < kept)
-        paid_later = paid_later & (F.col("next.us") - F.col("us") < kept)
-    renewed = F.coalesce(F.col("next.opens") & (F.col("next.us") - F.col("us") < within), F.lit(False))
+        paid_later = paid_later & (F.col("next_us") - F.col("us") < kept)
+    renewed = F.coalesce(F.col("next_opens") & (F.col("next_us") - F.col("us") < within), F.lit(False))
     result = F.when(
         F.col("opens"), F.when(~paid_later & ~renewed, TIMED_OUT)
     ).otherwise(

@@ -57,12 +57,13 @@ def match_one_to_one(
 
     part = Window.partitionBy(key, "slice").orderBy(*IN_ORDER)
     so_far = part.rowsBetween(Window.unboundedPreceding, 0)
-    this = F.struct(*IN_ORDER)
     placed = (
-        sliced.withColumn("prev", F.lag(this).over(part))
-        .withColumn("next", F.lead(this).over(part))
-        .withColumn("nth", F.sum(F.col("home").cast("bigint")).over(so_far))
-        .withColumn("start", _cannot_match(F.col("prev"), this, waits))
+        sliced.withColumns({
+            **{f"prev_{c}": F.lag(c).over(part) for c in IN_ORDER},
+            **{f"next_{c}": F.lead(c).over(part) for c in IN_ORDER[:2]},
+            "nth": F.sum(F.col("home").cast("bigint")).over(so_far),
+        })
+        .withColumn("start", _cannot_match("prev_", "", waits))
         .withColumn("start_nth", F.max(F.when(F.col("home") & F.col("start"), F.col("nth"))).over(so_far))
         .where("home")
     )
@@ -79,10 +80,10 @@ def match_one_to_one(
     joined = placed.join(carried, [key, "slice"])
     start_at = F.coalesce(F.col("base") + F.col("start_nth"), F.col("carried_start"))
     odd = (F.col("base") + F.col("nth") - start_at) % 2 == 1
-    taken = ~odd & ~_cannot_match(this, F.col("next"), waits)
+    taken = ~odd & ~_cannot_match("", "next_", waits)
     # An odd row closes a pair with the row before it; the ids it lacks are there.
     is_pay = ~F.col("is_receipt")
-    before = F.when(odd, F.col("prev"))
+    before = {c: F.when(odd, F.col(f"prev_{c}")) for c in IN_ORDER}
     kind = F.when(odd, MATCHED).when(is_pay, UNMATCHED_PAY).otherwise(UNMATCHED_RECEIPT)
     return joined.where(~taken).select(
         key,
@@ -94,9 +95,11 @@ def match_one_to_one(
     )
 
 
-def _cannot_match(earlier: Column, later: Column, waits: tuple[int, int]) -> Column:
-    wait = F.when(earlier["is_receipt"], F.lit(waits[1])).otherwise(F.lit(waits[0]))
-    cannot = (earlier["is_receipt"] == later["is_receipt"]) | (later["us"] - earlier["us"] > wait)
+def _cannot_match(earlier: str, later: str, waits: tuple[int, int]) -> Column:
+    """By the columns ``us`` and ``is_receipt`` under two prefixes."""
+    side, other = F.col(f"{earlier}is_receipt"), F.col(f"{later}is_receipt")
+    wait = F.when(side, F.lit(waits[1])).otherwise(F.lit(waits[0]))
+    cannot = (side == other) | (F.col(f"{later}us") - F.col(f"{earlier}us") > wait)
     return F.coalesce(cannot, F.lit(True))
 
 

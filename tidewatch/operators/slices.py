@@ -7,7 +7,7 @@ tasks as it has slices, and put the seams right.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,24 +37,25 @@ def with_margins(df: DataFrame, width: int, before: int = 0, after: int = 0, us:
 
 
 def with_neighbours(
-    df: DataFrame, keys: list[str], order: list[str], row: Column, width: int, us: str = "us"
+    df: DataFrame, keys: list[str], order: list[str], columns: list[str], width: int, us: str = "us"
 ) -> DataFrame:
-    """Adds ``prev`` and ``next``: the struct ``row`` of the neighbouring rows of
-    the same key, at any distance in time. Inside a slice they are found next
-    to each other; only the first and last row of each slice, at most two per
-    slice, meet again in one task per key to find their neighbours there."""
+    """Adds ``prev_<column>`` and ``next_<column>`` for the neighbouring rows of the
+    same key, at any distance in time. Inside a slice they are found next to
+    each other; only the first and last row of each slice, at most two per
+    slice, meet again in one task per key to find their neighbours there. Both
+    steps read the same shuffle of the input."""
     near = Window.partitionBy(*keys, "slice").orderBy(*order)
     far = Window.partitionBy(*keys).orderBy(*order)
-    local = (
-        df.withColumn("slice", F.expr(f"({us} - pmod({us}, {width}L)) div {width}L"))
-        .withColumn("_row", row)
-        .withColumn("prev", F.lag("_row").over(near))
-        .withColumn("next", F.lead("_row").over(near))
-    )
-    inner = F.col("prev").isNotNull() & F.col("next").isNotNull()
-    edges = local.where(~inner).select(
-        *[c for c in local.columns if c not in ("prev", "next")],
-        F.coalesce("prev", F.lag("_row").over(far)).alias("prev"),
-        F.coalesce("next", F.lead("_row").over(far)).alias("next"),
-    )
-    return local.where(inner).unionByName(edges).drop("slice", "_row")
+    sliced = df.withColumn("slice", F.expr(f"({us} - pmod({us}, {width}L)) div {width}L"))
+    local = sliced.withColumns({
+        **{f"prev_{c}": F.lag(c).over(near) for c in columns},
+        **{f"next_{c}": F.lead(c).over(near) for c in columns},
+        "_first": F.lag(us).over(near).isNull(),
+        "_last": F.lead(us).over(near).isNull(),
+    })
+    inner = ~F.col("_first") & ~F.col("_last")
+    edges = local.where(~inner).withColumns({
+        **{f"prev_{c}": F.when(F.col("_first"), F.lag(c).over(far)).otherwise(F.col(f"prev_{c}")) for c in columns},
+        **{f"next_{c}": F.when(F.col("_last"), F.lead(c).over(far)).otherwise(F.col(f"next_{c}")) for c in columns},
+    })
+    return local.where(inner).unionByName(edges).drop("slice", "_first", "_last")

@@ -13,23 +13,30 @@ from ..operators.sequences import followed_within, repeated_failures
 from ..operators.windows import distinct_per_window, sliding_counts, tumbling_counts, with_window_texts
 
 HOUR_S, FIVE_MINUTES_S = 3600, 300
+# What the inputs call a page view and a removed app.
+VIEW, REMOVED = "pv", "UNINSTALL"
 
 
-def item_views(behaviors: DataFrame, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S) -> DataFrame:
-    views = behaviors.where(is_behavior("pv"))
-    return sliding_counts(views, ["item_id"], size_s, slide_s)
+def item_views(
+    behaviors: DataFrame, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S, view: str = VIEW
+) -> DataFrame:
+    return sliding_counts(behaviors.where(is_behavior(view)), ["item_id"], size_s, slide_s)
 
 
-def hot_items(behaviors: DataFrame, k: int = 3, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S) -> DataFrame:
-    return top_per_window(item_views(behaviors, size_s, slide_s), "item_id", k)
+def hot_items(
+    behaviors: DataFrame, k: int = 3, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S, view: str = VIEW
+) -> DataFrame:
+    return top_per_window(item_views(behaviors, size_s, slide_s, view), "item_id", k)
 
 
-def page_views(behaviors: DataFrame, size_s: int = HOUR_S) -> DataFrame:
-    return tumbling_counts(behaviors.where(is_behavior("pv")), [], size_s)
+def page_views(behaviors: DataFrame, size_s: int = HOUR_S, view: str = VIEW) -> DataFrame:
+    return tumbling_counts(behaviors.where(is_behavior(view)), [], size_s)
 
 
-def unique_visitors(behaviors: DataFrame, size_s: int = HOUR_S, approximate: bool = False) -> DataFrame:
-    return distinct_per_window(behaviors.where(is_behavior("pv")), "user_id", size_s, approximate=approximate)
+def unique_visitors(
+    behaviors: DataFrame, size_s: int = HOUR_S, view: str = VIEW, approximate: bool = False
+) -> DataFrame:
+    return distinct_per_window(behaviors.where(is_behavior(view)), "user_id", size_s, approximate=approximate)
 
 
 def page_hits(log: DataFrame, size_s: int = 600, slide_s: int = 10) -> DataFrame:
@@ -40,9 +47,11 @@ def hot_pages(log: DataFrame, k: int = 5, size_s: int = 600, slide_s: int = 10)
     return top_per_window(page_hits(log, size_s, slide_s), "url", k)
 
 
-def channel_counts(behaviors: DataFrame, size_s: int = HOUR_S, slide_s: int = 5) -> DataFrame:
+def channel_counts(
+    behaviors: DataFrame, size_s: int = HOUR_S, slide_s: int = 5, removed: str = REMOVED
+) -> DataFrame:
     """``window_start, window_end`` (texts), ``channel, behavior, cnt``"""
-    kept = behaviors.where(is_not_behavior("UNINSTALL"))
+    kept = behaviors.where(is_not_behavior(removed))
     return with_window_texts(sliding_counts(kept, ["channel", "behavior"], size_s, slide_s), size_s)
 
 

@@ -13,12 +13,9 @@ EVENTS = """ev AS (
          CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k
   FROM events)"""
 BEHAVIORS = """beh AS (
-  SELECT *, k AS item_id, CAST(k % 5 AS INTEGER) AS category_id,
-         CASE event_type WHEN 'view' THEN 'pv' ELSE event_type END AS behavior FROM ev)"""
+  SELECT *, k AS item_id, CAST(k % 5 AS INTEGER) AS category_id, event_type AS behavior FROM ev)"""
 MARKET = """mkt AS (
-  SELECT *, CASE event_type WHEN 'view' THEN 'CLICK' WHEN 'click' THEN 'CLICK' WHEN 'purchase' THEN 'DOWNLOAD'
-              WHEN 'signup' THEN 'INSTALL' WHEN 'error' THEN 'UNINSTALL' END AS behavior,
-         'store' || (k % 5) AS channel FROM ev)"""
+  SELECT *, event_type AS behavior, 'store' || (k % 5) AS channel FROM ev)"""
 LOG = """weblog AS (
   SELECT '10.0.0.' || k AS ip, CAST(user_id AS VARCHAR) AS user_id, us // 1000000 * 1000000 AS us,
          CASE event_type WHEN 'purchase' THEN 'POST' ELSE 'GET' END AS method,
@@ -65,9 +62,9 @@ def _report(subject: str, rule: str, label: str, count_label: str) -> str:
 FROM ranked GROUP BY window_end"""
 
 
-PV = "behavior = 'pv'"
+PV = "behavior = 'view'"
 PAGES = "NOT regexp_matches(url, '\\.(css|js)$')"
-KEPT = "behavior <> 'UNINSTALL'"
+KEPT = "behavior <> 'error'"
 # What the watermark of the streams has reached after all rows, in microseconds.
 REACHED = "(SELECT max(us) // 1000 * 1000 FROM ev)"
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.event_time import DAY, floor_to, watermarked, where_watermarked
+from ..functions.event_time import DAY, MINUTE, watermarked, where_watermarked
 from ..functions.filters import has_transaction, is_behavior, is_not_behavior, is_page
 from ..functions.reports import item_report, page_report
 from ..operators.clicks import cap_clicks
@@ -27,6 +27,8 @@ HOUR_S, DAY_S = 3600, 86_400
 CLICK_LIMIT = 2
 WAITS = {"pay_waits_s": 5 * HOUR_S, "receipt_waits_s": 3 * HOUR_S}
 NEAR = {"receipt_before_s": 3 * HOUR_S, "receipt_after_s": 5 * HOUR_S}
+SEQUENCE = {"first": tables.CREATE, "then": tables.PAY}
+ORDER = {"create": tables.CREATE, "pay": tables.PAY}
 IDS = {"pay_id": "arrival", "receipt_id": "arrival"}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,7 +50,8 @@ def query(on: Callable[[SparkSession, str], DataFrame] = tables.events):
 
 def prepare(spark: SparkSession) -> None:
     """Settings the results depend on, for sessions built elsewhere."""
-    for name in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+    for name in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass",
+                 "spark.sql.optimizer.windowGroupLimitThreshold"):
         spark.conf.set(name, SETTINGS[name])
 
 
@@ -88,12 +91,12 @@ def page_rows(events):
 
 @query()
 def view_rows(events):
-    return tables.behaviors(events).where(is_behavior("pv")).select("arrival", "user_id", "item_id")
+    return tables.behaviors(events).where(is_behavior(tables.VIEW)).select("arrival", "user_id", "item_id")
 
 
 @query()
 def kept_market_rows(events):
-    kept = tables.market_behaviors(events).where(is_not_behavior("UNINSTALL"))
+    kept = tables.market_behaviors(events).where(is_not_behavior(tables.REMOVED))
     return kept.select("user_id", "behavior", "channel", F.unix_millis("ts").alias("time_ms"))
 
 
@@ -106,27 +109,27 @@ def paid_order_rows(events):
 
 @query()
 def item_views(events):
-    return jobs.item_views(tables.behaviors(events))
+    return jobs.item_views(tables.behaviors(events), view=tables.VIEW)
 
 
 @query()
 def hot_items(events):
-    return jobs.hot_items(tables.behaviors(events))
+    return jobs.hot_items(tables.behaviors(events), view=tables.VIEW)
 
 
 @query()
 def hot_items_report(events):
-    return item_report(jobs.hot_items(tables.behaviors(events)))
+    return item_report(jobs.hot_items(tables.behaviors(events), view=tables.VIEW))
 
 
 @query()
 def page_views(events):
-    return jobs.page_views(tables.behaviors(events))
+    return jobs.page_views(tables.behaviors(events), view=tables.VIEW)
 
 
 @query()
 def unique_visitors(events):
-    return jobs.unique_visitors(tables.behaviors(events))
+    return jobs.unique_visitors(tables.behaviors(events), view=tables.VIEW)
 
 
 @query()
@@ -142,13 +145,14 @@ def hot_pages_report(events):
 @query()
 def channel_counts(events):
     """Every window of one hour, one per five minutes."""
-    return jobs.channel_counts(tables.market_behaviors(events), slide_s=300)
+    return jobs.channel_counts(tables.market_behaviors(events), slide_s=300, removed=tables.REMOVED)
 
 
 @query()
 def channel_peaks(events):
     """Over every window of one hour, one per five seconds."""
-    return jobs.channel_counts(tables.market_behaviors(events)).groupBy("channel", "behavior").agg(
+    counts = jobs.channel_counts(tables.market_behaviors(events), removed=tables.REMOVED)
+    return counts.groupBy("channel", "behavior").agg(
         F.count(F.lit(1)).alias("windows"),
         F.sum("cnt").alias("total"),
         F.max("cnt").alias("peak"),
@@ -189,22 +193,22 @@ def province_clicks_strict(events):
 
 @query()
 def login_failures(events):
-    return jobs.login_failures(tables.logins(events), DAY_S)
+    return jobs.login_failures(tables.logins(events), DAY_S, fail=tables.FAIL)
 
 
 @query()
 def order_sequences(events):
-    return absent_as(jobs.order_sequences(tables.order_logs(events), DAY_S), -1, "then_us")
+    return absent_as(jobs.order_sequences(tables.order_logs(events), DAY_S, **SEQUENCE), -1, "then_us")
 
 
 @query()
 def order_states(events):
-    return jobs.order_states(tables.order_logs(events), DAY_S)
+    return jobs.order_states(tables.order_logs(events), DAY_S, **ORDER)
 
 
 @query()
 def order_states_with_grace(events):
-    return jobs.order_states(tables.order_logs(events), DAY_S, grace_s=DAY_S)
+    return jobs.order_states(tables.order_logs(events), DAY_S, grace_s=DAY_S, **ORDER)
 
 
 @query()
@@ -223,7 +227,7 @@ def payment_receipt_pairs(events):
 @query()
 def late_rows(events):
     rows = tables.delayed(events)
-    tagged = tag_late(rows, floor_to(F.col("arrived_us"), DAY), ["arrived_us", "arrival"])
+    tagged = tag_late(rows, F.col("arrived_us"), ["arrived_us", "arrival"], fine=MINUTE, coarse=DAY)
     return tagged.select("arrival", "user_id", "kind")
 
 
@@ -231,19 +235,19 @@ def late_rows(events):
 
 @query(tables.event_stream)
 def stream_page_views(events):
-    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior("pv"))
+    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior(tables.VIEW))
     return sinks.table_of(stream_windows.tumbling_counts(views, [], HOUR_S))
 
 
 @query(tables.event_stream)
 def stream_unique_visitors(events):
-    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior("pv"))
+    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior(tables.VIEW))
     return sinks.table_of(stream_windows.distinct_per_window(views, "user_id", HOUR_S))
 
 
 @query(tables.event_stream)
 def stream_hot_items(events):
-    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior("pv"))
+    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior(tables.VIEW))
     counts = stream_windows.sliding_counts(views, ["item_id"], HOUR_S, 300)
     spark = events.sparkSession
     folder = sinks.shared_folder(spark)
@@ -256,7 +260,7 @@ def stream_hot_items(events):
 
 @query(tables.event_stream)
 def stream_channel_counts(events):
-    kept = where_watermarked(watermarked(tables.market_behaviors(events)), is_not_behavior("UNINSTALL"))
+    kept = where_watermarked(watermarked(tables.market_behaviors(events)), is_not_behavior(tables.REMOVED))
     counts = stream_windows.sliding_counts(kept, ["channel", "behavior"], HOUR_S, 300)
     return with_window_texts(sinks.table_of(counts), HOUR_S)
 
@@ -269,20 +273,22 @@ def stream_click_cap(events):
 
 @query(tables.event_stream)
 def stream_login_failures(events):
-    return sinks.table_of(detect.repeated_failures(watermarked(tables.logins(events)), DAY_S, seq="arrival"))
+    return sinks.table_of(detect.repeated_failures(
+        watermarked(tables.logins(events)), DAY_S, fail=tables.FAIL, seq="arrival"
+    ))
 
 
 @query(tables.event_stream)
 def stream_order_sequences(events):
     orders = tables.order_logs(events)
-    found = detect.followed_within(watermarked(orders), DAY_S, seq="arrival")
+    found = detect.followed_within(watermarked(orders), DAY_S, seq="arrival", **SEQUENCE)
     return absent_as(sinks.table_of(found), -1, "then_us")
 
 
 @query(tables.event_stream)
 def stream_order_states(events):
     orders = tables.order_logs(events)
-    return sinks.table_of(detect.order_results(watermarked(orders), DAY_S, DAY_S, seq="arrival"))
+    return sinks.table_of(detect.order_results(watermarked(orders), DAY_S, DAY_S, seq="arrival", **ORDER))
 
 
 def _paid_and_received(events):

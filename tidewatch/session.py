@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Click caps above the default of 1000 are also cut before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # Streaming state lives off-heap, with changelog checkpoints only.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -47,12 +47,19 @@ def hot_pages(log: DataFrame, k: int = 5, size_s: int = 600, slide_s: int = 10)
     return top_per_window(page_hits(log, size_s, slide_s), "url", k)
 
 
+def channel_windows(
+    behaviors: DataFrame, size_s: int = HOUR_S, slide_s: int = 5, removed: str = REMOVED
+) -> DataFrame:
+    """``channel, behavior, window_end, cnt``"""
+    kept = behaviors.where(is_not_behavior(removed))
+    return sliding_counts(kept, ["channel", "behavior"], size_s, slide_s)
+
+
 def channel_counts(
     behaviors: DataFrame, size_s: int = HOUR_S, slide_s: int = 5, removed: str = REMOVED
 ) -> DataFrame:
     """``window_start, window_end`` (texts), ``channel, behavior, cnt``"""
-    kept = behaviors.where(is_not_behavior(removed))
-    return with_window_texts(sliding_counts(kept, ["channel", "behavior"], size_s, slide_s), size_s)
+    return with_window_texts(channel_windows(behaviors, size_s, slide_s, removed), size_s)
 
 
 def province_clicks(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.event_time import DAY, MINUTE, watermarked, where_watermarked
+from ..functions.event_time import DAY, MINUTE, SECOND, text_time, watermarked, where_watermarked
 from ..functions.filters import has_transaction, is_behavior, is_not_behavior, is_page
 from ..functions.reports import item_report, page_report
 from ..operators.clicks import cap_clicks
@@ -150,15 +150,21 @@ def channel_counts(events):
 
 @query()
 def channel_peaks(events):
-    """Over every window of one hour, one per five seconds."""
-    counts = jobs.channel_counts(tables.market_behaviors(events), removed=tables.REMOVED)
-    return counts.groupBy("channel", "behavior").agg(
+    """Over every window of one hour, one per five seconds. Aggregates the times
+    as numbers, which hash; only the few results become text."""
+    counts = jobs.channel_windows(tables.market_behaviors(events), removed=tables.REMOVED)
+    peaks = counts.groupBy("channel", "behavior").agg(
         F.count(F.lit(1)).alias("windows"),
         F.sum("cnt").alias("total"),
         F.max("cnt").alias("peak"),
-        F.min("window_start").alias("first_start"),
+        F.min("window_end").alias("first_end"),
         F.max("window_end").alias("last_end"),
     )
+    return peaks.select(
+        "channel", "behavior", "windows", "total", "peak",
+        text_time(F.col("first_end") * 1000 - HOUR_S * SECOND).alias("first_start"),
+        text_time(F.col("last_end") * 1000).alias("last_end"),
+    )
 
 
 # Clicks

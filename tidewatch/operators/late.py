@@ -44,9 +44,9 @@ def tag_late(
     ``fine`` places, over the blocks inside ``coarse`` places, and over those.
     Each level hands one number per block to the next, so only as many rows
     meet in the last task as there are coarse blocks."""
-    rows = df.withColumns({"_fine": floor_to(place, fine), "_us": micros(ts)})
+    rows = df.withColumns({"_fine": _block(place, fine), "_us": micros(ts)})
     blocks = rows.groupBy("_fine").agg(F.max("_us").alias("top")).withColumn(
-        "_coarse", floor_to(F.col("_fine"), coarse)
+        "_coarse", _block(F.col("_fine"), coarse)
     )
     spans = blocks.groupBy("_coarse").agg(F.max("top").alias("span_top")).select(
         "_coarse", F.max("span_top").over(_before("_coarse")).alias("span_seen")
@@ -55,15 +55,22 @@ def tag_late(
         spans, "_coarse"
     ).select("_fine", F.greatest("block_seen", "span_seen").alias("_carried"))
     inside = Window.partitionBy("_fine").orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.greatest(F.max("_us").over(inside), F.col("_carried"))
+    seen = F.greatest("_seen", "_carried")
     late = is_late(F.col("_us"), seen - delay_s * SECOND, size_s, slide_s, lateness_s)
+    # Running maximum first: its shuffle and order also serve the join.
     return (
-        rows.join(carried, "_fine")
+        rows.withColumn("_seen", F.max("_us").over(inside))
+        .join(carried, "_fine")
         .withColumn("kind", F.when(late, LATE).otherwise(ON_TIME))
-        .drop("_fine", "_us", "_carried")
+        .drop("_fine", "_us", "_seen", "_carried")
     )
 
 
+def _block(place: Column, width: int) -> Column:
+    # Never NULL, so that joins infer no filters and both uses of the blocks share one scan.
+    return F.coalesce(floor_to(place, width), F.lit(0).cast("bigint"))
+
+
 def _before(order: str, *parts: str) -> WindowSpec:
     spec = Window.partitionBy(*parts) if parts else Window.partitionBy()
     return spec.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

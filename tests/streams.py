@@ -6,14 +6,15 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 
-def as_stream(spark, pdf: pd.DataFrame, folder: str, batches: int = 3, end: dict | None = None):
-    """``pdf`` needs ``us`` and comes in row order. ``end`` is a last row far in the
-    future that lets the watermark pass everything else."""
+def as_stream(spark, pdf: pd.DataFrame, folder: str, batches: int = 3, end: dict | list | None = None):
+    """``pdf`` needs ``us`` and comes in row order. ``end`` is a last row (or more) far
+    in the future that lets the watermark pass everything else."""
     os.makedirs(folder)
     size = -(-len(pdf) // batches)
     parts = [pdf.iloc[i:i + size] for i in range(0, len(pdf), size)]
     if end is not None:
-        parts.append(pd.DataFrame([{**dict.fromkeys(pdf.columns), **end}])[list(pdf.columns)].astype(pdf.dtypes))
+        ends = end if isinstance(end, list) else [end]
+        parts.append(pd.DataFrame(ends)[list(pdf.columns)].astype(pdf.dtypes))
     for i, part in enumerate(parts):
         path = f"{folder}/{i:03d}.parquet"
         part.to_parquet(path, index=False)

@@ -15,7 +15,7 @@ from tidewatch.operators import ranking
 from tidewatch.operators import reconcile as batch_reconcile
 from tidewatch.operators import sequences as batch_sequences
 from tidewatch.operators import windows as batch_windows
-from tidewatch.streaming import clicks, detect, late, sinks, windows
+from tidewatch.streaming import clicks, detect, late, reconcile, sinks, windows
 
 START = 1_700_000_000 * SECOND
 FAR = START + 400 * 86_400 * SECOND
@@ -75,18 +75,18 @@ def test_orders(spark, folder, grace_s):
     assert want.select("result_msg").distinct().count() == (4 if grace_s else 3)
 
 
-def test_one_to_one(spark, folder):
+@pytest.mark.parametrize("batches", [1, 5])
+def test_one_to_one(spark, folder, batches):
     pdf = events(500, ["pay", "receipt"], 6, 600, jitter_s=4).rename(columns={"seq": "rid"})
-    end = {"key": -1, "kind": "pay", "us": FAR, "rid": 10**9}
-    stream = as_stream(spark, pdf, folder, end=end)
-    pays, receipts = (
-        where_watermarked(watermarked(stream, 5), F.col("kind") == k) for k in ("pay", "receipt")
-    )
+    end = [{"key": -1, "kind": "pay", "us": FAR, "rid": 10**9}, {"key": -2, "kind": "receipt", "us": FAR, "rid": 10**9}]
+    stream = as_stream(spark, pdf, folder, batches, end)
+    pays, receipts = (stream.where(F.col("kind") == k) for k in ("pay", "receipt"))
     names = {"key": "key", "pay_id": "rid", "receipt_id": "rid"}
-    got = sinks.table_of(detect.match_one_to_one(pays, receipts, **names), LIMIT_S).where("key >= 0")
+    sinks.run_available(reconcile.to_matches(pays, receipts, folder + "o", folder + "c", 5, **names), LIMIT_S)
+    got = reconcile.read_matches(spark, folder + "o", pays.schema["key"])
     b = batch(spark, pdf)
     want = batch_reconcile.match_one_to_one(b.where("kind = 'pay'"), b.where("kind = 'receipt'"), **names)
-    assert rows_with_nulls(want, "*") == rows_with_nulls(got, *want.columns)
+    assert rows_with_nulls(want, *want.columns) == rows_with_nulls(got, *want.columns)
     assert want.select("kind").distinct().count() == 3
 
 
@@ -102,11 +102,11 @@ def test_interval_join(spark, folder):
     assert rows(want, *want.columns) == rows(got, *want.columns) and want.count() > 50
 
 
-@pytest.mark.parametrize("strict", [False, True])
-def test_click_cap(spark, folder, strict):
+@pytest.mark.parametrize("strict,salts", [(False, 1), (True, 3)])
+def test_click_cap(spark, folder, strict, salts):
     pdf = events(600, ["a", "b"], 4, 3 * 86_400)
     stream = watermarked(as_stream(spark, pdf.rename(columns={"kind": "ad"}), folder, end=END_AD), 0)
-    got = sinks.table_of(clicks.cap_clicks(stream, 20, strict, keys=("key", "ad")), LIMIT_S)
+    got = sinks.table_of(clicks.cap_clicks(stream, 20, strict, keys=("key", "ad"), salts=salts), LIMIT_S)
     b = batch(spark, pdf.rename(columns={"kind": "ad"}))
     want = batch_clicks.cap_clicks(b, 20, strict, keys=("key", "ad"), arrival=("seq",))
     columns = ("key", "ad", "seq", "us", "kind")

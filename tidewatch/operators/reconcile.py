@@ -50,8 +50,14 @@ def match_one_to_one(
     a start that may lie many slices back, for which one summary row per slice
     is carried forward. No join of the inputs, hence no pairs to emit or drop.
     """
-    waits = (pay_waits_s * SECOND, receipt_waits_s * SECOND)
     rows = one_line(pays, receipts, key, pay_id, receipt_id, ts)
+    return match_line(rows, pay_waits_s, receipt_waits_s, key).drop("last")
+
+
+def match_line(rows: DataFrame, pay_waits_s: int, receipt_waits_s: int, key: str) -> DataFrame:
+    """``match_one_to_one`` on the output of ``one_line``. Adds ``last``: no row of
+    the key followed in time, so an unmatched row could still find a partner."""
+    waits = (pay_waits_s * SECOND, receipt_waits_s * SECOND)
     margin = max(waits)
     sliced = with_margins(rows, max(margin * 16, MINUTE), before=margin, after=margin)
 
@@ -92,6 +98,7 @@ def match_one_to_one(
         F.when(is_pay, F.col("us")).otherwise(before["us"]).alias("pay_us"),
         F.coalesce("receipt_id", before["receipt_id"]).alias("receipt_id"),
         F.when(is_pay, before["us"]).otherwise(F.col("us")).alias("receipt_us"),
+        F.col("next_us").isNull().alias("last"),
     )
 
 

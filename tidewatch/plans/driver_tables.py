@@ -19,8 +19,10 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    return _typed(stream)
+    # No limit per trigger: the files of a table are in no order of time, and split
+    # into batches their rows would come late and be lost.
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return _typed(reader.parquet(folder))
 
 
 def _typed(raw: DataFrame) -> DataFrame:

@@ -149,7 +149,7 @@ PAIRS = _with(EVENTS, ORDERS, RECEIPTS) + f"""SELECT o.tx_id, o.arrival AS pay_i
   r.arrival AS receipt_id, r.us AS receipt_us
 FROM ord o JOIN rec r ON o.tx_id = r.tx_id AND o.tx_id <> ''
   AND r.us - o.us BETWEEN -{NEAR['receipt_before_s'] * S} AND {NEAR['receipt_after_s'] * S}"""
-REACHED_BOTH = "least((SELECT max(us) FROM ord), (SELECT max(us) FROM rec)) // 1000 * 1000"
+REACHED_BOTH = "least((SELECT max(us) FROM ord WHERE tx_id <> ''), (SELECT max(us) FROM rec)) // 1000 * 1000"
 CHANNEL_ROWS = f"""SELECT {_text(f'w_end - {HOUR}')} AS window_start, {_text('w_end')} AS window_end,
   channel, behavior, cnt FROM cnts"""
 

@@ -18,7 +18,7 @@ from ..operators.windows import with_window_texts
 from ..session import SETTINGS
 from ..sources.lines import parse_csv_lines, parse_web_log
 from ..streaming import clicks as stream_clicks
-from ..streaming import detect, sinks
+from ..streaming import detect, reconcile, sinks
 from ..streaming import windows as stream_windows
 from . import driver_tables as tables
 from . import jobs
@@ -273,7 +273,7 @@ def stream_channel_counts(events):
 
 @query(tables.event_stream)
 def stream_click_cap(events):
-    capped = stream_clicks.cap_clicks(watermarked(tables.ad_clicks(events)), CLICK_LIMIT, seq="arrival")
+    capped = stream_clicks.cap_clicks(watermarked(tables.ad_clicks(events)), CLICK_LIMIT, seq="arrival", salts=16)
     return sinks.table_of(capped).select("arrival", "user_id", "ad_id", "kind")
 
 
@@ -304,8 +304,13 @@ def _paid_and_received(events):
 
 @query(tables.event_stream)
 def stream_payment_receipts(events):
-    matches = detect.match_one_to_one(*_paid_and_received(events), **WAITS, **IDS)
-    return absent_as(sinks.table_of(matches), -1, *MATCH_TIMES)
+    orders, receipts = tables.order_logs(events).where(has_transaction()), tables.receipts(events)
+    spark = events.sparkSession
+    folder = sinks.shared_folder(spark)
+    writer = reconcile.to_matches(orders, receipts, folder, f"{folder}/checkpoint", **WAITS, **IDS)
+    sinks.run_available(writer)
+    matches = reconcile.read_matches(spark, folder, receipts.schema["tx_id"])
+    return absent_as(matches, -1, *MATCH_TIMES)
 
 
 @query(tables.event_stream)

@@ -66,21 +66,28 @@ class ClickCap(StatefulProcessor):
 
 def cap_clicks(
     clicks: DataFrame, limit: int = 100, strict: bool = False,
-    keys: tuple[str, ...] = ("user_id", "ad_id"), seq: str = "seq", by_event_day: bool = True,
+    keys: tuple[str, ...] = ("user_id", "ad_id"), seq: str = "seq", by_event_day: bool = True, salts: int = 1,
 ) -> DataFrame:
     """As the batch form. The count starts again at UTC midnight: of the event
-    time, or of the clock with ``by_event_day=False``."""
+    time, or of the clock with ``by_event_day=False``. With ``salts`` above 1 the
+    clicks of a key are first cut in that many parts side by side. A click among
+    the first of its key is also among the first of its part, so the second cut
+    has all it needs, and of a hot key only a few rows reach it."""
     kept = [field for field in clicks.schema if field.name != "kind"]
-    columns = [field.name for field in kept]
-    output = StructType(kept + [StructField("kind", StringType())])
-    return (
-        clicks.withColumn("us", micros()).withColumn("seq", F.col(seq))
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            statefulProcessor=ClickCap(limit + 1 if strict else limit, columns, by_event_day),
-            outputStructType=output,
-            outputMode="append",
-            timeMode="EventTime" if by_event_day else "ProcessingTime",
-            **({"eventTimeColumnName": "ts"} if by_event_day else {}),
-        )
+    allowed = limit + 1 if strict else limit
+    rows = clicks.withColumns({"us": micros(), "seq": F.col(seq)})
+    extra = [field for field in rows.schema if field.name in ("us", "seq") and field.name not in clicks.columns]
+    if salts > 1:
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int"))
+        rows = _cut(salted, (*keys, "salt"), allowed, kept + extra, by_event_day).drop("kind")
+    return _cut(rows, keys, allowed, kept, by_event_day)
+
+
+def _cut(rows: DataFrame, keys: tuple[str, ...], allowed: int, kept: list[StructField], by_event_day: bool) -> DataFrame:
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=ClickCap(allowed, [field.name for field in kept], by_event_day),
+        outputStructType=StructType(kept + [StructField("kind", StringType())]),
+        outputMode="append",
+        timeMode="EventTime" if by_event_day else "ProcessingTime",
+        **({"eventTimeColumnName": "ts"} if by_event_day else {}),
     )

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..functions.event_time import SECOND, micros, where_watermarked
+from ..functions.event_time import SECOND, floor_to, micros, where_watermarked
+from ..operators.sequences import SLICES
 from .replay import Rules, replay
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,15 +31,15 @@ def repeated_failures(
     within = within_s * SECOND
 
     def on_row(held, row):
-        us, failed = row[0], row[2]
+        us, _, failed, home = row
         found = [(held[0][0], us, "login fail")] if held and failed else []
-        return ([row] if failed else []), found
+        return ([row] if failed and home else []), found
 
     rules = Rules(deadline=lambda row: row[0] + within - 1, on_row=on_row)
     rows = events.select(key, "ts", micros().alias("us"), F.col(seq).alias("seq"),
                          (F.col(kind) == fail).alias("failed"))
     output = StructType([events.schema[key]] + _fields(first_us=LongType, last_us=LongType, msg=StringType))
-    return replay(rows, key, rules, output)
+    return replay(rows, key, rules, output, within * SLICES, after=within)
 
 
 def followed_within(
@@ -48,9 +49,9 @@ def followed_within(
     within = within_s * SECOND
 
     def on_row(held, row):
-        us, opens = row[0], row[2]
+        us, _, opens, home = row
         if opens:
-            return held + [row], []
+            return held + [row] * home, []
         return [], [("payed", h[0], us, "payed successfully") for h in held]
 
     def on_expiry(row):
@@ -59,7 +60,7 @@ def followed_within(
     rules = Rules(deadline=lambda row: row[0] + within - 1, on_row=on_row, on_expiry=on_expiry)
     output = StructType([events.schema[key]] + _fields(
         kind=StringType, first_us=LongType, then_us=LongType, result_msg=StringType))
-    return replay(_opening(events, first, then, key, kind, seq), key, rules, output)
+    return replay(_opening(events, first, then, key, kind, seq), key, rules, output, within * SLICES, after=within)
 
 
 def order_results(
@@ -70,61 +71,24 @@ def order_results(
     the deadline finds its order closed."""
     within, kept = within_s * SECOND, (within_s + grace_s) * SECOND
 
+    def timeout(row):
+        return [(row[0], "timeout")] if row[3] else []
+
     def on_row(held, row):
-        us, opens = row[0], row[2]
+        us, _, opens, home = row
         if opens:
             renewed = not held or us - held[0][0] < within
-            return [row], ([] if renewed else [(held[0][0], "timeout")])
+            return [row], ([] if renewed else timeout(held[0]))
         if not held:
-            return [], [(us, "payed but not found create")]
-        in_time = us - held[0][0] < within
-        return [], [(us, "payed successfully" if in_time else "payed but timeout")]
-
-    rules = Rules(
-        deadline=lambda row: row[0] + kept - 1,
-        on_row=on_row,
-        on_expiry=lambda row: [(row[0], "timeout")],
-    )
-    output = StructType([logs.schema[key]] + _fields(us=LongType, result_msg=StringType))
-    return replay(_opening(logs, create, pay, key, kind, seq), key, rules, output)
-
-
-def match_one_to_one(
-    pays: DataFrame, receipts: DataFrame, pay_waits_s: int = 5, receipt_waits_s: int = 3,
-    key: str = "tx_id", pay_id: str = "pay_id", receipt_id: str = "receipt_id",
-) -> DataFrame:
-    """Ids are bigints here. A pay precedes a receipt of the same time."""
-    waits = (pay_waits_s * SECOND, receipt_waits_s * SECOND)
+            result = "payed but not found create"
+        else:
+            result = "payed successfully" if us - held[0][0] < within else "payed but timeout"
+        return [], [(us, result)] * home
 
-    def unmatched(row):
-        us, is_receipt, rid = row[0], row[2], row[3]
-        if is_receipt:
-            return [("unmatched_receipt", None, None, rid, us)]
-        return [("unmatched_pay", rid, us, None, None)]
-
-    def on_row(held, row):
-        if not held:
-            return [row], []
-        if held[0][2] == row[2]:
-            return [row], unmatched(held[0])
-        pay, receipt = (held[0], row) if row[2] else (row, held[0])
-        return [], [("matched", pay[3], pay[0], receipt[3], receipt[0])]
-
-    rules = Rules(
-        deadline=lambda row: row[0] + waits[1 if row[2] else 0], on_row=on_row, on_expiry=unmatched
-    )
-    sides = []
-    for df, column, is_receipt in ((pays, pay_id, False), (receipts, receipt_id, True)):
-        rid = F.col(column).cast("bigint")
-        # Receipts sort after pays, each side by id.
-        order = F.lit("r" if is_receipt else "p")
-        sides.append(df.select(
-            key, "ts", micros().alias("us"), F.format_string("%s%020d", order, rid).alias("seq"),
-            F.lit(is_receipt).alias("is_receipt"), rid.alias("rid"),
-        ))
-    output = StructType([pays.schema[key]] + _fields(
-        kind=StringType, pay_id=LongType, pay_us=LongType, receipt_id=LongType, receipt_us=LongType))
-    return replay(sides[0].unionByName(sides[1]), key, rules, output)
+    rules = Rules(deadline=lambda row: row[0] + kept - 1, on_row=on_row, on_expiry=timeout)
+    output = StructType([logs.schema[key]] + _fields(us=LongType, result_msg=StringType))
+    rows = _opening(logs, create, pay, key, kind, seq)
+    return replay(rows, key, rules, output, kept * SLICES, before=kept, after=kept)
 
 
 def interval_join(
@@ -133,13 +97,25 @@ def interval_join(
 ) -> DataFrame:
     """All pairs within the interval; both inputs watermarked, so that Spark
     drops rows from the join state once no partner can come."""
-    left = pays.select(F.col(key).alias("pay_key"), F.col(pay_id).alias("pay_id"), F.col("ts").alias("pay_ts"))
-    right = receipts.select(key, F.col(receipt_id).alias("receipt_id"), F.col("ts").alias("receipt_ts"))
+    before, after = receipt_before_s * SECOND, receipt_after_s * SECOND
+    cell = max(before + after, 1)
+    # As in batch: rows of a hot key meet only within the cells of the interval.
+    left = pays.select(
+        F.col(key).alias("pay_key"), F.col(pay_id).alias("pay_id"), F.col("ts").alias("pay_ts"),
+        F.explode(F.sequence(
+            floor_to(micros() - before, cell), floor_to(micros() + after, cell), F.lit(cell)
+        )).alias("pay_cell"),
+    )
+    right = receipts.select(
+        key, F.col(receipt_id).alias("receipt_id"), F.col("ts").alias("receipt_ts"),
+        floor_to(micros(), cell).alias("cell"),
+    )
     near = (
         (F.col("receipt_ts") >= F.col("pay_ts") - F.expr(f"INTERVAL {receipt_before_s} SECONDS"))
         & (F.col("receipt_ts") <= F.col("pay_ts") + F.expr(f"INTERVAL {receipt_after_s} SECONDS"))
     )
-    return left.join(right, (F.col("pay_key") == F.col(key)) & near).select(
+    same = (F.col("pay_key") == F.col(key)) & (F.col("pay_cell") == F.col("cell"))
+    return left.join(right, same & near).select(
         key, "pay_id", micros("pay_ts").alias("pay_us"), "receipt_id", micros("receipt_ts").alias("receipt_us")
     )
 

@@ -1,0 +1,87 @@
+"""One-to-one reconciliation of two streams.
+
+Who matches whom can depend on a chain of rows of any length, so a hot key
+cannot be cut into independent pieces of state. Each micro-batch therefore runs
+the batch operator, which spreads such keys, on the rows that have become final
+together with the few still open ones of earlier batches. The open rows are a
+table next to the results; a repeated batch rewrites its own part of both.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructField, StructType
+
+from ..functions.event_time import SECOND
+from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, match_line, one_line
+
+MATCHES = "kind string, pay_id bigint, pay_us bigint, receipt_id bigint, receipt_us bigint"
+TOPS = "pay_top bigint, receipt_top bigint"
+NEVER = -(2**62)
+
+
+def to_matches(
+    pays: DataFrame, receipts: DataFrame, path: str, checkpoint: str, delay_s: int = 0,
+    pay_waits_s: int = 5, receipt_waits_s: int = 3,
+    key: str = "tx_id", pay_id: str = "pay_id", receipt_id: str = "receipt_id",
+) -> DataStreamWriter:
+    """Writes the matches for ``read_matches``. Time has come as far as the newest
+    row of the slower side, less ``delay_s``; rows behind it are late and left out."""
+    line = one_line(pays, receipts, key, pay_id, receipt_id)
+    spark = line.sparkSession
+
+    def work(batch: DataFrame, number: int) -> None:
+        before = _tops(spark, path, number - 1)
+        newest = batch.groupBy("is_receipt").agg(F.max("us").alias("top")).collect()
+        now = {r["is_receipt"]: r["top"] for r in newest}
+        tops = [max(old, now.get(side, NEVER)) for side, old in zip((False, True), before)]
+        reached = _reached(tops, delay_s)
+
+        rows = batch.where(F.col("us") > _reached(before, delay_s))
+        if number > 0:
+            rows = rows.unionByName(_open(spark, path, number - 1, line.schema, key))
+        final = match_line(rows.where(F.col("us") <= reached), pay_waits_s, receipt_waits_s, key)
+        deadline = F.coalesce(
+            F.col("pay_us") + pay_waits_s * SECOND, F.col("receipt_us") + receipt_waits_s * SECOND
+        )
+        held = (F.col("kind") != MATCHED) & F.col("last") & (deadline > reached)
+        _write(final.withColumn("held", held).drop("last"), path, "rows", number, "held")
+        _write(rows.where(F.col("us") > reached), path, "later", number)
+        _write(spark.createDataFrame([tuple(tops)], TOPS), path, "tops", number)
+
+    return line.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+
+
+def read_matches(spark: SparkSession, path: str, key: StructField) -> DataFrame:
+    return _matches(spark, f"{path}/rows", key).where(~F.col("held")).drop("held", "batch")
+
+
+def _matches(spark: SparkSession, folder: str, key: StructField) -> DataFrame:
+    fields = StructType.fromDDL(f"{MATCHES}, held boolean").fields
+    return spark.read.schema(StructType([key] + fields)).parquet(folder)
+
+
+def _open(spark: SparkSession, path: str, number: int, line: StructType, key: str) -> DataFrame:
+    """What batch ``number`` left open: rows that still wait, and rows ahead of its time."""
+    held = _matches(spark, f"{path}/rows/batch={number}", line[key]).where("held").select(
+        key, F.coalesce("pay_us", "receipt_us").alias("us"),
+        (F.col("kind") == UNMATCHED_RECEIPT).alias("is_receipt"), "pay_id", "receipt_id",
+    )
+    return held.unionByName(spark.read.schema(line).parquet(f"{path}/later/batch={number}"))
+
+
+def _write(df: DataFrame, path: str, part: str, number: int, *columns: str) -> None:
+    df.write.mode("overwrite").partitionBy(*columns).parquet(f"{path}/{part}/batch={number}")
+
+
+def _tops(spark: SparkSession, path: str, number: int) -> tuple[int, int]:
+    if number < 0:
+        return NEVER, NEVER
+    return tuple(spark.read.schema(TOPS).parquet(f"{path}/tops/batch={number}").first())
+
+
+def _reached(tops, delay_s: int) -> int:
+    # Whole milliseconds, as the watermarks of Spark.
+    return min(tops) // 1000 * 1000 - delay_s * SECOND

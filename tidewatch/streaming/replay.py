@@ -5,6 +5,10 @@ batches. The processor therefore keeps rows until the watermark has passed
 them, then hands them in (time, arrival) order to the rules of an operator.
 State per key: the rows newer than the watermark and the few rows the rules
 hold on to. Limit the rows per trigger at the source to bound a batch.
+
+Where only rows within a time limit can matter to each other, the timeline of a
+key is cut into slices with margins, as in batch. Slices are worked on apart,
+so a backlog of a hot key spreads over the tasks, and old slices leave no state.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from ..operators.slices import with_margins
+
 # Ship this module inside the tasks; executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -31,7 +37,8 @@ Held = list[Row]
 class Rules:
     """What an operator does with the ordered rows of one key.
 
-    Rows are tuples ``(us, seq, ...)``. ``deadline`` is the last time at which a
+    Rows are tuples ``(us, seq, ...)``; with slices the last field, ``home``, is
+    false for rows of a neighbouring slice. ``deadline`` is the last time at which a
     held row can still matter. ``on_row`` gets the held rows and the next row
     and returns the rows held from then on with the results; ``on_expiry`` gives
     the results for a held row whose deadline has passed."""
@@ -83,7 +90,7 @@ class InEventOrder(StatefulProcessor):
             for row in held:
                 self.handle.registerTimer(_timer(self.rules.deadline(row)))
         if results:
-            yield pd.DataFrame([(*key, *r) for r in results], columns=self.output, dtype=object)
+            yield pd.DataFrame([(key[0], *r) for r in results], columns=self.output, dtype=object)
 
     def _drop_expired(self, held: Held, gone: Callable[[int], bool]) -> tuple[Held, list[tuple]]:
         kept, results = [], []
@@ -98,11 +105,18 @@ class InEventOrder(StatefulProcessor):
         pass
 
 
-def replay(df: DataFrame, key: str, rules: Rules, output: StructType) -> DataFrame:
+def replay(
+    df: DataFrame, key: str, rules: Rules, output: StructType,
+    width: int | None = None, before: int = 0, after: int = 0,
+) -> DataFrame:
     """``df``: a watermarked stream with ``key``, the event time ``ts`` and the row
-    columns starting with ``us`` and ``seq``."""
-    row_schema = StructType([f for f in df.schema if f.name not in (key, "ts")])
-    return df.groupBy(key).transformWithStateInPandas(
+    columns starting with ``us`` and ``seq``. With ``width``, rows of a key meet
+    only within slices of that many microseconds and their margins."""
+    groups = [key]
+    if width:
+        df, groups = with_margins(df, width, before, after), [key, "slice"]
+    row_schema = StructType([f for f in df.schema if f.name not in (*groups, "ts")])
+    return df.groupBy(*groups).transformWithStateInPandas(
         statefulProcessor=InEventOrder(rules, row_schema, output.names),
         outputStructType=output,
         outputMode="append",

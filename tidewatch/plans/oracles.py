@@ -205,6 +205,9 @@ FROM (SELECT (us // {HOUR} + 1) * {HOUR} AS w_end FROM beh WHERE {PV}) WHERE w_e
 FROM (SELECT (us // {HOUR} + 1) * {HOUR} AS w_end, user_id FROM beh WHERE {PV}) WHERE w_end <= {REACHED} GROUP BY 1""",
     "stream_hot_items": _with(EVENTS, BEHAVIORS, ITEM_COUNTS, _ranked("item_id", 3))
     + f"SELECT * FROM ranked WHERE window_end * 1000 <= {REACHED}",
+    "stream_hot_pages": _with(EVENTS, LOG, _counts("weblog", "url", 600, 300, PAGES), _ranked("url", 5))
+    + "SELECT * FROM ranked",
+    "stream_province_clicks": _provinces(CLICK_LIMIT) + f" WHERE w_end <= {REACHED}",
     "stream_channel_counts": _with(EVENTS, MARKET, CHANNEL_COUNTS) + CHANNEL_ROWS + f" WHERE w_end <= {REACHED}",
     "stream_click_cap": _with(EVENTS, CLICKS, _capped(CLICK_LIMIT)) + CAP_ROWS,
     "stream_login_failures": _with(EVENTS, FAILURES) + f"SELECT * FROM fails WHERE last_us <= {REACHED}",

@@ -9,19 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.event_time import DAY, MINUTE, SECOND, text_time, watermarked, where_watermarked
+from ..functions.event_time import DAY, MINUTE, SECOND, text_time
 from ..functions.filters import has_transaction, is_behavior, is_not_behavior, is_page
 from ..functions.reports import item_report, page_report
 from ..operators.clicks import cap_clicks
 from ..operators.late import tag_late
+from ..operators.ranking import top_per_window
 from ..operators.windows import with_window_texts
 from ..session import SETTINGS
 from ..sources.lines import parse_csv_lines, parse_web_log
-from ..streaming import clicks as stream_clicks
-from ..streaming import detect, reconcile, sinks
-from ..streaming import windows as stream_windows
+from ..streaming import reconcile, sinks
 from . import driver_tables as tables
-from . import jobs
+from . import jobs, stream_jobs
 
 HOUR_S, DAY_S = 3600, 86_400
 CLICK_LIMIT = 2
@@ -241,20 +240,17 @@ def late_rows(events):
 
 @query(tables.event_stream)
 def stream_page_views(events):
-    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior(tables.VIEW))
-    return sinks.table_of(stream_windows.tumbling_counts(views, [], HOUR_S))
+    return sinks.table_of(stream_jobs.page_views(tables.behaviors(events), view=tables.VIEW))
 
 
 @query(tables.event_stream)
 def stream_unique_visitors(events):
-    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior(tables.VIEW))
-    return sinks.table_of(stream_windows.distinct_per_window(views, "user_id", HOUR_S))
+    return sinks.table_of(stream_jobs.unique_visitors(tables.behaviors(events), view=tables.VIEW))
 
 
 @query(tables.event_stream)
 def stream_hot_items(events):
-    views = where_watermarked(watermarked(tables.behaviors(events)), is_behavior(tables.VIEW))
-    counts = stream_windows.sliding_counts(views, ["item_id"], HOUR_S, 300)
+    counts = stream_jobs.item_views(tables.behaviors(events), view=tables.VIEW)
     spark = events.sparkSession
     folder = sinks.shared_folder(spark)
     writer = sinks.to_top_per_window(counts, "item_id", 3, f"{folder}/rows", f"{folder}/checkpoint")
@@ -264,42 +260,50 @@ def stream_hot_items(events):
     )
 
 
+@query(tables.event_stream)
+def stream_hot_pages(events):
+    """From the change log of an update-mode stream: the latest count of each page."""
+    counts = stream_jobs.page_hit_updates(parse_web_log(tables.web_log_lines(events)), slide_s=300)
+    spark = events.sparkSession
+    folder = sinks.shared_folder(spark)
+    writer = sinks.to_batches(counts, f"{folder}/rows", f"{folder}/checkpoint", mode="update")
+    schema = "url string, window_end bigint, cnt bigint, batch bigint"
+    latest = sinks.latest_counts(sinks.batches_table(writer, spark, f"{folder}/rows", schema), ["url"])
+    return top_per_window(latest, "url", 5)
+
+
 @query(tables.event_stream)
 def stream_channel_counts(events):
-    kept = where_watermarked(watermarked(tables.market_behaviors(events)), is_not_behavior(tables.REMOVED))
-    counts = stream_windows.sliding_counts(kept, ["channel", "behavior"], HOUR_S, 300)
+    counts = stream_jobs.channel_windows(tables.market_behaviors(events), slide_s=300, removed=tables.REMOVED)
     return with_window_texts(sinks.table_of(counts), HOUR_S)
 
 
 @query(tables.event_stream)
 def stream_click_cap(events):
-    capped = stream_clicks.cap_clicks(watermarked(tables.ad_clicks(events)), CLICK_LIMIT, seq="arrival", salts=16)
+    capped = stream_jobs.capped_clicks(tables.ad_clicks(events), CLICK_LIMIT, seq="arrival", salts=16)
     return sinks.table_of(capped).select("arrival", "user_id", "ad_id", "kind")
 
 
+@query(tables.event_stream)
+def stream_province_clicks(events):
+    return sinks.table_of(stream_jobs.province_clicks(tables.ad_clicks(events), CLICK_LIMIT, seq="arrival"))
+
+
 @query(tables.event_stream)
 def stream_login_failures(events):
-    return sinks.table_of(detect.repeated_failures(
-        watermarked(tables.logins(events)), DAY_S, fail=tables.FAIL, seq="arrival"
-    ))
+    logins = tables.logins(events)
+    return sinks.table_of(stream_jobs.login_failures(logins, DAY_S, delay_s=0, fail=tables.FAIL, seq="arrival"))
 
 
 @query(tables.event_stream)
 def stream_order_sequences(events):
-    orders = tables.order_logs(events)
-    found = detect.followed_within(watermarked(orders), DAY_S, seq="arrival", **SEQUENCE)
+    found = stream_jobs.order_sequences(tables.order_logs(events), DAY_S, seq="arrival", **SEQUENCE)
     return absent_as(sinks.table_of(found), -1, "then_us")
 
 
 @query(tables.event_stream)
 def stream_order_states(events):
-    orders = tables.order_logs(events)
-    return sinks.table_of(detect.order_results(watermarked(orders), DAY_S, DAY_S, seq="arrival", **ORDER))
-
-
-def _paid_and_received(events):
-    paid = where_watermarked(watermarked(tables.order_logs(events)), has_transaction())
-    return paid, watermarked(tables.receipts(events))
+    return sinks.table_of(stream_jobs.order_states(tables.order_logs(events), DAY_S, DAY_S, seq="arrival", **ORDER))
 
 
 @query(tables.event_stream)
@@ -315,4 +319,5 @@ def stream_payment_receipts(events):
 
 @query(tables.event_stream)
 def stream_payment_receipt_pairs(events):
-    return sinks.table_of(detect.interval_join(*_paid_and_received(events), **NEAR, **IDS))
+    orders, receipts = tables.order_logs(events), tables.receipts(events)
+    return sinks.table_of(stream_jobs.payment_receipt_pairs(orders, receipts, **NEAR, **IDS))

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.event_time import SECOND, micros
 from .slices import with_margins
 
-# Margin rows are sent twice: one in SLICES rows.
+# Width of a slice in time limits. Fewer spread a hot key further, but one in
+# SLICES rows is sent twice.
 SLICES = 16
 
 
@@ -24,6 +25,7 @@ def repeated_failures(
     kind: str = "event_type",
     arrival: str = "arrival",
     ts: str = "ts",
+    slices: int = SLICES,
 ) -> DataFrame:
     """A failure directly followed by a failure of the same key less than
     ``within_s`` later; every row between them breaks the pair, and pairs may
@@ -31,7 +33,7 @@ def repeated_failures(
     within = within_s * SECOND
     rows = events.select(key, (F.col(kind) == fail).alias("failed"), F.col(arrival).alias("_seq"),
                          micros(ts).alias("us"))
-    sliced = with_margins(rows, within * SLICES, after=within)
+    sliced = with_margins(rows, within * slices, after=within)
     in_order = Window.partitionBy(key, "slice").orderBy("us", "_seq")
     following = sliced.select(
         key, "failed", "us", "home",
@@ -56,6 +58,7 @@ def followed_within(
     kind: str = "event_type",
     arrival: str = "arrival",
     ts: str = "ts",
+    slices: int = 4,
 ) -> DataFrame:
     """Every ``first`` row with the next ``then`` row of its key, whatever lies
     between: ``kind`` is ``payed`` if it comes less than ``within_s`` later and
@@ -64,7 +67,7 @@ def followed_within(
     rows = events.where(F.col(kind).isin(first, then)).select(
         key, (F.col(kind) == first).alias("opens"), F.col(arrival).alias("_seq"), micros(ts).alias("us")
     )
-    sliced = with_margins(rows, within * SLICES, after=within)
+    sliced = with_margins(rows, within * slices, after=within, guests=~F.col("opens"))
     # Read backwards: the closest later ``then`` is the last one seen so far.
     backwards = (
         Window.partitionBy(key, "slice").orderBy(F.desc("us"), F.desc("_seq"))

@@ -7,26 +7,30 @@ tasks as it has slices, and put the seams right.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_margins(df: DataFrame, width: int, before: int = 0, after: int = 0, us: str = "us") -> DataFrame:
+def with_margins(
+    df: DataFrame, width: int, before: int = 0, after: int = 0, guests: Column | None = None, us: str = "us"
+) -> DataFrame:
     """Adds ``slice`` and ``home``. A row belongs to the slice it lies in
     (``home``); as a guest it is also sent to the next slice when it lies within
     the last ``before`` microseconds of its own, and to the previous slice when
     it lies within the first ``after``. So each slice sees ``before`` back and
     ``after`` ahead of its own rows, for a copy of (before + after) / width of
-    the rows. ``width`` must be at least ``before`` and ``after``."""
+    the rows, or of those rows only that meet ``guests``. ``width`` must be at
+    least ``before`` and ``after``."""
     if width < max(before, after):
         raise ValueError("slices must be at least as wide as their margins")
     own = F.expr(f"({us} - pmod({us}, {width}L)) div {width}L")
     offset = F.pmod(F.col(us), F.lit(width))
+    may = F.lit(True) if guests is None else guests
     targets = [own]
     if before:
-        targets.append(F.when(offset >= width - before, own + 1))
+        targets.append(F.when(may & (offset >= width - before), own + 1))
     if after:
-        targets.append(F.when(offset <= after, own - 1))
+        targets.append(F.when(may & (offset <= after), own - 1))
     copies = F.filter(F.array(*targets), lambda t: t.isNotNull())
     return (
         df.withColumn("_own", own)

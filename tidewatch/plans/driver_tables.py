@@ -20,9 +20,9 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
     # No limit per trigger: the files of a table are in no order of time, and split
-    # into batches their rows would come late and be lost.
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return _typed(reader.parquet(folder))
+    # into batches their rows would come late and be lost. As a pattern the path
+    # may name a single file as well as a folder of files.
+    return _typed(spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]"))
 
 
 def _typed(raw: DataFrame) -> DataFrame:

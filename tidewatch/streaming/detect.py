@@ -60,7 +60,8 @@ def followed_within(
     rules = Rules(deadline=lambda row: row[0] + within - 1, on_row=on_row, on_expiry=on_expiry)
     output = StructType([events.schema[key]] + _fields(
         kind=StringType, first_us=LongType, then_us=LongType, result_msg=StringType))
-    return replay(_opening(events, first, then, key, kind, seq), key, rules, output, within * SLICES, after=within)
+    rows = _opening(events, first, then, key, kind, seq)
+    return replay(rows, key, rules, output, within * SLICES, after=within, guests=~F.col("opens"))
 
 
 def order_results(

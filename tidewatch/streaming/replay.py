@@ -20,7 +20,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
@@ -107,14 +107,14 @@ class InEventOrder(StatefulProcessor):
 
 def replay(
     df: DataFrame, key: str, rules: Rules, output: StructType,
-    width: int | None = None, before: int = 0, after: int = 0,
+    width: int | None = None, before: int = 0, after: int = 0, guests: Column | None = None,
 ) -> DataFrame:
     """``df``: a watermarked stream with ``key``, the event time ``ts`` and the row
     columns starting with ``us`` and ``seq``. With ``width``, rows of a key meet
     only within slices of that many microseconds and their margins."""
     groups = [key]
     if width:
-        df, groups = with_margins(df, width, before, after), [key, "slice"]
+        df, groups = with_margins(df, width, before, after, guests), [key, "slice"]
     row_schema = StructType([f for f in df.schema if f.name not in (*groups, "ts")])
     return df.groupBy(*groups).transformWithStateInPandas(
         statefulProcessor=InEventOrder(rules, row_schema, output.names),

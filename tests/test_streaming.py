@@ -1,5 +1,6 @@
 """Streams must end with the results of their batch forms on the same rows."""
 
+import os
 import time
 
 import numpy as np
@@ -15,7 +16,7 @@ from tidewatch.operators import ranking
 from tidewatch.operators import reconcile as batch_reconcile
 from tidewatch.operators import sequences as batch_sequences
 from tidewatch.operators import windows as batch_windows
-from tidewatch.streaming import clicks, detect, late, reconcile, sinks, windows
+from tidewatch.streaming import clicks, detect, incremental, late, sinks, windows
 
 START = 1_700_000_000 * SECOND
 FAR = START + 400 * 86_400 * SECOND
@@ -82,14 +83,49 @@ def test_one_to_one(spark, folder, batches):
     stream = as_stream(spark, pdf, folder, batches, end)
     pays, receipts = (stream.where(F.col("kind") == k) for k in ("pay", "receipt"))
     names = {"key": "key", "pay_id": "rid", "receipt_id": "rid"}
-    sinks.run_available(reconcile.to_matches(pays, receipts, folder + "o", folder + "c", 5, **names), LIMIT_S)
-    got = reconcile.read_matches(spark, folder + "o", pays.schema["key"])
+    job = incremental.matches(pays, receipts, folder + "o", delay_s=5, **names)
+    sinks.run_available(job.writer, LIMIT_S)
+    got = job.read(spark)
     b = batch(spark, pdf)
     want = batch_reconcile.match_one_to_one(b.where("kind = 'pay'"), b.where("kind = 'receipt'"), **names)
     assert rows_with_nulls(want, *want.columns) == rows_with_nulls(got, *want.columns)
     assert want.select("kind").distinct().count() == 3
 
 
+@pytest.mark.parametrize("batches", [1, 5])
+def test_incremental(spark, folder, batches):
+    """The batch operators run over micro-batches."""
+    kinds = ["fail", "fail", "create", "pay"]
+    pdf = events(600, kinds, 5, 1500, jitter_s=6)
+    b, names = batch(spark, pdf), {"key": "key", "kind": "kind", "arrival": "seq"}
+    cases = {
+        "failures": (5, {}, batch_sequences.repeated_failures(b, 5, **names)),
+        "sequences": (30, {}, batch_sequences.followed_within(b, 30, **names)),
+        "order_states": (10, {"grace_s": 15}, batch_orders.order_results(b, 10, 15, **names)),
+    }
+    for name, (within_s, options, want) in cases.items():
+        stream = as_stream(spark, pdf, folder + name, batches, END)
+        job = getattr(incremental, name)(stream, f"{folder}{name}o", within_s, delay_s=7, **options, **names)
+        sinks.run_available(job.writer, LIMIT_S)
+        assert rows_with_nulls(want, "*") == rows_with_nulls(job.read(spark), *want.columns), name
+
+
+def test_incremental_batch_runs_again(spark, folder):
+    """A batch that is repeated after a failure replaces what it had written."""
+    pdf = events(300, ["fail", "ok"], 3, 600)
+    job = incremental.failures(
+        as_stream(spark, pdf, folder, 3, END), folder + "o", 5, 0, key="key", kind="kind", arrival="seq")
+    sinks.run_available(job.writer, LIMIT_S)
+    before = rows(job.read(spark), "*")
+    commits = folder + "o/checkpoint/commits"
+    last = max(int(name) for name in os.listdir(commits) if name.isdigit())
+    for name in os.listdir(commits):
+        if str(last) in name.split("."):
+            os.unlink(f"{commits}/{name}")
+    sinks.run_available(job.writer, LIMIT_S)
+    assert rows(job.read(spark), "*") == before and before
+
+
 def test_interval_join(spark, folder):
     pdf = events(400, ["pay", "receipt"], 6, 600, jitter_s=4).rename(columns={"seq": "rid"})
     end = {"key": -1, "kind": "pay", "us": FAR, "rid": 10**9}

@@ -37,6 +37,25 @@ def order_results(
     the deadline, as a stream must; None waits for ever. ``slice_s`` sets how
     finely the timeline of a key is spread over tasks.
     """
+    return decided_results(
+        logs, within_s, grace_s, create, pay, key, kind, arrival, ts, slice_s
+    ).drop("decided_us")
+
+
+def decided_results(
+    logs: DataFrame,
+    within_s: int = 900,
+    grace_s: int | None = None,
+    create: str = "create",
+    pay: str = "pay",
+    key: str = "order_id",
+    kind: str = "event_type",
+    arrival: str = "arrival",
+    ts: str = "ts",
+    slice_s: int = 600,
+) -> DataFrame:
+    """``order_results`` with ``decided_us``, the last time a row could still have
+    changed the result (with ``grace_s`` given)."""
     within = within_s * SECOND
     rows = logs.where(F.col(kind).isin(create, pay)).select(
         key, (F.col(kind) == create).alias("opens"), F.col(arrival).alias("_seq"), micros(ts).alias("us")
@@ -55,4 +74,9 @@ def order_results(
     ).otherwise(
         F.when(~still_open, NO_CREATE).when(waited < within, PAID).otherwise(PAID_LATE)
     )
-    return both.select(key, "us", result.alias("result_msg")).where(F.col("result_msg").isNotNull())
+    expires = F.col("us") + kept - 1 if kept is not None else F.lit(None).cast("bigint")
+    replaced = F.when(F.col("next_opens"), F.col("next_us"))
+    decided = F.when(F.col("opens"), F.least(expires, replaced)).otherwise(F.col("us"))
+    return both.select(
+        key, "us", result.alias("result_msg"), decided.alias("decided_us")
+    ).where(F.col("result_msg").isNotNull())

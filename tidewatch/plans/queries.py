@@ -18,7 +18,8 @@ from ..operators.ranking import top_per_window
 from ..operators.windows import with_window_texts
 from ..session import SETTINGS
 from ..sources.lines import parse_csv_lines, parse_web_log
-from ..streaming import reconcile, sinks
+from ..streaming import sinks
+from ..streaming.incremental import Incremental
 from . import driver_tables as tables
 from . import jobs, stream_jobs
 
@@ -289,31 +290,38 @@ def stream_province_clicks(events):
     return sinks.table_of(stream_jobs.province_clicks(tables.ad_clicks(events), CLICK_LIMIT, seq="arrival"))
 
 
+def finished(job: Incremental, spark: SparkSession) -> DataFrame:
+    sinks.run_available(job.writer)
+    return job.read(spark)
+
+
 @query(tables.event_stream)
 def stream_login_failures(events):
-    logins = tables.logins(events)
-    return sinks.table_of(stream_jobs.login_failures(logins, DAY_S, delay_s=0, fail=tables.FAIL, seq="arrival"))
+    spark = events.sparkSession
+    return finished(stream_jobs.login_failures(
+        tables.logins(events), sinks.shared_folder(spark), DAY_S, delay_s=0, fail=tables.FAIL), spark)
 
 
 @query(tables.event_stream)
 def stream_order_sequences(events):
-    found = stream_jobs.order_sequences(tables.order_logs(events), DAY_S, seq="arrival", **SEQUENCE)
-    return absent_as(sinks.table_of(found), -1, "then_us")
+    spark = events.sparkSession
+    found = finished(stream_jobs.order_sequences(
+        tables.order_logs(events), sinks.shared_folder(spark), DAY_S, **SEQUENCE), spark)
+    return absent_as(found, -1, "then_us")
 
 
 @query(tables.event_stream)
 def stream_order_states(events):
-    return sinks.table_of(stream_jobs.order_states(tables.order_logs(events), DAY_S, DAY_S, seq="arrival", **ORDER))
+    spark = events.sparkSession
+    return finished(stream_jobs.order_states(
+        tables.order_logs(events), sinks.shared_folder(spark), DAY_S, DAY_S, **ORDER), spark)
 
 
 @query(tables.event_stream)
 def stream_payment_receipts(events):
-    orders, receipts = tables.order_logs(events).where(has_transaction()), tables.receipts(events)
     spark = events.sparkSession
-    folder = sinks.shared_folder(spark)
-    writer = reconcile.to_matches(orders, receipts, folder, f"{folder}/checkpoint", **WAITS, **IDS)
-    sinks.run_available(writer)
-    matches = reconcile.read_matches(spark, folder, receipts.schema["tx_id"])
+    matches = finished(stream_jobs.payment_receipts(
+        tables.order_logs(events), tables.receipts(events), sinks.shared_folder(spark), **WAITS, **IDS), spark)
     return absent_as(matches, -1, *MATCH_TIMES)
 
 

@@ -9,7 +9,8 @@ from ..functions.event_time import watermarked, where_watermarked
 from ..functions.filters import has_transaction, is_behavior, is_not_behavior, is_page
 from ..operators import clicks as click_cap
 from ..streaming import clicks as stream_clicks
-from ..streaming import detect, windows
+from ..streaming import detect, incremental, windows
+from ..streaming.incremental import Incremental
 from .jobs import FIVE_MINUTES_S, HOUR_S, REMOVED, VIEW
 
 
@@ -67,18 +68,22 @@ def province_clicks(
     return windows.sliding_counts(kept, ["province"], size_s, slide_s)
 
 
-def login_failures(logins: DataFrame, within_s: int = 5, delay_s: int = 6, **names) -> DataFrame:
-    return detect.repeated_failures(watermarked(logins, delay_s), within_s, **names)
+def login_failures(logins: DataFrame, path: str, within_s: int = 5, delay_s: int = 6, **names) -> Incremental:
+    return incremental.failures(logins, path, within_s, delay_s, **names)
 
 
-def order_sequences(orders: DataFrame, within_s: int = 900, delay_s: int = 0, **names) -> DataFrame:
-    return detect.followed_within(watermarked(orders, delay_s), within_s, **names)
+def order_sequences(orders: DataFrame, path: str, within_s: int = 900, delay_s: int = 0, **names) -> Incremental:
+    return incremental.sequences(orders, path, within_s, delay_s, **names)
 
 
 def order_states(
-    orders: DataFrame, within_s: int = 900, grace_s: int = 0, delay_s: int = 0, **names
-) -> DataFrame:
-    return detect.order_results(watermarked(orders, delay_s), within_s, grace_s, **names)
+    orders: DataFrame, path: str, within_s: int = 900, grace_s: int = 0, delay_s: int = 0, **names
+) -> Incremental:
+    return incremental.order_states(orders, path, within_s, grace_s, delay_s, **names)
+
+
+def payment_receipts(orders: DataFrame, receipts: DataFrame, path: str, **options) -> Incremental:
+    return incremental.matches(orders.where(has_transaction()), receipts, path, **options)
 
 
 def payment_receipt_pairs(orders: DataFrame, receipts: DataFrame, delay_s: int = 0, **options) -> DataFrame:

@@ -110,6 +110,21 @@ def test_incremental(spark, folder, batches):
         assert rows_with_nulls(want, "*") == rows_with_nulls(job.read(spark), *want.columns), name
 
 
+@pytest.mark.parametrize("strict,batches", [(False, 4), (True, 7)])
+def test_incremental_click_cap(spark, folder, strict, batches):
+    pdf = events(900, ["a", "b"], 4, 3 * 86_400, jitter_s=600).rename(columns={"kind": "ad"})
+    job = incremental.click_cap(
+        as_stream(spark, pdf, folder, batches), folder + "o", 20, strict, 600, keys=("key", "ad"), arrival="seq")
+    sinks.run_available(job.writer, LIMIT_S)
+    want = batch_clicks.cap_clicks(batch(spark, pdf), 20, strict, keys=("key", "ad"), arrival=("seq",))
+    columns = ("key", "ad", "seq", "us", "kind")
+    assert rows(want, *columns) == rows(job.read(spark), *columns)
+    assert want.where("kind = 'warning'").count() > 10
+    # Only days that can still get clicks are carried along.
+    last = spark.read.parquet(folder + f"o/open/batch={batches - 1}")
+    assert last.select("_day").distinct().count() <= 2
+
+
 def test_incremental_batch_runs_again(spark, folder):
     """A batch that is repeated after a failure replaces what it had written."""
     pdf = events(300, ["fail", "ok"], 3, 600)

@@ -55,6 +55,14 @@ def channel_windows(
     return windows.sliding_counts(kept, ["channel", "behavior"], size_s, slide_s)
 
 
+def click_cap_table(
+    clicks: DataFrame, path: str, limit: int = 100, strict: bool = False, delay_s: int = 0, **names
+) -> Incremental:
+    """The cap as a table that grows with each batch; for the clicks as a stream
+    to go on with, see ``capped_clicks``."""
+    return incremental.click_cap(clicks, path, limit, strict, delay_s, **names)
+
+
 def capped_clicks(clicks: DataFrame, limit: int = 100, strict: bool = False, delay_s: int = 0, **cap) -> DataFrame:
     """All clicks within the cap and the warnings, told apart by ``kind``."""
     return stream_clicks.cap_clicks(watermarked(clicks, delay_s), limit, strict, **cap)

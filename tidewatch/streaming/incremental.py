@@ -15,12 +15,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
-from ..functions.event_time import SECOND, micros
+from ..functions.event_time import DAY, SECOND, floor_to, micros
+from ..operators.clicks import PASS, WARNING
 from ..operators.orders import decided_results
 from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, match_line, one_line
 from ..operators.sequences import followed_within, repeated_failures
@@ -38,7 +39,7 @@ class Incremental:
     schema: StructType
 
     def read(self, spark: SparkSession) -> DataFrame:
-        results = spark.read.schema(self.schema).parquet(f"{self.path}/rows").drop("batch")
+        results = spark.read.schema(self.schema).parquet(f"{self.path}/rows").drop("batch", "_day", "_seen")
         return results.where(~F.col("held")).drop("held") if "held" in results.columns else results
 
 
@@ -55,34 +56,41 @@ def in_event_order(
     reached)`` picks the rows the next batch needs again. ``side`` is a boolean
     column telling two inputs apart."""
     spark = line.sparkSession
-    sides = (False, True) if side else (False,)
     schema = results(spark.createDataFrame([], line.schema), NEVER, NEVER).schema
 
-    def part(name: str, number: int) -> str:
-        return f"{path}/{name}/batch={number}"
-
     def work(batch: DataFrame, number: int) -> None:
-        old = [NEVER] * len(sides)
-        if number > 0:
-            old = spark.read.schema(TOPS).parquet(part("tops", number - 1)).first()["tops"]
-        which = F.col(side) if side else F.lit(False)
-        newest = batch.groupBy(which.alias("side")).agg(F.max("us").alias("top")).collect()
-        now = {r["side"]: r["top"] for r in newest}
-        tops = [max(top, now.get(s, NEVER)) for s, top in zip(sides, old)]
-        before, reached = _reached(old, delay_s), _reached(tops, delay_s)
-
+        before, reached = _advance(batch, path, number, delay_s, side)
         rows = batch.where(F.col("us") > before)
         if number > 0:
-            rows = rows.unionByName(spark.read.schema(line.schema).parquet(part("open", number - 1)))
-        _write(results(rows.where(F.col("us") <= reached), before, reached), part("rows", number))
-        written = spark.read.schema(schema).parquet(part("rows", number))
-        _write(carry(written, rows, reached), part("open", number))
-        _write(spark.createDataFrame([(tops,)], TOPS), part("tops", number))
+            rows = rows.unionByName(spark.read.schema(line.schema).parquet(_part(path, "open", number - 1)))
+        _write(results(rows.where(F.col("us") <= reached), before, reached), _part(path, "rows", number))
+        written = spark.read.schema(schema).parquet(_part(path, "rows", number))
+        _write(carry(written, rows, reached), _part(path, "open", number))
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
     return Incremental(writer, path, schema)
 
 
+def _part(path: str, name: str, number: int) -> str:
+    return f"{path}/{name}/batch={number}"
+
+
+def _advance(batch: DataFrame, path: str, number: int, delay_s: int, side: str | None = None) -> tuple[int, int]:
+    """The times reached before and with this batch. Keeps the newest row of each
+    side, two numbers at most, for the next batch."""
+    spark = batch.sparkSession
+    sides = (False, True) if side else (False,)
+    old = [NEVER] * len(sides)
+    if number > 0:
+        old = spark.read.schema(TOPS).parquet(_part(path, "tops", number - 1)).first()["tops"]
+    which = F.col(side) if side else F.lit(False)
+    newest = batch.groupBy(which.alias("side")).agg(F.max("us").alias("top")).collect()
+    now = {r["side"]: r["top"] for r in newest}
+    tops = [max(top, now.get(s, NEVER)) for s, top in zip(sides, old)]
+    _write(spark.createDataFrame([(tops,)], TOPS), _part(path, "tops", number))
+    return _reached(old, delay_s), _reached(tops, delay_s)
+
+
 def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -166,3 +174,42 @@ def matches(
         return waiting.unionByName(rows.where(F.col("us") > reached))
 
     return in_event_order(line, path, delay_s, results, carry, side="is_receipt")
+
+
+def click_cap(
+    clicks: DataFrame, path: str, limit: int = 100, strict: bool = False, delay_s: int = 0,
+    keys: tuple[str, ...] = ("user_id", "ad_id"), arrival: str = "arrival",
+) -> Incremental:
+    """The click cap by arrival, batch after batch. Carries one small row per key
+    and open UTC day: how many of its clicks have been let through or warned
+    about, at most ``limit + 2``. Clicks of days that are over are left out."""
+    allowed = limit + 1 if strict else limit
+    line = clicks.withColumns({"us": micros(), "_day": floor_to(micros(), DAY)})
+    kept = [field for field in clicks.schema if field.name != "kind"]
+    counted = StructType([clicks.schema[k] for k in keys] + StructType.fromDDL("_day bigint, _seen bigint").fields)
+    schema = StructType(kept + StructType.fromDDL("kind string, _day bigint, _seen bigint").fields)
+    spark = line.sparkSession
+    by_arrival = Window.partitionBy(*keys, "_day").orderBy(arrival)
+
+    def work(batch: DataFrame, number: int) -> None:
+        before, reached = _advance(batch, path, number, delay_s)
+        first = (
+            batch.where(F.col("_day") + DAY > before)
+            .withColumn("nth", F.row_number().over(by_arrival)).where(F.col("nth") <= allowed + 1)
+        )
+        counts = spark.createDataFrame([], counted)
+        if number > 0:
+            counts = spark.read.schema(counted).parquet(_part(path, "open", number - 1))
+        total = F.coalesce("_seen", F.lit(0)) + F.col("nth")
+        told = (
+            first.join(counts, [*keys, "_day"], "left").withColumn("_seen", total)
+            .where(F.col("_seen") <= allowed + 1)
+            .withColumn("kind", F.when(F.col("_seen") <= allowed, PASS).otherwise(WARNING))
+        )
+        _write(told.select(*schema.names), _part(path, "rows", number))
+        written = spark.read.schema(schema).parquet(_part(path, "rows", number))
+        open_days = written.select(*counted.names).unionByName(counts).where(F.col("_day") + DAY > reached)
+        _write(open_days.groupBy(*keys, "_day").agg(F.max("_seen").alias("_seen")), _part(path, "open", number))
+
+    writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
+    return Incremental(writer, path, schema)

@@ -2,23 +2,25 @@
 
 from pyspark.sql import functions as F
 
-from conftest import FIXTURES
+from conftest import fixture_file
 from tidewatch import schemas
 from tidewatch.operators.clicks import cap_clicks, passed
 from tidewatch.plans import jobs
 from tidewatch.sources.files import read_records
 
 
-def fixture(spark, name, layout):
-    folder = {"AdClickLog": "MarketAnalysis", "LoginLog": "LoginFailDetect"}.get(name, "OrderPayDetect")
-    path = f"{FIXTURES}/{folder}/src/main/resources/{name}.csv"
-    return read_records(spark, path, layout, arrival=True)
+# A column only that file has.
+CLICKS, LOGINS, ORDERS, RECEIPTS = "ad_id", "ip string", "order_id", "pay_channel"
+
+
+def fixture(spark, column, layout):
+    return read_records(spark, fixture_file(column), layout, arrival=True)
 
 
 def test_row_counts(spark):
     for name, layout, rows in [
-        ("AdClickLog", schemas.AD_CLICK, 143), ("LoginLog", schemas.LOGIN, 51),
-        ("OrderLog", schemas.ORDER_LOG, 79), ("ReceiptLog", schemas.RECEIPT, 40),
+        (CLICKS, schemas.AD_CLICK, 143), (LOGINS, schemas.LOGIN, 51),
+        (ORDERS, schemas.ORDER_LOG, 79), (RECEIPTS, schemas.RECEIPT, 40),
     ]:
         df = fixture(spark, name, layout)
         assert df.count() == rows
@@ -26,7 +28,7 @@ def test_row_counts(spark):
 
 
 def test_click_cap(spark):
-    clicks = fixture(spark, "AdClickLog", schemas.AD_CLICK)
+    clicks = fixture(spark, CLICKS, schemas.AD_CLICK)
     assert passed(cap_clicks(clicks, 100)).count() == 122
     assert passed(cap_clicks(clicks, 100, strict=True)).count() == 123
     warned = cap_clicks(clicks, 100).where("kind = 'warning'").collect()
@@ -37,13 +39,13 @@ def test_click_cap(spark):
 
 
 def test_province_clicks(spark):
-    out = jobs.province_clicks(fixture(spark, "AdClickLog", schemas.AD_CLICK))
+    out = jobs.province_clicks(fixture(spark, CLICKS, schemas.AD_CLICK))
     row = out.agg(F.count("*"), F.count_distinct("window_end"), F.sum("cnt")).first()
     assert tuple(row) == (99, 24, 1464)
 
 
 def test_login_failures(spark):
-    out = jobs.login_failures(fixture(spark, "LoginLog", schemas.LOGIN)).orderBy("first_us").collect()
+    out = jobs.login_failures(fixture(spark, LOGINS, schemas.LOGIN)).orderBy("first_us").collect()
     assert [(r.user_id, r.first_us // 10**6, r.last_us // 10**6, r.msg) for r in out] == [
         (1035, 1558430842, 1558430843, "login fail"),
         (1035, 1558430843, 1558430844, "login fail"),
@@ -52,7 +54,7 @@ def test_login_failures(spark):
 
 
 def test_order_states(spark):
-    out = jobs.order_states(fixture(spark, "OrderLog", schemas.ORDER_LOG))
+    out = jobs.order_states(fixture(spark, ORDERS, schemas.ORDER_LOG))
     by_message = {r[0]: r[1] for r in out.groupBy("result_msg").count().collect()}
     assert by_message == {
         "payed successfully": 37, "payed but timeout": 1, "timeout": 2, "payed but not found create": 1
@@ -64,15 +66,15 @@ def test_order_states(spark):
 
 
 def test_order_sequences(spark):
-    out = jobs.order_sequences(fixture(spark, "OrderLog", schemas.ORDER_LOG))
+    out = jobs.order_sequences(fixture(spark, ORDERS, schemas.ORDER_LOG))
     assert {r[0]: r[1] for r in out.groupBy("kind").count().collect()} == {"payed": 37, "timeout": 3}
     late = out.where("order_id = 34767").first()
     assert late.result_msg == f"timeOut at{late.first_us // 1000 + 900_000}"
 
 
 def test_payment_receipts(spark):
-    orders = fixture(spark, "OrderLog", schemas.ORDER_LOG)
-    receipts = fixture(spark, "ReceiptLog", schemas.RECEIPT)
+    orders = fixture(spark, ORDERS, schemas.ORDER_LOG)
+    receipts = fixture(spark, RECEIPTS, schemas.RECEIPT)
     names = {"pay_id": "order_id", "receipt_id": "pay_channel"}
     out = jobs.payment_receipts(orders, receipts, **names)
     assert {r[0]: r[1] for r in out.groupBy("kind").count().collect()} == {

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import FIXTURES
+from conftest import fixture_file
 from tidewatch import schemas
 from tidewatch.functions.event_time import watermarked
 from tidewatch.plans import jobs
@@ -18,13 +18,13 @@ from tidewatch.streaming import detect, sinks
 
 
 def test_csv_lines_and_back(spark):
-    lines = spark.createDataFrame([("543462,1715,1464116,pv,1511658000",)], "value string")
+    lines = spark.createDataFrame([("17,1715,464,pv,1511658000",)], "value string")
     records = parse_csv_lines(lines, schemas.USER_BEHAVIOR)
     row = records.first()
-    assert (row.user_id, row.item_id, row.category_id, row.behavior) == (543462, 1715, 1464116, "pv")
+    assert (row.user_id, row.item_id, row.category_id, row.behavior) == (17, 1715, 464, "pv")
     assert records.select(F.unix_seconds("ts")).first()[0] == 1511658000
     again = to_csv_lines(records, ["user_id", "item_id", "category_id", "behavior", "epoch_s"])
-    assert again.first().value == "543462,1715,1464116,pv,1511658000"
+    assert again.first().value == "17,1715,464,pv,1511658000"
 
 
 def test_market_lines(spark):
@@ -35,9 +35,9 @@ def test_market_lines(spark):
 
 def test_web_log(spark):
     lines = spark.createDataFrame(
-        [("83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /presentations/kibana.png",)], "value string")
+        [("10.1.2.3 u7 - 17/05/2015:10:05:03 +0000 GET /docs/a.png",)], "value string")
     row = parse_web_log(lines).select("ip", "user_id", F.unix_seconds("ts").alias("s"), "method", "url").first()
-    assert tuple(row) == ("83.149.9.216", "-", 1431857103, "GET", "/presentations/kibana.png")
+    assert tuple(row) == ("10.1.2.3", "u7", 1431857103, "GET", "/docs/a.png")
 
 
 def test_line_positions(spark, tmp_path):
@@ -55,10 +55,10 @@ def test_line_positions(spark, tmp_path):
 
 
 def test_kafka_options():
-    options = kafka.source_options("host:9092", "UserBehavior", group="consumer-group", rows_per_trigger=10)
+    options = kafka.source_options("host:9092", "behavior", group="analytics", rows_per_trigger=10)
     assert options == {
-        "kafka.bootstrap.servers": "host:9092", "subscribe": "UserBehavior", "startingOffsets": "latest",
-        "kafka.group.id": "consumer-group", "maxOffsetsPerTrigger": "10",
+        "kafka.bootstrap.servers": "host:9092", "subscribe": "behavior", "startingOffsets": "latest",
+        "kafka.group.id": "analytics", "maxOffsetsPerTrigger": "10",
     }
 
 
@@ -70,11 +70,11 @@ def test_kafka_needs_its_connector(spark):
         kafka.topic_lines(spark, "host:9092", "topic")
 
 
-def fixture_stream(spark, tmp_path, name, module, layout, last_line):
+def fixture_stream(spark, tmp_path, column, layout, last_line):
     """A fixture file as one batch and a last line that closes the time as another."""
-    folder = tmp_path / name
+    folder = tmp_path / "in"
     os.makedirs(folder)
-    shutil.copyfile(f"{FIXTURES}/{module}/src/main/resources/{name}.csv", folder / "0.csv")
+    shutil.copyfile(fixture_file(column), folder / "0.csv")
     (folder / "1.csv").write_text(last_line + "\n")
     for i in (0, 1):
         os.utime(folder / f"{i}.csv", (1_700_000_000 + i,) * 2)
@@ -83,23 +83,24 @@ def fixture_stream(spark, tmp_path, name, module, layout, last_line):
 
 
 def test_login_stream(spark, tmp_path):
-    logins = fixture_stream(spark, tmp_path, "LoginLog", "LoginFailDetect", schemas.LOGIN, "0,x,success,1600000000")
+    logins = fixture_stream(spark, tmp_path, "ip string", schemas.LOGIN, "0,x,success,1600000000")
     got = sinks.table_of(detect.repeated_failures(watermarked(logins, 6)), 120)
     assert sorted((r.user_id, r.first_us // 10**6) for r in got.collect()) == [
         (1035, 1558430842), (1035, 1558430843), (1035, 1558430844)]
 
 
 def test_order_stream(spark, tmp_path):
-    orders = fixture_stream(spark, tmp_path, "OrderLog", "OrderPayDetect", schemas.ORDER_LOG, "0,none,,1600000000")
+    orders = fixture_stream(spark, tmp_path, "order_id", schemas.ORDER_LOG, "0,none,,1600000000")
     got = sinks.table_of(detect.followed_within(watermarked(orders, 0)), 120)
     assert {r[0]: r[1] for r in got.groupBy("kind").count().collect()} == {"payed": 37, "timeout": 3}
-    path = f"{FIXTURES}/OrderPayDetect/src/main/resources/OrderLog.csv"
+    path = fixture_file("order_id")
     batch = jobs.order_sequences(read_records(spark, path, schemas.ORDER_LOG, arrival=True))
     assert sorted(map(str, got.collect())) == sorted(map(str, batch.collect()))
 
 
 def test_console(spark, tmp_path):
-    stream = spark.readStream.schema(schemas.RECEIPT).csv(
-        f"{FIXTURES}/OrderPayDetect/src/main/resources/ReceiptLog*")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.csv").write_text("t1,wechat,1500000000\n")
+    stream = stream_records(spark, str(tmp_path / "in"), schemas.RECEIPT)
     query = sinks.run_available(sinks.to_console(stream, "receipts"), 60)
     assert query.exception() is None

@@ -16,6 +16,7 @@ from tidewatch.operators import ranking
 from tidewatch.operators import reconcile as batch_reconcile
 from tidewatch.operators import sequences as batch_sequences
 from tidewatch.operators import windows as batch_windows
+from tidewatch.plans import stream_jobs
 from tidewatch.streaming import clicks, detect, incremental, late, sinks, windows
 
 START = 1_700_000_000 * SECOND
@@ -125,6 +126,19 @@ def test_incremental_click_cap(spark, folder, strict, batches):
     assert last.select("_day").distinct().count() <= 2
 
 
+def test_incremental_capped_windows(spark, folder):
+    pdf = events(900, ["a", "b"], 4, 2 * 86_400).rename(columns={"kind": "ad"}).assign(province="p")
+    pdf["province"] = "p" + (pdf["seq"] % 3).astype(str)
+    end = {**END_AD, "province": "end"}
+    job = incremental.capped_windows(
+        as_stream(spark, pdf, folder, 5, end), folder + "o", "province", 3600, 300, 20,
+        keys=("key", "ad"), arrival="seq")
+    sinks.run_available(job.writer, LIMIT_S)
+    kept = batch_clicks.passed(batch_clicks.cap_clicks(batch(spark, pdf), 20, keys=("key", "ad"), arrival=("seq",)))
+    want = batch_windows.sliding_counts(kept, ["province"], 3600, 300)
+    assert rows(want, *want.columns) == rows(job.read(spark).where("province <> 'end'"), *want.columns)
+
+
 def test_incremental_batch_runs_again(spark, folder):
     """A batch that is repeated after a failure replaces what it had written."""
     pdf = events(300, ["fail", "ok"], 3, 600)
@@ -239,3 +253,15 @@ def test_late_rows(spark, folder):
         watermark = max(watermark, int(part["us"].max()) - SECOND)
     assert rows(got, "seq", "kind") == sorted(want)
     assert {k for _, k in want} == {"late", "on_time"}
+
+
+def test_capped_clicks_go_on_as_a_stream(spark, folder):
+    """Cap with timers and windows in one query."""
+    pdf = events(500, ["a", "b"], 4, 86_400).rename(columns={"kind": "ad"})
+    pdf["province"] = "p" + (pdf["seq"] % 3).astype(str)
+    stream = as_stream(spark, pdf, folder, end={**END_AD, "province": "end"})
+    names = {"keys": ("key", "ad"), "seq": "seq"}
+    got = sinks.table_of(stream_jobs.province_clicks(stream, 20, **names), LIMIT_S)
+    kept = batch_clicks.passed(batch_clicks.cap_clicks(batch(spark, pdf), 20, keys=("key", "ad"), arrival=("seq",)))
+    want = batch_windows.sliding_counts(kept, ["province"], 3600, 300)
+    assert rows(want, *want.columns) == rows(got.where("province <> 'end'"), *want.columns)

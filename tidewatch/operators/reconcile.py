@@ -35,6 +35,7 @@ def match_one_to_one(
     pay_id: str = "pay_id",
     receipt_id: str = "receipt_id",
     ts: str = "ts",
+    slices: int = 16,
 ) -> DataFrame:
     """Each pay with at most one receipt, in event order, every input row exactly
     once: ``key, kind, pay_id, pay_us, receipt_id, receipt_us``.
@@ -49,17 +50,20 @@ def match_one_to_one(
     Cut into slices, neighbours come from the margins; the position counts from
     a start that may lie many slices back, for which one summary row per slice
     is carried forward. No join of the inputs, hence no pairs to emit or drop.
+    ``slices`` is the width of a slice in waiting times.
     """
     rows = one_line(pays, receipts, key, pay_id, receipt_id, ts)
-    return match_line(rows, pay_waits_s, receipt_waits_s, key).drop("last")
+    return match_line(rows, pay_waits_s, receipt_waits_s, key, slices).drop("last")
 
 
-def match_line(rows: DataFrame, pay_waits_s: int, receipt_waits_s: int, key: str) -> DataFrame:
+def match_line(
+    rows: DataFrame, pay_waits_s: int, receipt_waits_s: int, key: str, slices: int = 16
+) -> DataFrame:
     """``match_one_to_one`` on the output of ``one_line``. Adds ``last``: no row of
     the key followed in time, so an unmatched row could still find a partner."""
     waits = (pay_waits_s * SECOND, receipt_waits_s * SECOND)
     margin = max(waits)
-    sliced = with_margins(rows, max(margin * 16, MINUTE), before=margin, after=margin)
+    sliced = with_margins(rows, max(margin * slices, MINUTE), before=margin, after=margin)
 
     part = Window.partitionBy(key, "slice").orderBy(*IN_ORDER)
     so_far = part.rowsBetween(Window.unboundedPreceding, 0)

@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 from ..functions.event_time import SECOND, floor_to, micros, text_time, to_millis
 
 
-def _pane_counts(df: DataFrame, keys: list[str], width: int, ts: str) -> DataFrame:
-    # Counted before the shuffle, so a hot key sends one row per pane and task.
+def pane_counts(df: DataFrame, keys: list[str], width: int, ts: str) -> DataFrame:
+    """``keys, _end, cnt`` per pane of ``width`` microseconds. Counted before the
+    shuffle, so a hot key sends one row per pane and task."""
     pane_end = (floor_to(micros(ts), width) + F.lit(width)).alias("_end")
     return df.select(*keys, pane_end).groupBy(*keys, "_end").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def tumbling_counts(df: DataFrame, keys: list[str], size_s: int, ts: str = "ts") -> DataFrame:
     """``keys, window_end, cnt``. Without keys the window itself is the key."""
-    counts = _pane_counts(df, keys, size_s * SECOND, ts)
+    counts = pane_counts(df, keys, size_s * SECOND, ts)
     return counts.select(*keys, to_millis(F.col("_end")).alias("window_end"), "cnt")
 
 
@@ -38,8 +39,16 @@ def sliding_counts(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ts
         return tumbling_counts(df, keys, size_s, ts)
     if size_s % slide_s:
         return _copied_counts(df, keys, size_s, slide_s, ts)
+    return windows_of(pane_counts(df, keys, slide_s * SECOND, ts), keys, size_s, slide_s)
+
+
+def windows_of(panes: DataFrame, keys: list[str], size_s: int, slide_s: int) -> DataFrame:
+    """The windows of pane counts, one row per key and pane."""
     size, slide = size_s * SECOND, slide_s * SECOND
-    steps = _pane_counts(df, keys, slide, ts).select(
+    if keys:
+        # Where the running sum needs them, while there is one row per pane and not two.
+        panes = panes.repartition(*keys)
+    steps = panes.select(
         *keys,
         F.explode(F.array(
             F.struct(F.col("_end").alias("at"), F.col("cnt").alias("step")),

@@ -210,6 +210,7 @@ FROM (SELECT (us // {HOUR} + 1) * {HOUR} AS w_end, user_id FROM beh WHERE {PV})
     "stream_province_clicks": _provinces(CLICK_LIMIT) + f" WHERE w_end <= {REACHED}",
     "stream_channel_counts": _with(EVENTS, MARKET, CHANNEL_COUNTS) + CHANNEL_ROWS + f" WHERE w_end <= {REACHED}",
     "stream_click_cap": _with(EVENTS, CLICKS, _capped(CLICK_LIMIT)) + CAP_ROWS,
+    "stream_click_cap_timers": _with(EVENTS, CLICKS, _capped(CLICK_LIMIT)) + CAP_ROWS,
     "stream_login_failures": _with(EVENTS, FAILURES) + f"SELECT * FROM fails WHERE last_us <= {REACHED}",
     "stream_order_sequences": _with(EVENTS, ORDERS, SEQUENCES)
     + f"""SELECT {SEQUENCE_COLUMNS} FROM seqs s WHERE coalesce(s.then_us, first_us + {DAY} - 1)

@@ -279,11 +279,6 @@ def stream_channel_counts(events):
     return with_window_texts(sinks.table_of(counts), HOUR_S)
 
 
-@query(tables.event_stream)
-def stream_province_clicks(events):
-    return sinks.table_of(stream_jobs.province_clicks(tables.ad_clicks(events), CLICK_LIMIT, seq="arrival"))
-
-
 def finished(job: Incremental, spark: SparkSession) -> DataFrame:
     sinks.run_available(job.writer)
     return job.read(spark)
@@ -296,6 +291,20 @@ def stream_click_cap(events):
     return finished(job, spark).select("arrival", "user_id", "ad_id", "kind")
 
 
+@query(tables.event_stream)
+def stream_province_clicks(events):
+    spark = events.sparkSession
+    job = stream_jobs.province_click_table(tables.ad_clicks(events), sinks.shared_folder(spark), CLICK_LIMIT)
+    return finished(job, spark)
+
+
+@query(tables.event_stream)
+def stream_click_cap_timers(events):
+    """With keyed state and timers instead of tables."""
+    capped = stream_jobs.capped_clicks(tables.ad_clicks(events), CLICK_LIMIT, seq="arrival")
+    return sinks.table_of(capped).select("arrival", "user_id", "ad_id", "kind")
+
+
 @query(tables.event_stream)
 def stream_login_failures(events):
     spark = events.sparkSession

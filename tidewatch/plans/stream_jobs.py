@@ -63,6 +63,13 @@ def click_cap_table(
     return incremental.click_cap(clicks, path, limit, strict, delay_s, **names)
 
 
+def province_click_table(
+    clicks: DataFrame, path: str, limit: int = 100, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S, **cap
+) -> Incremental:
+    """The cap and the counts per province; the capped clicks are in ``path`` too."""
+    return incremental.capped_windows(clicks, path, "province", size_s, slide_s, limit, **cap)
+
+
 def capped_clicks(clicks: DataFrame, limit: int = 100, strict: bool = False, delay_s: int = 0, **cap) -> DataFrame:
     """All clicks within the cap and the warnings, told apart by ``kind``."""
     return stream_clicks.cap_clicks(watermarked(clicks, delay_s), limit, strict, **cap)

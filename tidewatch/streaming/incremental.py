@@ -25,6 +25,7 @@ from ..operators.clicks import PASS, WARNING
 from ..operators.orders import decided_results
 from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, match_line, one_line
 from ..operators.sequences import followed_within, repeated_failures
+from ..operators.windows import pane_counts, windows_of
 
 NEVER = -(2**62)
 TOPS = "tops array<bigint>"
@@ -66,11 +67,19 @@ def in_event_order(
         _write(results(rows.where(F.col("us") <= reached), before, reached), _part(path, "rows", number))
         written = spark.read.schema(schema).parquet(_part(path, "rows", number))
         _write(carry(written, rows, reached), _part(path, "open", number))
+        _forget(spark, path, number - 2)
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
     return Incremental(writer, path, schema)
 
 
+def _forget(spark: SparkSession, path: str, number: int) -> None:
+    """Drops what only batch ``number + 1``, long committed, has needed."""
+    for name in ("open", "tops"):
+        old = spark._jvm.org.apache.hadoop.fs.Path(_part(path, name, number))
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def _part(path: str, name: str, number: int) -> str:
     return f"{path}/{name}/batch={number}"
 
@@ -179,10 +188,12 @@ def matches(
 def click_cap(
     clicks: DataFrame, path: str, limit: int = 100, strict: bool = False, delay_s: int = 0,
     keys: tuple[str, ...] = ("user_id", "ad_id"), arrival: str = "arrival",
+    then: Callable[[DataFrame, int, int, int], None] | None = None,
 ) -> Incremental:
     """The click cap by arrival, batch after batch. Carries one small row per key
     and open UTC day: how many of its clicks have been let through or warned
-    about, at most ``limit + 2``. Clicks of days that are over are left out."""
+    about, at most ``limit + 2``. Clicks of days that are over are left out.
+    ``then`` goes on with the clicks of a batch, its number and its times."""
     allowed = limit + 1 if strict else limit
     line = clicks.withColumns({"us": micros(), "_day": floor_to(micros(), DAY)})
     kept = [field for field in clicks.schema if field.name != "kind"]
@@ -210,6 +221,38 @@ def click_cap(
         written = spark.read.schema(schema).parquet(_part(path, "rows", number))
         open_days = written.select(*counted.names).unionByName(counts).where(F.col("_day") + DAY > reached)
         _write(open_days.groupBy(*keys, "_day").agg(F.max("_seen").alias("_seen")), _part(path, "open", number))
+        if then:
+            then(written, number, before, reached)
+        _forget(spark, path, number - 2)
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
     return Incremental(writer, path, schema)
+
+
+def capped_windows(
+    clicks: DataFrame, path: str, group: str = "province", size_s: int = 3600, slide_s: int = 300,
+    limit: int = 100, **cap,
+) -> Incremental:
+    """The click cap, as above, and sliding counts of the clicks within it in the
+    same micro-batches: ``group, window_end, cnt``, each window once it is over.
+    Carries the pane counts of the windows still open."""
+    spark = clicks.sparkSession
+    place = f"{path}/windows"
+    size, slide = size_s * SECOND, slide_s * SECOND
+    fields = [clicks.schema[group]]
+    panes_schema = StructType(fields + StructType.fromDDL("_end bigint, cnt bigint").fields)
+    schema = StructType(fields + StructType.fromDDL("window_end bigint, cnt bigint").fields)
+
+    def count(told: DataFrame, number: int, before: int, reached: int) -> None:
+        panes = pane_counts(told.where(F.col("kind") == PASS), [group], slide, "ts")
+        if number > 0:
+            panes = panes.unionByName(spark.read.schema(panes_schema).parquet(_part(place, "open", number - 1)))
+        panes = panes.groupBy(group, "_end").agg(F.sum("cnt").alias("cnt"))
+        end = F.col("window_end") * 1000
+        over = windows_of(panes, [group], size_s, slide_s).where((end > before) & (end <= reached))
+        _write(over, _part(place, "rows", number))
+        _write(panes.where(F.col("_end") + size - slide > reached), _part(place, "open", number))
+        _forget(spark, place, number - 2)
+
+    job = click_cap(clicks, path, limit, then=count, **cap)
+    return Incremental(job.writer, place, schema)

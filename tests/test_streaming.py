@@ -208,6 +208,9 @@ def test_windows(spark, folder):
         (lambda s: windows.tumbling_counts(s, [], 300), lambda b: batch_windows.tumbling_counts(b, [], 300)),
         (lambda s: windows.distinct_per_window(s, "key", 300),
          lambda b: batch_windows.distinct_per_window(b, "key", 300)),
+        # So few keys are counted exactly.
+        (lambda s: windows.approx_distinct_per_window(s, "key", 300),
+         lambda b: batch_windows.distinct_per_window(b, "key", 300)),
     ]):
         end = {"key": -1, "kind": "end", "us": FAR, "seq": 10**9}
         stream = watermarked(as_stream(spark, pdf, f"{folder}{n}", end=end), 6)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import simhash
+from tidewatch.llm import quality, simhash
 
-QUERIES = {"op1_simhash": simhash.op1_simhash}
+QUERIES = {"op1_simhash": simhash.op1_simhash, "op10_quality": quality.op10_quality}
 ORACLES: dict[str, str] = {}

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import quality, simhash
+from tidewatch.llm import quality, secrets, simhash
 
-QUERIES = {"op1_simhash": simhash.op1_simhash, "op10_quality": quality.op10_quality}
+QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
+    "op9_secrets": secrets.op9_secrets,
+    "op10_quality": quality.op10_quality,
+}
 ORACLES: dict[str, str] = {}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import bpe, quality, secrets, simhash, tokens
+from tidewatch.llm import bpe, language, quality, secrets, simhash, tokens
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_language": language.op2_language,
     "op3_tokens": tokens.op3_tokens,
     "op7_bpe": bpe.op7_bpe,
     "op9_secrets": secrets.op9_secrets,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import bpe, language, quality, secrets, simhash, tokens
+from tidewatch.llm import bpe, decontaminate, language, quality, secrets, simhash, tokens
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_language": language.op2_language,
     "op3_tokens": tokens.op3_tokens,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_bpe": bpe.op7_bpe,
     "op9_secrets": secrets.op9_secrets,
     "op10_quality": quality.op10_quality,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import bpe, decontaminate, language, quality, secrets, simhash, tokens
+from tidewatch.llm import bpe, decontaminate, language, quality, secrets, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_tokens": tokens.op3_tokens,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_bpe": bpe.op7_bpe,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_secrets": secrets.op9_secrets,
     "op10_quality": quality.op10_quality,
 }

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import bpe, decontaminate, language, lm, quality, secrets, simhash, tokens, toxicity
+from tidewatch.llm import bpe, decontaminate, html, language, lm, quality, secrets, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_language": language.op2_language,
     "op3_tokens": tokens.op3_tokens,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_html": html.op5_html,
     "op6_lm": lm.op6_lm,
     "op7_bpe": bpe.op7_bpe,
     "op8_toxicity": toxicity.op8_toxicity,

@@ -87,7 +87,7 @@ class HammingIndex:
     """All stored fingerprints within a radius of a given one, by tables of their blocks.
 
     With m blocks, one block of any fingerprint within radius r differs in r // m bits or fewer. Each table
-    lists, for every value of its block, the stored fingerprints that are as close in it.
+    has the values of its block in order, with the stored fingerprints that have them.
     """
 
     def __init__(self, prints: np.ndarray, radius: int = RADIUS, blocks: int = BLOCKS):
@@ -95,29 +95,33 @@ class HammingIndex:
         self.near = radius // blocks
         masks = [sum(1 << b for b in some) for k in range(self.near + 1) for some in combinations(range(self.width), k)]
         self.masks = np.array(masks, np.uint64)
-        self.tables: list[dict[int, np.ndarray]] = []
+        self.tables: list[tuple[np.ndarray, list[np.ndarray]]] = []
         for block in range(blocks):
-            values = self._block(prints, block)
-            distinct, inverse = np.unique(values, return_inverse=True)
-            self.tables.append({int(v): np.flatnonzero(inverse == i) for i, v in enumerate(distinct)})
+            values, inverse = np.unique(self._block(prints, block), return_inverse=True)
+            self.tables.append((values, [np.flatnonzero(inverse == i) for i in range(len(values))]))
 
     def _block(self, prints: np.ndarray, block: int) -> np.ndarray:
         return prints >> np.uint64(block * self.width) & np.uint64((1 << self.width) - 1)
 
-    def within(self, print_: int) -> np.ndarray:
-        """Places of the stored fingerprints within the radius."""
-        found = []
-        for block, stored in enumerate(self.tables):
-            value = int(print_) >> (block * self.width) & ((1 << self.width) - 1)
-            # The shorter way round: try all values nearby, or all that are stored.
-            if len(self.masks) < len(stored):
-                found += [stored[v] for m in self.masks if (v := value ^ int(m)) in stored]
+    def within(self, prints: np.ndarray) -> list[tuple[int, int]]:
+        """Pairs (place in prints, place in the stored ones) within the radius, in order."""
+        found = set()
+        for block, (values, places) in enumerate(self.tables):
+            if not len(values):
+                continue
+            own = self._block(prints, block)
+            # The shorter way round: look up all values nearby, or compare with all that are stored.
+            if len(self.masks) < len(values):
+                sought = own[:, None] ^ self.masks[None, :]
+                at = np.minimum(np.searchsorted(values, sought), len(values) - 1)
+                rows, columns = np.nonzero(values[at] == sought)
+                hits = zip(rows.tolist(), at[rows, columns].tolist())
             else:
-                found += [at for v, at in stored.items() if (v ^ value).bit_count() <= self.near]
-        if not found:
-            return np.empty(0, np.int64)
-        places = np.unique(np.concatenate(found))
-        return places[np.bitwise_count(self.prints[places] ^ np.uint64(print_)) <= self.radius]
+                hits = zip(*(x.tolist() for x in np.nonzero(np.bitwise_count(own[:, None] ^ values[None, :]) <= self.near)))
+            for i, v in hits:
+                near = places[v][np.bitwise_count(self.prints[places[v]] ^ prints[i]) <= self.radius]
+                found.update((i, p) for p in near.tolist())
+        return sorted(found)
 
 
 class Items:
@@ -131,8 +135,10 @@ class Items:
         self.hashes = [hashes[i] for i in used]
         self.counts = [Counter(h.tolist()) for h in self.hashes]
         prints = [_packed(_signs(h).sum(axis=0, keepdims=True))[0] for h in self.hashes]
-        self.index = HammingIndex(np.array(prints, np.uint64), radius)
         self.lengths = np.array([len(h) for h in self.hashes], np.int64)
+        # A window is as long as its item: one index for each length.
+        self.of_length = {int(n): np.flatnonzero(self.lengths == n) for n in np.unique(self.lengths)}
+        self.indexes = {n: HammingIndex(np.array(prints, np.uint64)[at], radius) for n, at in self.of_length.items()}
         self.shingles = np.unique(np.concatenate(self.hashes)) if used else np.empty(0, np.uint64)
         # A bit for the low end of each hash rules most shingles of documents out without a search.
         self.seen = np.zeros(1 << 20, bool)
@@ -161,7 +167,7 @@ class Items:
             # Shared counts are at least least / (1 + least) of both sizes together.
             needed = int(np.ceil(self.least * (n + length) / (1 + self.least) - 1e-9))
             starts = np.flatnonzero(known[n:] - known[:len(known) - n] >= needed)
-            for part in np.array_split(starts, max(1, len(starts) // 4096)):
+            for part in np.array_split(starts, len(starts) // 1024 + 1):
                 if part.size:
                     self._windows(doc, part, n, int(length), best)
         return [(i, s, at) for i, (s, at) in sorted(best.items())]
@@ -170,17 +176,16 @@ class Items:
         low = int(starts[0])
         sums = np.concatenate((np.zeros((1, BITS), np.int32), np.cumsum(_signs(doc[low:int(starts[-1]) + n]), axis=0, dtype=np.int32)))
         prints = _packed(sums[starts - low + n] - sums[starts - low])
-        known: dict[int, np.ndarray] = {}
-        for start, print_ in zip(starts.tolist(), prints.tolist()):
-            if print_ not in known:
-                near = self.index.within(print_)
-                known[print_] = near[self.lengths[near] == length]
-            for i in known[print_].tolist():
-                window, item = Counter(doc[start:start + n].tolist()), self.counts[i]
-                shared = sum(min(c, item[h]) for h, c in window.items() if h in item)
-                similar = shared / (n + length - shared)
-                if similar >= self.least - 1e-12 and similar > best.get(i, (0.0, 0))[0]:
-                    best[i] = similar, start
+        last, window = -1, Counter()
+        for k, place in self.indexes[length].within(prints):
+            start, i = int(starts[k]), int(self.of_length[length][place])
+            if start != last:
+                last, window = start, Counter(doc[start:start + n].tolist())
+            item = self.counts[i]
+            shared = sum(min(c, item[h]) for h, c in window.items() if h in item)
+            similar = shared / (n + length - shared)
+            if similar >= self.least - 1e-12 and similar > best.get(i, (0.0, 0))[0]:
+                best[i] = similar, start
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[tuple[list, list]]:

@@ -8,13 +8,16 @@ encoded; pages are small and indexed, so that a few documents or the metadata al
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +26,7 @@ from tidewatch.llm.shared import scratch, table, text_batches
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 #: Pieces of text whose ids a task keeps; then it starts anew.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 500_000
 FORMAT = {
     "parquet.writer.version": "v2", "parquet.block.size": str(64 << 20), "parquet.page.size": str(256 << 10),
     "parquet.page.row.count.limit": "2000", "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false",
@@ -35,8 +38,9 @@ SCHEMA = "doc_id long, offset long, n_tokens long, tokens array<int>"
 class Pieces:
     """Ids of texts from the library, which is asked once for each piece that recurs.
 
-    A space begins a new piece wherever it stands alone: the vocabulary's pattern always parts there. Texts
-    with spaces in a row or special tokens go to the library whole.
+    The vocabulary's pattern always parts before a lone space, on both sides of a lone line end, and between a
+    letter or digit and a stop or comma before either. Texts with other white space, with white space in a row
+    or with special tokens go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -45,24 +49,51 @@ class Pieces:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        # Also the marks that are used below.
+        self.odd = re.compile("[^\\S \n]|[\x01-\x03]")
         self.known: dict[str, bytes] = {}
 
+    def _whole(self, text: str) -> bool:
+        return any(x in text for x in ("  ", "\n\n", " \n", "\n ", *self.special)) or bool(self.odd.search(text))
+
     def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        if "  " in text or any(s in text for s in self.special):
-            return self._ask([text])[0]
-        first, *rest = text.split(" ")
-        pieces = [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
-        known = self.known
-        new = list({p: None for p in pieces if p not in known})
-        if new:
-            if len(known) + len(new) > KEPT_PIECES:
-                known.clear()
-                new = list(dict.fromkeys(pieces))
-            known.update(zip(new, self._ask(new)))
-        return b"".join([known[p] for p in pieces])
+        return [array("i", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Words that begin with a space can be asked for in rows: each is one word of its row."""
+        words = [p for p in new if len(p) > 1 and p[0] == " " and p[1:].isascii() and p[1:].isalpha()]
+        rows = [words[i:i + 200] for i in range(0, len(words), 200)]
+        for row, e in zip(rows, self.library.encode_batch(["".join(r) for r in rows], add_special_tokens=False)):
+            ids = array("i", e.ids).tobytes()
+            ends = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(row)), "right")).tolist()
+            self.known.update((word, ids[a:b]) for word, a, b in zip(row, [0, *ends], ends))
+        rest = list(set(new).difference(words))
+        self.known.update(zip(rest, self._ask(rest)))
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, the end id behind each, and the number of ids of each text."""
+        whole = [t for t in texts if self._whole(t)]
+        numbers = iter(range(len(whole)))
+        rows = pa.array([f"\x03{next(numbers)}" if self._whole(t) else t for t in texts], pa.string()) if whole else pa.array(texts, pa.string())
+        rows = pc.replace_substring_regex(rows, r"([A-Za-z0-9])([.,])( |\n|$)", "\\1\x01\\2\\3")
+        rows = pc.replace_substring(pc.replace_substring(rows, " ", "\x01 "), "\n", "\x01\n\x01")
+        parts = pc.split_pattern(pc.binary_join_element_wise(rows, "\x02", "\x01"), "\x01")
+        pieces_ = parts.flatten().dictionary_encode()
+        names = pieces_.dictionary.to_pylist()
+        if len(self.known) > KEPT_PIECES:
+            self.known.clear()
+        self._learn([p for p in names if p not in self.known and p[:1] not in ("\x02", "\x03")])
+        own = {"\x02": array("i", [end_id]).tobytes()} | {f"\x03{i}": ids for i, ids in enumerate(self._ask(whole))}
+        lists = [own[p] if p in own else self.known[p] for p in names]
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        values = np.frombuffer(b"".join(lists), np.int32)
+        at = np.asarray(pieces_.indices)
+        sizes = lengths[at]
+        ends = np.cumsum(sizes)
+        starts = (np.cumsum(lengths) - lengths)[at]
+        ids = values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        sums = np.concatenate(([0], ends))
+        return ids, np.diff(sums[np.asarray(parts.offsets)])
 
 
 @lru_cache(maxsize=2)
@@ -71,12 +102,6 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
-    values = np.concatenate(parts) if parts else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
-
-
 def write_tokens(docs: DataFrame, out: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = END_ID) -> None:
     """Encodes and writes every text. A null text counts as empty and has the end id only; null ids come first;
     rows with the same id are ordered by their text; whole texts of any length are encoded; an empty table
@@ -86,13 +111,11 @@ def write_tokens(docs: DataFrame, out: str, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
         for batch, texts in text_batches(batches, "text"):
-            coder = pieces(path)
-            parts = [np.append(np.frombuffer(coder.encode((t or b"").decode()), "<u4").astype(np.int32), np.int32(end_id)) for t in texts]
-            sizes = np.array([len(p) for p in parts], np.int64)
+            ids, sizes = pieces(path).encode([(t or b"").decode() for t in texts], end_id)
             offsets = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(offsets), pa.array(sizes), _lists(parts)], ["doc_id", "offset", "n_tokens", "tokens"])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(offsets), pa.array(sizes), lists], ["doc_id", "offset", "n_tokens", "tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

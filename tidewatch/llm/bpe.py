@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm.shared import table, text_batches
 
 VOCABULARY = "word_bpe_49k.json"
-#: Pieces of text whose ids a task keeps; then it starts anew.
-KEPT_PIECES = 200_000
+#: Pieces of text whose ids, and arcs that, a task keeps; then it starts anew.
+KEPT_PIECES, KEPT_ARCS = 400_000, 400_000
 _NEVER = 1 << 60
 
 
@@ -55,7 +55,13 @@ class Automaton:
         for rank, (u, v) in enumerate(merges):
             self._gadget(rank, vocab[u], vocab[v], vocab[u + v])
         self.token = {s: i for i, s in self.spelling.items()}
-        self.longest = max(map(len, self.token))
+        #: The spellings as a trie: symbol to (node below, token that ends here or -1).
+        self.trie: dict = {}
+        for spelled, i in self.token.items():
+            node = self.trie
+            for c in spelled[:-1]:
+                node = node.setdefault(c, [{}, -1])[0]
+            node.setdefault(spelled[-1], [{}, -1])[1] = i
         self.arcs: dict[tuple[int, int], bool] = {}
 
     def _gadget(self, rank: int, u: int, v: int, w: int) -> None:
@@ -87,7 +93,7 @@ class Automaton:
                 a, before = self.right[a], age_a
             else:
                 a, b, before = self.right[a], self.left[b], age_a
-        if len(self.arcs) > 2_000_000:
+        if len(self.arcs) > KEPT_ARCS:
             self.arcs.clear()
         self.arcs[x, y] = out
         return out
@@ -99,12 +105,19 @@ class Automaton:
             return [whole]
         n = len(symbols)
         last, start = [-1] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            for begin in range(max(0, end - self.longest), end):
-                token = self.token.get(symbols[begin:end])
-                if token is not None and (begin == 0 or (last[begin] >= 0 and self.arc(last[begin], token))):
-                    last[end], start[end] = token, begin
+        arc = self.arc
+        for begin in range(n):
+            if begin and last[begin] < 0:
+                continue
+            node, end, before = self.trie, begin, last[begin]
+            while node and end < n:
+                found = node.get(symbols[end])
+                if found is None:
                     break
+                node, token = found
+                end += 1
+                if token >= 0 and last[end] < 0 and (not begin or arc(before, token)):
+                    last[end], start[end] = token, begin
         out, end = [], n
         while end > 0:
             out.append(last[end])
@@ -141,12 +154,19 @@ class WordTokenizer:
         self.words = regex.compile(next(p["pattern"]["Regex"] for p in said["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.symbols = _byte_symbols()
         self.pieces: dict[str, tuple[bytes, str]] = {}
+        self.paths: dict[str, list[int]] = {}
+
+    def _path(self, word: str) -> list[int]:
+        path = self.automaton.read("".join([self.symbols[b] for b in word.encode()]) + "\0")
+        if len(self.paths) >= KEPT_PIECES:
+            self.paths.clear()
+        self.paths[word] = path
+        return path
 
     def _piece(self, piece: str) -> tuple[bytes, str]:
         ids: list[int] = []
         for word in self.words.findall(piece):
-            symbols = "".join([self.symbols[b] for b in word.encode()])
-            ids += self.automaton.read(symbols + "\0")
+            ids += self.paths.get(word) or self._path(word)
         out = struct.pack(f"<{len(ids)}I", *ids), " ".join([self.automaton.label[i] for i in ids])
         if len(self.pieces) >= KEPT_PIECES:
             self.pieces.clear()

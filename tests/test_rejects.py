@@ -1,0 +1,46 @@
+"""Rows that jobs cannot place by key or time, and bounded streams to their end."""
+
+from pyspark.sql import functions as F
+
+from tidewatch.operators.reconcile import match_one_to_one
+from tidewatch.sources.lines import parse_web_log, rejected_lines
+from tidewatch.streaming import incremental, sinks
+
+
+def stream_of(spark, tmp_path, parts, schema):
+    place = str(tmp_path / "in")
+    for rows in parts:
+        spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("s")).coalesce(1).write.mode("append").parquet(place)
+    return spark.readStream.schema(schema + ", ts timestamp").option("maxFilesPerTrigger", 1).parquet(place)
+
+
+def test_null_transactions_are_not_lost(spark):
+    pays = spark.createDataFrame([(None, 1, 100), ("a", 2, 100)], "tx_id string, pay_id long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    receipts = spark.createDataFrame([(None, 3, 900), (None, 4, 2000), ("a", 5, 101)], "tx_id string, receipt_id long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    rows = match_one_to_one(pays, receipts, 5, 3, pay_id="pay_id", receipt_id="receipt_id").collect()
+    assert sorted(r.kind for r in rows) == ["matched", "unmatched_pay", "unmatched_receipt", "unmatched_receipt"]
+
+
+def test_null_users_share_one_cap(spark, tmp_path):
+    clicks = stream_of(spark, tmp_path, [[(i, None, 1, 100 + i)] for i in range(3)], "arrival long, user_id long, ad_id long, s long")
+    job = incremental.click_cap(clicks, str(tmp_path / "out"), limit=1)
+    sinks.run_available(job.writer, 120)
+    assert sorted(r.kind for r in job.read(spark).collect()) == ["pass", "warning"]
+
+
+def test_broken_lines_become_nulls(spark):
+    lines = spark.createDataFrame([("1.1.1.1 u - 17/05/2015:10:05:03 +0000 GET /a",), ("short",), ("i u - 17/13/2015:10:05:03 +0000 GET /b",), (None,)], "value string")
+    got = parse_web_log(lines).collect()
+    assert [r.ts is None for r in got] == [False, True, True, True] and [r.url for r in got] == ["/a", None, "/b", None]
+    assert rejected_lines(lines).count() == 3
+
+
+def test_late_rows_are_kept_and_the_end_is_decided(spark, tmp_path):
+    schema = "arrival long, order_id long, event_type string, s long"
+    parts = [[(1, 7, "create", 1000)], [(2, 8, "create", 1010)], [(3, 7, "pay", 1005)], [(4, 8, "pay", None)]]
+    job = incremental.order_states(stream_of(spark, tmp_path, parts, schema), str(tmp_path / "out"))
+    sinks.run_available(job.writer, 120)
+    assert job.read(spark).count() == 0
+    job.finish()
+    assert sorted((r.order_id, r.result_msg) for r in job.read(spark).collect()) == [(7, "timeout"), (8, "timeout")]
+    assert sorted(r.arrival for r in job.late(spark).collect()) == [3, 4]

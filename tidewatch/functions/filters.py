@@ -16,7 +16,7 @@ def is_not_behavior(kind: str, column: str = "behavior") -> Column:
 
 def has_transaction(column: str = "tx_id") -> Column:
     """CSV reads an empty field as NULL; both mean that no payment was made."""
-    return F.coalesce(F.col(column), F.lit("")) != ""
+    return F.col(column) != ""
 
 
 def is_page(column: str = "url") -> Column:

@@ -87,7 +87,9 @@ def match_line(
         key, "slice", "base",
         F.max(F.col("base") + F.col("last_start")).over(by_slice).alias("carried_start"),
     )
-    joined = placed.join(carried, [key, "slice"])
+    # A key that is NULL is a key like any other.
+    same = placed[key].eqNullSafe(carried[key]) & (placed["slice"] == carried["slice"])
+    joined = placed.join(carried, same).select(placed["*"], "base", "carried_start")
     start_at = F.coalesce(F.col("base") + F.col("start_nth"), F.col("carried_start"))
     odd = (F.col("base") + F.col("nth") - start_at) % 2 == 1
     taken = ~odd & ~_cannot_match("", "next_", waits)

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.event_time import DAY
 from ..sources.lines import to_csv_lines
+from ..streaming.sinks import shared_folder
 
 # What the kinds of the table stand for. The views keep them as they are, so
 # that filters on them reach the file.
@@ -18,11 +20,32 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    # No limit per trigger: the files of a table are in no order of time, and split
-    # into batches their rows would come late and be lost. As a pattern the path
-    # may name a single file as well as a folder of files.
-    return _typed(spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]"))
+    """The table as a stream in several micro-batches, each later in time than the one before."""
+    return _typed(_replayed(spark.read.parquet(f"{folder}/events.parquet")))
+
+
+def closed_event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a last row far ahead in time and NULL otherwise: it closes the
+    windows of Spark's own aggregations and passes no filter of the jobs."""
+    return _typed(_replayed(spark.read.parquet(f"{folder}/events.parquet"), closing=True))
+
+
+def _replayed(table: DataFrame, parts: int = 6, most_rows: int = 1_000_000, closing: bool = False) -> DataFrame:
+    """Files in order of time, one for each micro-batch. More rows make more files, not larger ones."""
+    spark = table.sparkSession
+    place = shared_folder(spark)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows, low, high = table.agg(F.count("*"), F.min(us), F.max(us)).first()
+    n = max(parts, -(-rows // most_rows))
+    width = ((high or 0) - (low or 0)) // n + 1
+    part = F.coalesce(((us - F.lit(low)) / width).cast("int"), F.lit(0))
+    for k in range(n):
+        table.where(part == k).coalesce(1).write.mode("append").parquet(place)
+    if closing and rows:
+        ahead = F.timestamp_micros(F.lit(high + 1000 * DAY)).cast(table.schema["ts"].dataType)
+        columns = [ahead.alias(f.name) if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
+        spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(place)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(place)
 
 
 def _typed(raw: DataFrame) -> DataFrame:
@@ -86,7 +109,7 @@ def behavior_lines(events: DataFrame) -> DataFrame:
     )
 
 
-def web_log_lines(events: DataFrame) -> DataFrame:
+def web_log_lines(events: DataFrame, *keep: str) -> DataFrame:
     """Access-log lines; some of the urls are stylesheets and scripts."""
     tail = F.when(F.col("k") % 10 == 0, ".css").when(F.col("k") % 10 == 1, ".js").when(
         F.col("k") % 10 == 2, ".js?v=1").otherwise("")
@@ -96,7 +119,15 @@ def web_log_lines(events: DataFrame) -> DataFrame:
         " ", F.concat(F.lit("10.0.0."), F.col("k").cast("string")), F.col("user_id").cast("string"), F.lit("-"),
         F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"), method, url,
     )
-    return events.select(line.alias("value"))
+    return events.select(*keep, line.alias("value"))
+
+
+def broken_log_lines(events: DataFrame) -> DataFrame:
+    """Access-log lines with their arrival; one in 50 ends early, one in 50 has a month 13."""
+    lines = web_log_lines(events, "arrival")
+    short, odd = F.col("arrival") % 50 == 7, F.col("arrival") % 50 == 8
+    broken = F.when(short, F.substring_index("value", " ", 4)).when(odd, F.regexp_replace("value", r"/\d\d/", "/13/"))
+    return lines.select("arrival", F.coalesce(broken, "value").alias("value"))
 
 
 def delayed(events: DataFrame) -> DataFrame:

@@ -65,8 +65,6 @@ FROM ranked GROUP BY window_end"""
 PV = "behavior = 'view'"
 PAGES = "NOT regexp_matches(url, '\\.(css|js)$')"
 KEPT = "behavior <> 'error'"
-# What the watermark of the streams has reached after all rows, in microseconds.
-REACHED = "(SELECT max(us) // 1000 * 1000 FROM ev)"
 
 ITEM_COUNTS = _counts("beh", "item_id", HOUR_S, 300, PV)
 CHANNEL_COUNTS = _counts("mkt", "channel, behavior", HOUR_S, 300, KEPT)
@@ -149,7 +147,6 @@ PAIRS = _with(EVENTS, ORDERS, RECEIPTS) + f"""SELECT o.tx_id, o.arrival AS pay_i
   r.arrival AS receipt_id, r.us AS receipt_us
 FROM ord o JOIN rec r ON o.tx_id = r.tx_id AND o.tx_id <> ''
   AND r.us - o.us BETWEEN -{NEAR['receipt_before_s'] * S} AND {NEAR['receipt_after_s'] * S}"""
-REACHED_BOTH = "least((SELECT max(us) FROM ord WHERE tx_id <> ''), (SELECT max(us) FROM rec)) // 1000 * 1000"
 CHANNEL_ROWS = f"""SELECT {_text(f'w_end - {HOUR}')} AS window_start, {_text('w_end')} AS window_end,
   channel, behavior, cnt FROM cnts"""
 
@@ -174,7 +171,7 @@ ORACLES: dict[str, str] = {
   count(DISTINCT user_id) AS cnt FROM beh WHERE {PV} GROUP BY 1""",
     "hot_pages": _with(EVENTS, LOG, _counts("weblog", "url", 600, 10, PAGES), _ranked("url", 5))
     + "SELECT * FROM ranked",
-    "hot_pages_report": _with(EVENTS, LOG, _counts("weblog", "url", 600, 300, PAGES), _ranked("url", 5)) + _report(
+    "hot_pages_report": _with(EVENTS, LOG, _counts("weblog", "url", 600, 10, PAGES), _ranked("url", 5)) + _report(
         "url", "=" * 26, "URL=", "访问量="),
     "channel_counts": _with(EVENTS, MARKET, CHANNEL_COUNTS) + CHANNEL_ROWS,
     "channel_peaks": _with(EVENTS, MARKET, _counts("mkt", "channel, behavior", HOUR_S, 5, KEPT))
@@ -198,31 +195,19 @@ FROM cnts GROUP BY channel, behavior""",
     THEN 'late' ELSE 'on_time' END AS kind
 FROM (SELECT *, max(us) OVER (ORDER BY us + k % 7 * {1800 * S}, arrival
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM ev)""",
-    "stream_page_views": _with(EVENTS, BEHAVIORS) + f"""SELECT w_end // 1000 AS window_end, count(*) AS cnt
-FROM (SELECT (us // {HOUR} + 1) * {HOUR} AS w_end FROM beh WHERE {PV}) WHERE w_end <= {REACHED} GROUP BY 1""",
-    "stream_unique_visitors": _with(EVENTS, BEHAVIORS) + f"""SELECT w_end // 1000 AS window_end,
-  count(DISTINCT user_id) AS cnt
-FROM (SELECT (us // {HOUR} + 1) * {HOUR} AS w_end, user_id FROM beh WHERE {PV}) WHERE w_end <= {REACHED} GROUP BY 1""",
-    "stream_hot_items": _with(EVENTS, BEHAVIORS, ITEM_COUNTS, _ranked("item_id", 3))
-    + f"SELECT * FROM ranked WHERE window_end * 1000 <= {REACHED}",
-    "stream_hot_pages": _with(EVENTS, LOG, _counts("weblog", "url", 600, 300, PAGES), _ranked("url", 5))
-    + "SELECT * FROM ranked",
-    "stream_province_clicks": _provinces(CLICK_LIMIT) + f" WHERE w_end <= {REACHED}",
-    "stream_channel_counts": _with(EVENTS, MARKET, CHANNEL_COUNTS) + CHANNEL_ROWS + f" WHERE w_end <= {REACHED}",
-    "stream_click_cap": _with(EVENTS, CLICKS, _capped(CLICK_LIMIT)) + CAP_ROWS,
-    "stream_click_cap_timers": _with(EVENTS, CLICKS, _capped(CLICK_LIMIT)) + CAP_ROWS,
-    "stream_login_failures": _with(EVENTS, FAILURES) + f"SELECT * FROM fails WHERE last_us <= {REACHED}",
-    "stream_order_sequences": _with(EVENTS, ORDERS, SEQUENCES)
-    + f"""SELECT {SEQUENCE_COLUMNS} FROM seqs s WHERE coalesce(s.then_us, first_us + {DAY} - 1)
-  <= (SELECT max(us) // 1000 * 1000 FROM ord)""",
-    "stream_order_states": _with(EVENTS, ORDERS, STATES_GRACE)
-    + f"""SELECT order_id, us, result_msg FROM states
-WHERE CASE WHEN result_msg <> 'timeout' THEN us
-  ELSE least(us + {2 * DAY} - 1, CASE WHEN n_kind = 'create' THEN n_us END) END
-  <= (SELECT max(us) // 1000 * 1000 FROM ord)""",
-    "stream_payment_receipts": _with(EVENTS, ORDERS, RECEIPTS, MATCHES)
-    + f"""SELECT {MATCH_COLUMNS} FROM matches
-WHERE CASE WHEN kind = 'matched' THEN us ELSE least(us + wait, CASE WHEN n_rec = is_rec THEN n_us END) END
-  <= {REACHED_BOTH}""",
     "stream_payment_receipt_pairs": PAIRS,
 }
+ORACLES["rejected_log_lines"] = _with(EVENTS) + """SELECT arrival, '10.0.0.' || k || ' ' || user_id || ' - ' || CASE
+  WHEN arrival % 50 = 7 THEN strftime(make_timestamp(us), '%d/%m/%Y:%H:%M:%S')
+  ELSE strftime(make_timestamp(us), '%d/13/%Y:%H:%M:%S') || ' +0000 '
+    || CASE event_type WHEN 'purchase' THEN 'POST' ELSE 'GET' END || ' /' || event_type || '/' || k
+    || CASE k % 10 WHEN 0 THEN '.css' WHEN 1 THEN '.js' WHEN 2 THEN '.js?v=1' ELSE '' END END AS value
+FROM ev WHERE arrival % 50 IN (7, 8)"""
+# Streams come to the same results as tables.
+ORACLES |= {f"stream_{name}": ORACLES[name] for name in (
+    "page_views", "unique_visitors", "hot_items", "province_clicks", "channel_counts", "click_cap",
+    "login_failures", "order_sequences", "payment_receipts",
+)}
+ORACLES["stream_click_cap_timers"] = ORACLES["click_cap"]
+ORACLES["stream_order_states"] = ORACLES["order_states_with_grace"]
+ORACLES["stream_hot_pages"] = _with(EVENTS, LOG, _counts("weblog", "url", 600, 300, PAGES), _ranked("url", 5)) + "SELECT * FROM ranked"

@@ -17,7 +17,7 @@ from ..operators.late import tag_late
 from ..operators.ranking import top_per_window
 from ..operators.windows import with_window_texts
 from ..session import SETTINGS
-from ..sources.lines import parse_csv_lines, parse_web_log
+from ..sources.lines import parse_csv_lines, parse_web_log, rejected_lines
 from ..streaming import sinks
 from ..streaming.incremental import Incremental
 from . import driver_tables as tables
@@ -127,6 +127,12 @@ def page_views(events):
     return jobs.page_views(tables.behaviors(events), view=tables.VIEW)
 
 
+@query()
+def rejected_log_lines(events):
+    """Some lines of the access log are cut short or carry a broken time."""
+    return rejected_lines(tables.broken_log_lines(events), ("arrival",))
+
+
 @query()
 def unique_visitors(events):
     return jobs.unique_visitors(tables.behaviors(events), view=tables.VIEW)
@@ -139,7 +145,7 @@ def hot_pages(events):
 
 @query()
 def hot_pages_report(events):
-    return page_report(jobs.hot_pages(parse_web_log(tables.web_log_lines(events)), slide_s=300))
+    return page_report(jobs.hot_pages(parse_web_log(tables.web_log_lines(events))))
 
 
 @query()
@@ -237,19 +243,19 @@ def late_rows(events):
     return tagged.select("arrival", "user_id", "kind")
 
 
-# The same on streams, as far as the watermark comes
+# The same on streams, in several micro-batches and to their end
 
-@query(tables.event_stream)
+@query(tables.closed_event_stream)
 def stream_page_views(events):
     return sinks.table_of(stream_jobs.page_views(tables.behaviors(events), view=tables.VIEW))
 
 
-@query(tables.event_stream)
+@query(tables.closed_event_stream)
 def stream_unique_visitors(events):
     return sinks.table_of(stream_jobs.unique_visitors(tables.behaviors(events), view=tables.VIEW))
 
 
-@query(tables.event_stream)
+@query(tables.closed_event_stream)
 def stream_hot_items(events):
     counts = stream_jobs.item_views(tables.behaviors(events), view=tables.VIEW)
     spark = events.sparkSession
@@ -261,7 +267,7 @@ def stream_hot_items(events):
     )
 
 
-@query(tables.event_stream)
+@query(tables.closed_event_stream)
 def stream_hot_pages(events):
     """From the change log of an update-mode stream: the latest count of each page."""
     counts = stream_jobs.page_hit_updates(parse_web_log(tables.web_log_lines(events)), slide_s=300)
@@ -273,7 +279,7 @@ def stream_hot_pages(events):
     return top_per_window(latest, "url", 5)
 
 
-@query(tables.event_stream)
+@query(tables.closed_event_stream)
 def stream_channel_counts(events):
     counts = stream_jobs.channel_windows(tables.market_behaviors(events), slide_s=300, removed=tables.REMOVED)
     return with_window_texts(sinks.table_of(counts), HOUR_S)
@@ -281,6 +287,7 @@ def stream_channel_counts(events):
 
 def finished(job: Incremental, spark: SparkSession) -> DataFrame:
     sinks.run_available(job.writer)
+    job.finish()
     return job.read(spark)
 
 

@@ -21,19 +21,25 @@ def parse_csv_lines(lines: DataFrame, layout: StructType, keep: tuple[str, ...]
 
 
 def parse_web_log(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Space separated access log; times are read in the session zone."""
+    """Space separated access log; times are read in the session zone. What a
+    broken line lacks is NULL; ``rejected_lines`` has such lines whole."""
     parts = F.split("value", " ")
-    field = {name: parts[at] for name, at in LOG_FIELDS.items()}
+    field = {name: F.get(parts, F.lit(at)) for name, at in LOG_FIELDS.items()}
     return lines.select(
         *keep,
         field["ip"].alias("ip"),
         field["user_id"].alias("user_id"),
-        F.to_timestamp(field["time"], LOG_TIME).alias("ts"),
+        F.try_to_timestamp(field["time"], F.lit(LOG_TIME)).alias("ts"),
         field["method"].alias("method"),
         field["url"].alias("url"),
     )
 
 
+def rejected_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The access-log lines without a url or a time that can be read."""
+    return parse_web_log(lines, (*keep, "value")).where("ts is null or url is null").select(*keep, "value")
+
+
 def to_csv_lines(df: DataFrame, columns: list[str]) -> DataFrame:
     """Records back to lines, e.g. to publish them to a topic."""
     return df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in columns]).alias("value"))

@@ -7,14 +7,18 @@ open rows are tables next to each other below one shared path; a repeated batch
 rewrites its own part of both, so a failure loses and doubles nothing.
 
 Time has come as far as the newest row, of the slowest input if there are
-several, less the allowed disorder. Rows behind it are late and left out.
+several, less the allowed disorder. Rows behind it are late: they are written to
+a table of their own, which ``late`` reads. ``finish`` closes a bounded input.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
+from operator import and_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -27,7 +31,7 @@ from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, match_line, one_li
 from ..operators.sequences import followed_within, repeated_failures
 from ..operators.windows import pane_counts, windows_of
 
-NEVER = -(2**62)
+NEVER, FOREVER = -(2**62), 2**62
 TOPS = "tops array<bigint>"
 
 
@@ -38,6 +42,18 @@ class Incremental:
     writer: DataStreamWriter
     path: str
     schema: StructType
+    line: StructType
+    close: Callable[[], None] | None = None
+
+    def finish(self) -> None:
+        """Decides what is still open, once a bounded input has been worked through.
+        The stream may go on later: its next batch replaces what was decided here."""
+        if self.close:
+            self.close()
+
+    def late(self, spark: SparkSession) -> DataFrame:
+        """The rows that came when their time was over, or that have no time."""
+        return spark.read.schema(self.line).parquet(f"{self.path}/late").drop("batch", "us", "_day")
 
     def read(self, spark: SparkSession) -> DataFrame:
         results = spark.read.schema(self.schema).parquet(f"{self.path}/rows").drop("batch", "_day", "_seen")
@@ -60,17 +76,36 @@ def in_event_order(
     schema = results(spark.createDataFrame([], line.schema), NEVER, NEVER).schema
 
     def work(batch: DataFrame, number: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
         before, reached = _advance(batch, path, number, delay_s, side)
+        _write(batch.where(~(F.coalesce("us", F.lit(NEVER)) > before)), _part(path, "late", number))
         rows = batch.where(F.col("us") > before)
         if number > 0:
             rows = rows.unionByName(spark.read.schema(line.schema).parquet(_part(path, "open", number - 1)))
         _write(results(rows.where(F.col("us") <= reached), before, reached), _part(path, "rows", number))
         written = spark.read.schema(schema).parquet(_part(path, "rows", number))
         _write(carry(written, rows, reached), _part(path, "open", number))
+        batch.unpersist()
         _forget(spark, path, number - 2)
 
+    def close() -> None:
+        number, reached = _last(spark, path, delay_s)
+        if number is not None:
+            rows = spark.read.schema(line.schema).parquet(_part(path, "open", number))
+            _write(results(rows, reached, FOREVER), _part(path, "rows", number + 1))
+
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
-    return Incremental(writer, path, schema)
+    return Incremental(writer, path, schema, line.schema, close)
+
+
+def _last(spark: SparkSession, path: str, delay_s: int) -> tuple[int | None, int]:
+    """The number of the last batch, None before the first, and the time it reached."""
+    top = spark.createDataFrame([], f"{TOPS}, batch bigint")
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/tops")
+    if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        top = spark.read.schema(f"{TOPS}, batch bigint").parquet(f"{path}/tops")
+    last = top.orderBy(F.desc("batch")).first()
+    return (last["batch"], _reached(last["tops"], delay_s)) if last else (None, NEVER)
 
 
 def _forget(spark: SparkSession, path: str, number: int) -> None:
@@ -94,7 +129,7 @@ def _advance(batch: DataFrame, path: str, number: int, delay_s: int, side: str |
         old = spark.read.schema(TOPS).parquet(_part(path, "tops", number - 1)).first()["tops"]
     which = F.col(side) if side else F.lit(False)
     newest = batch.groupBy(which.alias("side")).agg(F.max("us").alias("top")).collect()
-    now = {r["side"]: r["top"] for r in newest}
+    now = {r["side"]: r["top"] for r in newest if r["top"] is not None}
     tops = [max(top, now.get(s, NEVER)) for s, top in zip(sides, old)]
     _write(spark.createDataFrame([(tops,)], TOPS), _part(path, "tops", number))
     return _reached(old, delay_s), _reached(tops, delay_s)
@@ -192,7 +227,7 @@ def click_cap(
 ) -> Incremental:
     """The click cap by arrival, batch after batch. Carries one small row per key
     and open UTC day: how many of its clicks have been let through or warned
-    about, at most ``limit + 2``. Clicks of days that are over are left out.
+    about, at most ``limit + 2``. Clicks of days that are over are late.
     ``then`` goes on with the clicks of a batch, its number and its times."""
     allowed = limit + 1 if strict else limit
     line = clicks.withColumns({"us": micros(), "_day": floor_to(micros(), DAY)})
@@ -204,6 +239,7 @@ def click_cap(
 
     def work(batch: DataFrame, number: int) -> None:
         before, reached = _advance(batch, path, number, delay_s)
+        _write(batch.where(~(F.coalesce("_day", F.lit(NEVER)) + DAY > before)), _part(path, "late", number))
         first = (
             batch.where(F.col("_day") + DAY > before)
             .withColumn("nth", F.row_number().over(by_arrival)).where(F.col("nth") <= allowed + 1)
@@ -212,8 +248,10 @@ def click_cap(
         if number > 0:
             counts = spark.read.schema(counted).parquet(_part(path, "open", number - 1))
         total = F.coalesce("_seen", F.lit(0)) + F.col("nth")
+        # A key that is NULL is a key like any other.
+        same_day = functools.reduce(and_, [first[k].eqNullSafe(counts[k]) for k in (*keys, "_day")])
         told = (
-            first.join(counts, [*keys, "_day"], "left").withColumn("_seen", total)
+            first.join(counts, same_day, "left").select(first["*"], "_seen").withColumn("_seen", total)
             .where(F.col("_seen") <= allowed + 1)
             .withColumn("kind", F.when(F.col("_seen") <= allowed, PASS).otherwise(WARNING))
         )
@@ -226,7 +264,7 @@ def click_cap(
         _forget(spark, path, number - 2)
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
-    return Incremental(writer, path, schema)
+    return Incremental(writer, path, schema, line.schema)
 
 
 def capped_windows(
@@ -254,5 +292,12 @@ def capped_windows(
         _write(panes.where(F.col("_end") + size - slide > reached), _part(place, "open", number))
         _forget(spark, place, number - 2)
 
+    def close() -> None:
+        number, reached = _last(spark, path, cap.get("delay_s", 0))
+        if number is not None:
+            panes = spark.read.schema(panes_schema).parquet(_part(place, "open", number))
+            left = windows_of(panes, [group], size_s, slide_s).where(F.col("window_end") * 1000 > reached)
+            _write(left, _part(place, "rows", number + 1))
+
     job = click_cap(clicks, path, limit, then=count, **cap)
-    return Incremental(job.writer, place, schema)
+    return Incremental(job.writer, place, schema, job.line, close)

@@ -15,8 +15,12 @@ from ..operators.ranking import top_per_window
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``. A machine-local one serves
-    only where that is unset, as in local trials."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewatch-")
+    only where that is unset and the session is local."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="tidewatch-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -25,8 +25,10 @@ from tidewatch.llm.shared import scratch, table, text_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
+#: Bytes of text that a task encodes at once.
+SLICE = 4 << 20
 #: Pieces of text whose ids a task keeps; then it starts anew.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 400_000
 FORMAT = {
     "parquet.writer.version": "v2", "parquet.block.size": str(64 << 20), "parquet.page.size": str(256 << 10),
     "parquet.page.row.count.limit": "2000", "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false",
@@ -110,7 +112,7 @@ def write_tokens(docs: DataFrame, out: str, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
-        for batch, texts in text_batches(batches, "text"):
+        for batch, texts in text_batches(batches, "text", SLICE):
             ids, sizes = pieces(path).encode([(t or b"").decode() for t in texts], end_id)
             offsets = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())

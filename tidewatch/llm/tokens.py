@@ -27,7 +27,7 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 #: Bytes of text that a task encodes at once.
 SLICE = 4 << 20
-#: Pieces of text whose ids a task keeps; then it starts anew.
+#: Pieces of text whose ids a task keeps; then only those of its last texts stay.
 KEPT_PIECES = 400_000
 FORMAT = {
     "parquet.writer.version": "v2", "parquet.block.size": str(64 << 20), "parquet.page.size": str(256 << 10),
@@ -41,52 +41,62 @@ class Pieces:
     """Ids of texts from the library, which is asked once for each piece that recurs.
 
     The vocabulary's pattern always parts before a lone space, on both sides of a lone line end, and between a
-    letter or digit and a stop or comma before either. Texts with other white space, with white space in a row
-    or with special tokens go to the library whole.
+    letter or digit and a run of marks before either (apostrophes aside). Texts with other white space, with
+    white space in a row or with special tokens go to the library whole.
     """
 
+    #: Letters and digits of the Latin script, then marks up to the end of the word.
+    MARKS = "([A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([.,;:!?#$%&*]+)( |\n|$)"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        # Also the marks that are used below.
-        self.odd = re.compile("[^\\S \n]|[\x01-\x03]")
+        # White space in a row or of other kinds, special tokens, and the marks that are used below.
+        other = "[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\x01-\x03]"
+        self.odd = "|".join(["  ", "\n\n", " \n", "\n ", other, *map(re.escape, self.special)])
         self.known: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bool:
-        return any(x in text for x in ("  ", "\n\n", " \n", "\n ", *self.special)) or bool(self.odd.search(text))
-
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [array("i", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        """Words that begin with a space can be asked for in rows: each is one word of its row."""
-        words = [p for p in new if len(p) > 1 and p[0] == " " and p[1:].isascii() and p[1:].isalpha()]
+        """Letters behind a space can be asked for in rows: each is one word of its row."""
+        words = [p for p in new if p[:1] == " " and p[1:].isalpha()]
         rows = [words[i:i + 200] for i in range(0, len(words), 200)]
         for row, e in zip(rows, self.library.encode_batch(["".join(r) for r in rows], add_special_tokens=False)):
+            at = np.array(e.word_ids)
+            if at[-1] + 1 != len(row):  # a letter that the pattern does not know as one
+                self.known.update(zip(row, self._ask(row)))
+                continue
             ids = array("i", e.ids).tobytes()
-            ends = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(row)), "right")).tolist()
+            ends = (4 * np.searchsorted(at, np.arange(len(row)), "right")).tolist()
             self.known.update((word, ids[a:b]) for word, a, b in zip(row, [0, *ends], ends))
         rest = list(set(new).difference(words))
         self.known.update(zip(rest, self._ask(rest)))
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, the end id behind each, and the number of ids of each text."""
-        whole = [t for t in texts if self._whole(t)]
-        numbers = iter(range(len(whole)))
-        rows = pa.array([f"\x03{next(numbers)}" if self._whole(t) else t for t in texts], pa.string()) if whole else pa.array(texts, pa.string())
-        rows = pc.replace_substring_regex(rows, r"([A-Za-z0-9])([.,])( |\n|$)", "\\1\x01\\2\\3")
+        rows = pa.array(texts, pa.string())
+        aside = np.flatnonzero(np.asarray(pc.match_substring_regex(rows, self.odd)))
+        whole = [texts[i] for i in aside]
+        if whole:
+            numbers = dict(zip(aside.tolist(), range(len(aside))))
+            rows = pa.array([f"\x03{numbers[i]}" if i in numbers else t for i, t in enumerate(texts)], pa.string())
+        rows = pc.replace_substring_regex(rows, self.MARKS, "\\1\x01\\2\\3")
         rows = pc.replace_substring(pc.replace_substring(rows, " ", "\x01 "), "\n", "\x01\n\x01")
         parts = pc.split_pattern(pc.binary_join_element_wise(rows, "\x02", "\x01"), "\x01")
         pieces_ = parts.flatten().dictionary_encode()
         names = pieces_.dictionary.to_pylist()
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        self._learn([p for p in names if p not in self.known and p[:1] not in ("\x02", "\x03")])
         own = {"\x02": array("i", [end_id]).tobytes()} | {f"\x03{i}": ids for i, ids in enumerate(self._ask(whole))}
-        lists = [own[p] if p in own else self.known[p] for p in names]
+        lists = list(map(self.known.get, names))
+        new = [p for p, ids in zip(names, lists) if ids is None and p not in own]
+        self._learn(new)
+        lists = [(own.get(p) or self.known[p]) if ids is None else ids for p, ids in zip(names, lists)]
+        if len(self.known) > KEPT_PIECES:  # what occurs often is in these texts too
+            self.known = {p: ids for p, ids in zip(names, lists) if p not in own}
         lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         values = np.frombuffer(b"".join(lists), np.int32)
         at = np.asarray(pieces_.indices)

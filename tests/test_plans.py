@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from tidewatch.operators.windows import sliding_counts
 from tidewatch.plans import queries as registered
 from tidewatch.plans.oracles import ORACLES
 
@@ -49,6 +50,17 @@ def test_windows_are_not_copied_rows(spark):
     assert "Expand" not in lowest and "Generate" not in lowest
 
 
+@pytest.mark.parametrize("name", ["item_views", "channel_peaks", "province_clicks"])
+def test_running_sums_are_spread_over_time(spark, name):
+    assert re.search(r"Exchange hashpartitioning\([^)]*slice#", plan(spark, name))
+
+
+def test_windows_without_keys_are_no_single_task(spark):
+    events = registered.tables.events(spark, SMALL)
+    counts = sliding_counts(events, [], 3600, 5)
+    assert "SinglePartition" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_large_shuffle_per_ordered_job(spark):
     assert plan(spark, "login_failures").count("Exchange") == 1
     assert plan(spark, "order_sequences").count("Exchange") == 1

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.event_time import SECOND, floor_to, micros, text_time, to_millis
+from .slices import with_margins
 
 
 def pane_counts(df: DataFrame, keys: list[str], width: int, ts: str) -> DataFrame:
@@ -32,8 +33,8 @@ def sliding_counts(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ts
     per pane of one slide; a pane then raises the running count at its own end
     and lowers it again one window size later. Between two such steps the count
     is constant, and only there the windows are written out. The shuffles carry
-    panes, whatever the ratio of size to slide, and the rows per key of the
-    running sum are bounded by the covered time, not by the number of events.
+    panes, whatever the ratio of size to slide, and a task of the running sum
+    holds a few window sizes of a key at a time.
     """
     if size_s == slide_s:
         return tumbling_counts(df, keys, size_s, ts)
@@ -42,20 +43,26 @@ def sliding_counts(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ts
     return windows_of(pane_counts(df, keys, slide_s * SECOND, ts), keys, size_s, slide_s)
 
 
-def windows_of(panes: DataFrame, keys: list[str], size_s: int, slide_s: int) -> DataFrame:
-    """The windows of pane counts, one row per key and pane."""
+def windows_of(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, slices: int = 8) -> DataFrame:
+    """The windows of pane counts, one row per key and pane. The running sum is
+    cut into slices of ``slices`` window sizes, in which the panes of the last
+    window before count as guests: so few keys, or none, still make as many
+    tasks as there are slices, for a copy of 1 / ``slices`` of the panes."""
     size, slide = size_s * SECOND, slide_s * SECOND
-    if keys:
-        # Where the running sum needs them, while there is one row per pane and not two.
-        panes = panes.repartition(*keys)
-    steps = panes.select(
+    width = size * slices
+    # Where the running sum needs them, while there is one row per pane and not two.
+    sliced = with_margins(panes, width, before=size, us="_end").repartition(*keys, "slice")
+    start = F.col("slice") * width
+    up, down = F.greatest("_end", start), F.least(F.col("_end") + size, start + width)
+    steps = sliced.where(up < down).select(
         *keys,
+        "slice",
         F.explode(F.array(
-            F.struct(F.col("_end").alias("at"), F.col("cnt").alias("step")),
-            F.struct((F.col("_end") + size).alias("at"), (-F.col("cnt")).alias("step")),
+            F.struct(up.alias("at"), F.col("cnt").alias("step")),
+            F.struct(down.alias("at"), (-F.col("cnt")).alias("step")),
         )).alias("s"),
-    ).select(*keys, "s.at", "s.step")
-    by_time = Window.partitionBy(*keys).orderBy("at")
+    ).select(*keys, "slice", "s.at", "s.step")
+    by_time = Window.partitionBy(*keys, "slice").orderBy("at")
     runs = steps.select(
         *keys,
         "at",

@@ -243,6 +243,34 @@ def test_updates(spark, folder):
         sinks.latest_counts(updates, ["key"]), "key", "window_end", "cnt")
 
 
+@pytest.mark.parametrize("size_s,slide_s", [(600, 60), (120, 120)])
+def test_corrected_windows(spark, folder, size_s, slide_s):
+    """Ranked when they are over, and again when late rows come."""
+    pdf = events(600, ["x", "x", "no"], 5, 900, jitter_s=40)
+    job = incremental.window_counts(
+        as_stream(spark, pdf, folder, batches=6), folder + "o", ["key"], size_s, slide_s, 1, 60, F.col("kind") == "x",
+        lambda counts: ranking.top_per_window(counts, "key", 3))
+    sinks.run_available(job.writer, LIMIT_S)
+    job.finish()
+    kept = batch(spark, pdf).where("kind = 'x'")
+    want = ranking.top_per_window(batch_windows.sliding_counts(kept, ["key"], size_s, slide_s), "key", 3)
+    assert rows(want, *want.columns) == rows(job.read(spark), *want.columns)
+    written = spark.read.parquet(folder + "o/rows").groupBy("window_end").agg(F.count_distinct("batch").alias("n"))
+    assert written.where("n > 1").count() > 0 and job.late(spark).count() == 0
+
+
+def test_rows_too_late_for_any_window_are_kept_aside(spark, folder):
+    pdf = pd.DataFrame({
+        "key": [1, 1, 1, 1], "kind": "x", "us": [START, START + 7200 * SECOND, START + 60 * SECOND, START + 7260 * SECOND],
+        "seq": range(4)})
+    job = incremental.window_counts(as_stream(spark, pdf, folder, batches=4), folder + "o", ["key"], 600, 60, 0, 60)
+    sinks.run_available(job.writer, LIMIT_S)
+    job.finish()
+    want = batch_windows.sliding_counts(batch(spark, pdf).where("seq <> 2"), ["key"], 600, 60)
+    assert rows(want, *want.columns) == rows(job.read(spark), *want.columns)
+    assert [r.seq for r in job.late(spark).collect()] == [2]
+
+
 def test_late_rows(spark, folder):
     """Against the watermark of each micro-batch, replayed by hand."""
     pdf = events(400, ["x"], 5, 3600, jitter_s=1500)

@@ -206,7 +206,7 @@ FROM ev WHERE arrival % 50 IN (7, 8)"""
 # Streams come to the same results as tables.
 ORACLES |= {f"stream_{name}": ORACLES[name] for name in (
     "page_views", "unique_visitors", "hot_items", "province_clicks", "channel_counts", "click_cap",
-    "login_failures", "order_sequences", "payment_receipts",
+    "login_failures", "order_sequences", "payment_receipts", "hot_items_report", "hot_pages_report", "channel_peaks",
 )}
 ORACLES["stream_click_cap_timers"] = ORACLES["click_cap"]
 ORACLES["stream_order_states"] = ORACLES["order_states_with_grace"]

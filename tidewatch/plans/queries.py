@@ -158,7 +158,10 @@ def channel_counts(events):
 def channel_peaks(events):
     """Over every window of one hour, one per five seconds. Aggregates the times
     as numbers, which hash; only the few results become text."""
-    counts = jobs.channel_windows(tables.market_behaviors(events), removed=tables.REMOVED)
+    return peaks_of(jobs.channel_windows(tables.market_behaviors(events), removed=tables.REMOVED))
+
+
+def peaks_of(counts: DataFrame) -> DataFrame:
     peaks = counts.groupBy("channel", "behavior").agg(
         F.count(F.lit(1)).alias("windows"),
         F.sum("cnt").alias("total"),
@@ -291,6 +294,29 @@ def finished(job: Incremental, spark: SparkSession) -> DataFrame:
     return job.read(spark)
 
 
+@query(tables.event_stream)
+def stream_hot_items_report(events):
+    spark = events.sparkSession
+    return item_report(finished(stream_jobs.hot_items(
+        tables.behaviors(events), sinks.shared_folder(spark), view=tables.VIEW), spark))
+
+
+@query(tables.event_stream)
+def stream_hot_pages_report(events):
+    """Windows of ten minutes, one per ten seconds, with corrections by rows up to a minute late."""
+    spark = events.sparkSession
+    log = parse_web_log(tables.web_log_lines(events))
+    return page_report(finished(stream_jobs.hot_pages(log, sinks.shared_folder(spark)), spark))
+
+
+@query(tables.event_stream)
+def stream_channel_peaks(events):
+    """Over every window of one hour, one per five seconds."""
+    spark = events.sparkSession
+    return peaks_of(finished(stream_jobs.channel_table(
+        tables.market_behaviors(events), sinks.shared_folder(spark), removed=tables.REMOVED), spark))
+
+
 @query(tables.event_stream)
 def stream_click_cap(events):
     spark = events.sparkSession

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from ..functions.event_time import watermarked, where_watermarked
 from ..functions.filters import has_transaction, is_behavior, is_not_behavior, is_page
 from ..operators import clicks as click_cap
+from ..operators.ranking import top_per_window
 from ..streaming import clicks as stream_clicks
 from ..streaming import detect, incremental, windows
 from ..streaming.incremental import Incremental
@@ -55,6 +56,33 @@ def channel_windows(
     return windows.sliding_counts(kept, ["channel", "behavior"], size_s, slide_s)
 
 
+def hot_items(
+    behaviors: DataFrame, path: str, k: int = 3, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S, view: str = VIEW,
+    delay_s: int = 0,
+) -> Incremental:
+    """The ranking of each window when it is over: ``window_end, rank, item_id, cnt``."""
+    return incremental.window_counts(
+        behaviors, path, ["item_id"], size_s, slide_s, delay_s, counted=is_behavior(view),
+        change=lambda counts: top_per_window(counts, "item_id", k))
+
+
+def hot_pages(
+    log: DataFrame, path: str, k: int = 5, size_s: int = 600, slide_s: int = 10, delay_s: int = 1, lateness_s: int = 60
+) -> Incremental:
+    """The ranking of each window when it is over, and again when late rows correct it."""
+    return incremental.window_counts(
+        log, path, ["url"], size_s, slide_s, delay_s, lateness_s, counted=is_page(),
+        change=lambda counts: top_per_window(counts, "url", k))
+
+
+def channel_table(
+    behaviors: DataFrame, path: str, size_s: int = HOUR_S, slide_s: int = 5, removed: str = REMOVED, delay_s: int = 0
+) -> Incremental:
+    """``channel_windows`` without copies of the rows, whatever the slide."""
+    return incremental.window_counts(
+        behaviors, path, ["channel", "behavior"], size_s, slide_s, delay_s, counted=is_not_behavior(removed))
+
+
 def click_cap_table(
     clicks: DataFrame, path: str, limit: int = 100, strict: bool = False, delay_s: int = 0, **names
 ) -> Incremental:

@@ -44,6 +44,7 @@ class Incremental:
     schema: StructType
     line: StructType
     close: Callable[[], None] | None = None
+    corrected: bool = False
 
     def finish(self) -> None:
         """Decides what is still open, once a bounded input has been worked through.
@@ -56,7 +57,11 @@ class Incremental:
         return spark.read.schema(self.line).parquet(f"{self.path}/late").drop("batch", "us", "_day")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        results = spark.read.schema(self.schema).parquet(f"{self.path}/rows").drop("batch", "_day", "_seen")
+        results = spark.read.schema(self.schema).parquet(f"{self.path}/rows")
+        if self.corrected:
+            last = results.groupBy("window_end").agg(F.max("batch").alias("batch"))
+            results = results.join(last, ["window_end", "batch"], "left_semi")
+        results = results.drop("batch", "_day", "_seen")
         return results.where(~F.col("held")).drop("held") if "held" in results.columns else results
 
 
@@ -267,6 +272,60 @@ def click_cap(
     return Incremental(writer, path, schema, line.schema)
 
 
+def window_counts(
+    events: DataFrame, path: str, keys: list[str], size_s: int, slide_s: int, delay_s: int = 0, lateness_s: int = 0,
+    counted: Column | None = None, change: Callable[[DataFrame], DataFrame] = lambda counts: counts,
+) -> Incremental:
+    """Sliding counts ``keys, window_end, cnt``, each window once it is over and once
+    more, as a whole, in each batch that brings it rows up to ``lateness_s`` late;
+    ``read`` gives the last word on it. ``change`` goes on with the counts of the
+    windows of a batch, all there, so it may rank them. Rows that are not
+    ``counted`` move the time only. Carries the pane counts of the windows that
+    can still change."""
+    if size_s % slide_s:
+        raise ValueError("the slide must divide the size")
+    spark = events.sparkSession
+    size, slide, lateness = size_s * SECOND, slide_s * SECOND, lateness_s * SECOND
+    line = events.withColumn("us", micros())
+    panes_schema = StructType([events.schema[k] for k in keys] + StructType.fromDDL("_end bigint, cnt bigint").fields)
+    end = F.col("window_end") * 1000
+
+    def counts(panes: DataFrame) -> DataFrame:
+        return windows_of(panes, keys, size_s, slide_s)
+
+    schema = change(counts(spark.createDataFrame([], panes_schema))).schema
+
+    def work(batch: DataFrame, number: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        before, reached = _advance(batch, path, number, delay_s)
+        last_end = F.coalesce(floor_to(F.col("us"), slide) + size, F.lit(NEVER))
+        _write(batch.where(last_end + lateness <= before), _part(path, "late", number))
+        rows = batch.where(last_end + lateness > before)
+        fresh = pane_counts(rows if counted is None else rows.where(counted), keys, slide, "ts")
+        panes = fresh
+        if number > 0:
+            panes = panes.unionByName(spark.read.schema(panes_schema).parquet(_part(path, "open", number - 1)))
+        panes = panes.groupBy(*keys, "_end").agg(F.sum("cnt").alias("cnt"))
+        due = counts(panes).where((end > before - lateness) & (end <= reached))
+        if lateness:
+            touched = windows_of(fresh.groupBy("_end").agg(F.sum("cnt").alias("cnt")), [], size_s, slide_s)
+            touched = touched.where((end > before - lateness) & (end <= before)).select("window_end", F.lit(True).alias("_new"))
+            due = due.join(touched, "window_end", "left").where((end > before) | F.col("_new")).select(*keys, "window_end", "cnt")
+        _write(change(due), _part(path, "rows", number))
+        _write(panes.where(F.col("_end") + size - slide + lateness > reached), _part(path, "open", number))
+        batch.unpersist()
+        _forget(spark, path, number - 2)
+
+    def close() -> None:
+        number, reached = _last(spark, path, delay_s)
+        if number is not None:
+            panes = spark.read.schema(panes_schema).parquet(_part(path, "open", number))
+            _write(change(counts(panes).where(end > reached)), _part(path, "rows", number + 1))
+
+    writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
+    return Incremental(writer, path, schema, line.schema, close, corrected=True)
+
+
 def capped_windows(
     clicks: DataFrame, path: str, group: str = "province", size_s: int = 3600, slide_s: int = 300,
     limit: int = 100, **cap,

@@ -17,7 +17,7 @@ from tidewatch.operators import reconcile as batch_reconcile
 from tidewatch.operators import sequences as batch_sequences
 from tidewatch.operators import windows as batch_windows
 from tidewatch.plans import stream_jobs
-from tidewatch.streaming import clicks, detect, incremental, late, sinks, windows
+from tidewatch.streaming import clicks, detect, incremental, sinks, windows
 
 START = 1_700_000_000 * SECOND
 FAR = START + 400 * 86_400 * SECOND
@@ -47,33 +47,39 @@ END = {"key": -1, "kind": "end", "us": FAR, "seq": 10**9}
 END_AD = {"key": -1, "ad": "end", "us": FAR, "seq": 10**9}
 
 
+def finished(job, spark):
+    sinks.run_available(job.writer, LIMIT_S)
+    job.finish()
+    return job.read(spark)
+
+
 def test_failures(spark, folder):
     pdf = events(600, ["fail", "fail", "ok"], 5, 900, jitter_s=6)
-    stream = watermarked(as_stream(spark, pdf, folder, end=END), 7)
-    names = {"key": "key", "kind": "kind"}
-    got = sinks.table_of(detect.repeated_failures(stream, 5, **names), LIMIT_S)
-    want = batch_sequences.repeated_failures(batch(spark, pdf), 5, arrival="seq", **names)
-    assert rows(want, "*") == rows(got, "*") and want.count() > 50
+    names = {"key": "key", "kind": "kind", "arrival": "seq"}
+    job = incremental.failures(as_stream(spark, pdf, folder), folder + "o", 5, 7, **names)
+    got = finished(job, spark)
+    want = batch_sequences.repeated_failures(batch(spark, pdf), 5, **names)
+    assert rows(want, "*") == rows(got, *want.columns) and want.count() > 50
 
 
 def test_sequences(spark, folder):
     pdf = events(500, ["create", "pay", "other"], 8, 9000, jitter_s=6)
-    stream = watermarked(as_stream(spark, pdf, folder, end=END), 7)
-    names = {"key": "key", "kind": "kind"}
-    got = sinks.table_of(detect.followed_within(stream, 90, **names), LIMIT_S)
-    want = batch_sequences.followed_within(batch(spark, pdf), 90, arrival="seq", **names)
-    assert rows_with_nulls(want, "*") == rows_with_nulls(got, "*")
+    names = {"key": "key", "kind": "kind", "arrival": "seq"}
+    job = incremental.sequences(as_stream(spark, pdf, folder), folder + "o", 90, 7, **names)
+    got = finished(job, spark)
+    want = batch_sequences.followed_within(batch(spark, pdf), 90, **names)
+    assert rows_with_nulls(want, "*") == rows_with_nulls(got, *want.columns)
     assert {r.kind for r in want.select("kind").distinct().collect()} == {"payed", "timeout"}
 
 
 @pytest.mark.parametrize("grace_s", [0, 60])
 def test_orders(spark, folder, grace_s):
     pdf = events(500, ["create", "pay"], 8, 9000, jitter_s=6)
-    stream = watermarked(as_stream(spark, pdf, folder, end=END), 7)
-    names = {"key": "key", "kind": "kind"}
-    got = sinks.table_of(detect.order_results(stream, 90, grace_s, **names), LIMIT_S)
-    want = batch_orders.order_results(batch(spark, pdf), 90, grace_s, arrival="seq", slice_s=60, **names)
-    assert rows(want, "*") == rows(got, "*")
+    names = {"key": "key", "kind": "kind", "arrival": "seq"}
+    job = incremental.order_states(as_stream(spark, pdf, folder), folder + "o", 90, grace_s, 7, **names)
+    got = finished(job, spark)
+    want = batch_orders.order_results(batch(spark, pdf), 90, grace_s, slice_s=60, **names)
+    assert rows(want, "*") == rows(got, *want.columns)
     assert want.select("result_msg").distinct().count() == (4 if grace_s else 3)
 
 
@@ -274,7 +280,7 @@ def test_rows_too_late_for_any_window_are_kept_aside(spark, folder):
 def test_late_rows(spark, folder):
     """Against the watermark of each micro-batch, replayed by hand."""
     pdf = events(400, ["x"], 5, 3600, jitter_s=1500)
-    got = sinks.table_of(late.tag_late(as_stream(spark, pdf, folder, batches=4), 60, 10, 1, 60), LIMIT_S)
+    got = finished(incremental.tag_late(as_stream(spark, pdf, folder, batches=4), folder + "o", 60, 10, 1, 60), spark)
     want, watermark = [], 0
     for at in range(0, 400, 100):
         part = pdf.iloc[at:at + 100]

@@ -3,7 +3,7 @@ by row, so every view stays a pruned scan of the table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.event_time import DAY
@@ -13,6 +13,7 @@ from ..streaming.sinks import shared_folder
 # What the kinds of the table stand for. The views keep them as they are, so
 # that filters on them reach the file.
 VIEW, REMOVED, FAIL, CREATE, PAY, RECEIVE = "view", "error", "error", "signup", "purchase", "click"
+HALF_HOUR = 1_800_000_000
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,11 +31,19 @@ def closed_event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _typed(_replayed(spark.read.parquet(f"{folder}/events.parquet"), closing=True))
 
 
-def _replayed(table: DataFrame, parts: int = 6, most_rows: int = 1_000_000, closing: bool = False) -> DataFrame:
+def delayed_event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as a stream in the order in which ``delayed`` rows arrive."""
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    return _typed(_replayed(table, wait=F.get_json_object("props", "$.k").cast("bigint") % 7 * F.lit(HALF_HOUR)))
+
+
+def _replayed(
+    table: DataFrame, parts: int = 6, most_rows: int = 1_000_000, closing: bool = False, wait: Column | None = None
+) -> DataFrame:
     """Files in order of time, one for each micro-batch. More rows make more files, not larger ones."""
     spark = table.sparkSession
     place = shared_folder(spark)
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = F.unix_micros(F.col("ts").cast("timestamp")) + (F.lit(0) if wait is None else wait)
     rows, low, high = table.agg(F.count("*"), F.min(us), F.max(us)).first()
     n = max(parts, -(-rows // most_rows))
     width = ((high or 0) - (low or 0)) // n + 1
@@ -132,4 +141,4 @@ def broken_log_lines(events: DataFrame) -> DataFrame:
 
 def delayed(events: DataFrame) -> DataFrame:
     """Rows that arrive up to three hours after their event time."""
-    return events.withColumn("arrived_us", F.unix_micros("ts") + F.col("k") % 7 * F.lit(1_800_000_000))
+    return events.withColumn("arrived_us", F.unix_micros("ts") + F.col("k") % 7 * F.lit(HALF_HOUR))

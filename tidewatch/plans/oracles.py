@@ -67,7 +67,7 @@ PAGES = "NOT regexp_matches(url, '\\.(css|js)$')"
 KEPT = "behavior <> 'error'"
 
 ITEM_COUNTS = _counts("beh", "item_id", HOUR_S, 300, PV)
-CHANNEL_COUNTS = _counts("mkt", "channel, behavior", HOUR_S, 300, KEPT)
+CHANNEL_COUNTS = _counts("mkt", "channel, behavior", HOUR_S, 5, KEPT)
 
 
 def _capped(allowed: int) -> str:
@@ -147,8 +147,10 @@ PAIRS = _with(EVENTS, ORDERS, RECEIPTS) + f"""SELECT o.tx_id, o.arrival AS pay_i
   r.arrival AS receipt_id, r.us AS receipt_us
 FROM ord o JOIN rec r ON o.tx_id = r.tx_id AND o.tx_id <> ''
   AND r.us - o.us BETWEEN -{NEAR['receipt_before_s'] * S} AND {NEAR['receipt_after_s'] * S}"""
-CHANNEL_ROWS = f"""SELECT {_text(f'w_end - {HOUR}')} AS window_start, {_text('w_end')} AS window_end,
-  channel, behavior, cnt FROM cnts"""
+CHANNEL_SUMS = f"""SELECT channel, behavior, count(*) AS windows, CAST(sum(cnt) AS BIGINT) AS total, max(cnt) AS peak,
+  {_text(f'min(w_end) - {HOUR}')} AS first_start, {_text('max(w_end)')} AS last_end
+FROM cnts GROUP BY channel, behavior"""
+
 
 ORACLES: dict[str, str] = {
     "behavior_lines": _with(EVENTS, BEHAVIORS) + """SELECT user_id || ',' || item_id || ',' || category_id || ','
@@ -173,11 +175,8 @@ ORACLES: dict[str, str] = {
     + "SELECT * FROM ranked",
     "hot_pages_report": _with(EVENTS, LOG, _counts("weblog", "url", 600, 10, PAGES), _ranked("url", 5)) + _report(
         "url", "=" * 26, "URL=", "访问量="),
-    "channel_counts": _with(EVENTS, MARKET, CHANNEL_COUNTS) + CHANNEL_ROWS,
-    "channel_peaks": _with(EVENTS, MARKET, _counts("mkt", "channel, behavior", HOUR_S, 5, KEPT))
-    + f"""SELECT channel, behavior, count(*) AS windows, CAST(sum(cnt) AS BIGINT) AS total, max(cnt) AS peak,
-  {_text(f'min(w_end) - {HOUR}')} AS first_start, {_text('max(w_end)')} AS last_end
-FROM cnts GROUP BY channel, behavior""",
+    "channel_counts": _with(EVENTS, MARKET, CHANNEL_COUNTS) + CHANNEL_SUMS + f", w_end // {HOUR}",
+    "channel_peaks": _with(EVENTS, MARKET, CHANNEL_COUNTS) + CHANNEL_SUMS,
     "click_cap": _with(EVENTS, CLICKS, _capped(CLICK_LIMIT)) + CAP_ROWS,
     "click_cap_strict": _with(EVENTS, CLICKS, _capped(CLICK_LIMIT + 1)) + CAP_ROWS,
     "click_blacklist": _with(EVENTS, CLICKS, _capped(CLICK_LIMIT))
@@ -207,7 +206,16 @@ FROM ev WHERE arrival % 50 IN (7, 8)"""
 ORACLES |= {f"stream_{name}": ORACLES[name] for name in (
     "page_views", "unique_visitors", "hot_items", "province_clicks", "channel_counts", "click_cap",
     "login_failures", "order_sequences", "payment_receipts", "hot_items_report", "hot_pages_report", "channel_peaks",
+    "hot_pages", "click_cap_strict",
 )}
 ORACLES["stream_click_cap_timers"] = ORACLES["click_cap"]
 ORACLES["stream_order_states"] = ORACLES["order_states_with_grace"]
-ORACLES["stream_hot_pages"] = _with(EVENTS, LOG, _counts("weblog", "url", 600, 300, PAGES), _ranked("url", 5)) + "SELECT * FROM ranked"
+# The stream comes in six parts of equal time (more above six million rows); time stands still within one.
+ORACLES["stream_late_rows"] = _with(EVENTS, f"""arr AS (SELECT *, us + k % 7 * {1800 * S} AS arrived FROM ev)""", """cuts AS (
+  SELECT min(arrived) AS low, (max(arrived) - min(arrived)) // n + 1 AS width
+  FROM arr, (SELECT greatest(6, (count(*) + 999999) // 1000000) AS n FROM arr) GROUP BY n)""", """batches AS (
+  SELECT arr.*, (arrived - low) // width AS batch FROM arr, cuts)""", f"""reached AS (
+  SELECT batch, max(max(us)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    // 1000 * 1000 - {S} AS before FROM batches GROUP BY batch)""") + f"""SELECT arrival, user_id,
+  CASE WHEN coalesce((us // {10 * S} + 60) * {10 * S} - 1000 + {60 * S} <= before, FALSE) THEN 'late' ELSE 'on_time' END AS kind
+FROM batches JOIN reached USING (batch)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -14,11 +14,9 @@ from ..functions.filters import has_transaction, is_behavior, is_not_behavior, i
 from ..functions.reports import item_report, page_report
 from ..operators.clicks import cap_clicks
 from ..operators.late import tag_late
-from ..operators.ranking import top_per_window
-from ..operators.windows import with_window_texts
 from ..session import SETTINGS
 from ..sources.lines import parse_csv_lines, parse_web_log, rejected_lines
-from ..streaming import sinks
+from ..streaming import incremental, sinks
 from ..streaming.incremental import Incremental
 from . import driver_tables as tables
 from . import jobs, stream_jobs
@@ -150,8 +148,8 @@ def hot_pages_report(events):
 
 @query()
 def channel_counts(events):
-    """Every window of one hour, one per five minutes."""
-    return jobs.channel_counts(tables.market_behaviors(events), slide_s=300, removed=tables.REMOVED)
+    """Over every window of one hour, one per five seconds, summed up by the hour of their ends."""
+    return peaks_of(jobs.channel_windows(tables.market_behaviors(events), removed=tables.REMOVED), end_hour())
 
 
 @query()
@@ -161,8 +159,12 @@ def channel_peaks(events):
     return peaks_of(jobs.channel_windows(tables.market_behaviors(events), removed=tables.REMOVED))
 
 
-def peaks_of(counts: DataFrame) -> DataFrame:
-    peaks = counts.groupBy("channel", "behavior").agg(
+def end_hour() -> Column:
+    return F.expr(f"window_end div {HOUR_S * 1000}").alias("end_hour")
+
+
+def peaks_of(counts: DataFrame, *parts: Column) -> DataFrame:
+    peaks = counts.groupBy("channel", "behavior", *parts).agg(
         F.count(F.lit(1)).alias("windows"),
         F.sum("cnt").alias("total"),
         F.max("cnt").alias("peak"),
@@ -270,28 +272,26 @@ def stream_hot_items(events):
     )
 
 
-@query(tables.closed_event_stream)
+def finished(job: Incremental, spark: SparkSession) -> DataFrame:
+    sinks.run_available(job.writer)
+    job.finish()
+    return job.read(spark)
+
+
+@query(tables.event_stream)
 def stream_hot_pages(events):
-    """From the change log of an update-mode stream: the latest count of each page."""
-    counts = stream_jobs.page_hit_updates(parse_web_log(tables.web_log_lines(events)), slide_s=300)
+    """Windows of ten minutes, one per ten seconds, with corrections by rows up to a minute late."""
     spark = events.sparkSession
-    folder = sinks.shared_folder(spark)
-    writer = sinks.to_batches(counts, f"{folder}/rows", f"{folder}/checkpoint", mode="update")
-    schema = "url string, window_end bigint, cnt bigint, batch bigint"
-    latest = sinks.latest_counts(sinks.batches_table(writer, spark, f"{folder}/rows", schema), ["url"])
-    return top_per_window(latest, "url", 5)
+    return finished(stream_jobs.hot_pages(
+        parse_web_log(tables.web_log_lines(events)), sinks.shared_folder(spark)), spark)
 
 
-@query(tables.closed_event_stream)
+@query(tables.event_stream)
 def stream_channel_counts(events):
-    counts = stream_jobs.channel_windows(tables.market_behaviors(events), slide_s=300, removed=tables.REMOVED)
-    return with_window_texts(sinks.table_of(counts), HOUR_S)
-
-
-def finished(job: Incremental, spark: SparkSession) -> DataFrame:
-    sinks.run_available(job.writer)
-    job.finish()
-    return job.read(spark)
+    """Over every window of one hour, one per five seconds, summed up by the hour of their ends."""
+    spark = events.sparkSession
+    return peaks_of(finished(stream_jobs.channel_table(
+        tables.market_behaviors(events), sinks.shared_folder(spark), removed=tables.REMOVED), spark), end_hour())
 
 
 @query(tables.event_stream)
@@ -324,6 +324,20 @@ def stream_click_cap(events):
     return finished(job, spark).select("arrival", "user_id", "ad_id", "kind")
 
 
+@query(tables.event_stream)
+def stream_click_cap_strict(events):
+    spark = events.sparkSession
+    job = stream_jobs.click_cap_table(tables.ad_clicks(events), sinks.shared_folder(spark), CLICK_LIMIT, strict=True)
+    return finished(job, spark).select("arrival", "user_id", "ad_id", "kind")
+
+
+@query(tables.delayed_event_stream)
+def stream_late_rows(events):
+    """Against the time reached before the micro-batch of each row."""
+    spark = events.sparkSession
+    return finished(incremental.tag_late(events, sinks.shared_folder(spark)), spark).select("arrival", "user_id", "kind")
+
+
 @query(tables.event_stream)
 def stream_province_clicks(events):
     spark = events.sparkSession

@@ -49,13 +49,6 @@ def page_hit_updates(
     return windows.updating_counts(pages, ["url"], size_s, slide_s)
 
 
-def channel_windows(
-    behaviors: DataFrame, size_s: int = HOUR_S, slide_s: int = 5, removed: str = REMOVED, delay_s: int = 0
-) -> DataFrame:
-    kept = where_watermarked(watermarked(behaviors, delay_s), is_not_behavior(removed))
-    return windows.sliding_counts(kept, ["channel", "behavior"], size_s, slide_s)
-
-
 def hot_items(
     behaviors: DataFrame, path: str, k: int = 3, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S, view: str = VIEW,
     delay_s: int = 0,
@@ -78,7 +71,7 @@ def hot_pages(
 def channel_table(
     behaviors: DataFrame, path: str, size_s: int = HOUR_S, slide_s: int = 5, removed: str = REMOVED, delay_s: int = 0
 ) -> Incremental:
-    """``channel_windows`` without copies of the rows, whatever the slide."""
+    """Counts of every window when it is over, without copies of the rows, whatever the slide."""
     return incremental.window_counts(
         behaviors, path, ["channel", "behavior"], size_s, slide_s, delay_s, counted=is_not_behavior(removed))
 

@@ -1,95 +1,11 @@
-"""The keyed detections on streams, with the results of their batch forms.
-
-``seq`` is a bigint that orders rows of equal event time, such as an offset.
-Inputs carry a watermark on ``ts``; results are emitted when it passes them.
-"""
+"""The join of two streams within an interval of time."""
 
 from __future__ import annotations
 
-import sys
-
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-from ..functions.event_time import SECOND, floor_to, micros, where_watermarked
-from ..operators.sequences import SLICES
-from .replay import Rules, replay
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _fields(**kinds) -> list[StructField]:
-    return [StructField(name, kind()) for name, kind in kinds.items()]
-
 
-def repeated_failures(
-    events: DataFrame, within_s: int = 5, fail: str = "fail", key: str = "user_id",
-    kind: str = "event_type", seq: str = "seq",
-) -> DataFrame:
-    within = within_s * SECOND
-
-    def on_row(held, row):
-        us, _, failed, home = row
-        found = [(held[0][0], us, "login fail")] if held and failed else []
-        return ([row] if failed and home else []), found
-
-    rules = Rules(deadline=lambda row: row[0] + within - 1, on_row=on_row)
-    rows = events.select(key, "ts", micros().alias("us"), F.col(seq).alias("seq"),
-                         (F.col(kind) == fail).alias("failed"))
-    output = StructType([events.schema[key]] + _fields(first_us=LongType, last_us=LongType, msg=StringType))
-    return replay(rows, key, rules, output, within * SLICES, after=within)
-
-
-def followed_within(
-    events: DataFrame, within_s: int = 900, first: str = "create", then: str = "pay",
-    key: str = "order_id", kind: str = "event_type", seq: str = "seq",
-) -> DataFrame:
-    within = within_s * SECOND
-
-    def on_row(held, row):
-        us, _, opens, home = row
-        if opens:
-            return held + [row] * home, []
-        return [], [("payed", h[0], us, "payed successfully") for h in held]
-
-    def on_expiry(row):
-        return [("timeout", row[0], None, f"timeOut at{(row[0] + within) // 1000}")]
-
-    rules = Rules(deadline=lambda row: row[0] + within - 1, on_row=on_row, on_expiry=on_expiry)
-    output = StructType([events.schema[key]] + _fields(
-        kind=StringType, first_us=LongType, then_us=LongType, result_msg=StringType))
-    rows = _opening(events, first, then, key, kind, seq)
-    return replay(rows, key, rules, output, within * SLICES, after=within, guests=~F.col("opens"))
-
-
-def order_results(
-    logs: DataFrame, within_s: int = 900, grace_s: int = 0, create: str = "create", pay: str = "pay",
-    key: str = "order_id", kind: str = "event_type", seq: str = "seq",
-) -> DataFrame:
-    """As the batch form with the same ``grace_s``: a pay later than that after
-    the deadline finds its order closed."""
-    within, kept = within_s * SECOND, (within_s + grace_s) * SECOND
-
-    def timeout(row):
-        return [(row[0], "timeout")] if row[3] else []
-
-    def on_row(held, row):
-        us, _, opens, home = row
-        if opens:
-            renewed = not held or us - held[0][0] < within
-            return [row], ([] if renewed else timeout(held[0]))
-        if not held:
-            result = "payed but not found create"
-        else:
-            result = "payed successfully" if us - held[0][0] < within else "payed but timeout"
-        return [], [(us, result)] * home
-
-    rules = Rules(deadline=lambda row: row[0] + kept - 1, on_row=on_row, on_expiry=timeout)
-    output = StructType([logs.schema[key]] + _fields(us=LongType, result_msg=StringType))
-    rows = _opening(logs, create, pay, key, kind, seq)
-    return replay(rows, key, rules, output, kept * SLICES, before=kept, after=kept)
+from ..functions.event_time import SECOND, floor_to, micros
 
 
 def interval_join(
@@ -119,9 +35,3 @@ def interval_join(
     return left.join(right, same & near).select(
         key, "pay_id", micros("pay_ts").alias("pay_us"), "receipt_id", micros("receipt_ts").alias("receipt_us")
     )
-
-
-def _opening(events: DataFrame, first: str, then: str, key: str, kind: str, seq: str) -> DataFrame:
-    return where_watermarked(events, F.col(kind).isin(first, then)).select(
-        key, "ts", micros().alias("us"), F.col(seq).alias("seq"), (F.col(kind) == first).alias("opens")
-    )

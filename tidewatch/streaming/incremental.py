@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.event_time import DAY, SECOND, floor_to, micros
 from ..operators.clicks import PASS, WARNING
+from ..operators.late import LATE, ON_TIME, is_late
 from ..operators.orders import decided_results
 from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, match_line, one_line
 from ..operators.sequences import followed_within, repeated_failures
@@ -326,6 +327,27 @@ def window_counts(
     return Incremental(writer, path, schema, line.schema, close, corrected=True)
 
 
+def tag_late(
+    events: DataFrame, path: str, size_s: int = 600, slide_s: int = 10, delay_s: int = 1, lateness_s: int = 60
+) -> Incremental:
+    """Each row as it comes with its ``kind``: ``late`` if, by the time reached before its
+    micro-batch, no window takes it any more, else ``on_time``. Rows without a time
+    are ``on_time`` as in the batch form. No row is shuffled."""
+    kept = [field for field in events.schema if field.name != "kind"]
+    schema = StructType(kept + StructType.fromDDL("kind string").fields)
+    line = events.withColumn("us", micros())
+
+    def work(batch: DataFrame, number: int) -> None:
+        before, _ = _advance(batch, path, number, delay_s)
+        late = F.coalesce(is_late(F.col("us"), F.lit(before), size_s, slide_s, lateness_s), F.lit(False))
+        told = batch.withColumn("kind", F.when(late, LATE).otherwise(ON_TIME))
+        _write(told.select(*schema.names), _part(path, "rows", number))
+        _forget(batch.sparkSession, path, number - 2)
+
+    writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
+    return Incremental(writer, path, schema, line.schema)
+
+
 def capped_windows(
     clicks: DataFrame, path: str, group: str = "province", size_s: int = 3600, slide_s: int = 300,
     limit: int = 100, **cap,

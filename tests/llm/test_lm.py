@@ -77,3 +77,17 @@ def test_edge_cases(frame):
     assert lm.scored(frame(), model).collect() == []
     empty = lm.learned(frame().select("text"))
     assert [r.n_known for r in lm.scored(frame("a b"), empty).collect()] == [0]
+
+
+def test_every_round_sees_all_texts(spark):
+    """Many copies of one text and a few others: the rounds are those of plain Baum-Welch over all of them, until it settles."""
+    texts = ["the same text again"] * 1200 + [f"one of{k} ing{k} other ed{k} words" for k in range(40)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    kinds, sizes = lm.classes_of([t.encode() for t in texts])
+    shares = np.bincount(kinds, minlength=lm.CLASSES) / len(kinds)
+    got = lm.baum_welch(frame, shares)
+    marks = got.likelihoods
+    plain = lm._beginning(kinds, sizes, shares, len(marks))
+    assert np.allclose(got.move, plain.move) and np.allclose(got.emit, plain.emit)
+    assert len(marks) > 3 and marks[-1] > marks[0] and marks[-1] - marks[-2] <= lm.SETTLED * abs(marks[-1])
+    assert math.isclose(marks[0], lm._beginning(kinds, sizes, shares, 0).log10_likelihood(kinds, sizes).sum(), rel_tol=1e-9)

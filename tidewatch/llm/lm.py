@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm.shared import remainder_of_id, scratch, table, text_batches
 
 STATES, CLASSES = 6, 1024
-#: Rounds of Baum-Welch over all training texts, after some over a bounded sample of them for a start.
-ROUNDS, SAMPLE_ROUNDS, SAMPLE_TEXTS, SAMPLE_BYTES = 1, 12, 1000, 4 << 20
+#: Baum-Welch has settled once a round over all training texts raises their log likelihood by less than this part of it,
+#: twice in a row: the first rounds from noise gain little.
+SETTLED = 1e-4
 #: Made-up emissions of every state, dealt by the classes' shares.
 SMOOTHING = 50.0
 #: Words that are sent to every task with their counts: those with at least this part of all tokens, so no more.
@@ -52,6 +53,7 @@ def classes_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
 class Hmm:
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
+        self.likelihoods: list[float] = []
 
     def _packed(self, kinds: np.ndarray, sizes: np.ndarray):
         """Texts from long to short, so that those not yet at their end stand in front."""
@@ -75,7 +77,11 @@ class Hmm:
         return out
 
     def counts(self, kinds: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions: the forward and the backward recursion with the same scales."""
+        """Expected starts, moves and emissions."""
+        return self.sums(kinds, sizes)[:3]
+
+    def sums(self, kinds: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same and the log10 likelihood of all texts: the forward and the backward recursion with the same scales."""
         k = len(self.start)
         order, begins, alive = self._packed(kinds, sizes)
         emit = np.ascontiguousarray(self.emit.T)
@@ -101,7 +107,7 @@ class Hmm:
             back = here
         flat = (kinds[:, None] + np.arange(k) * CLASSES).ravel()
         emits = np.bincount(flat, weights=seen.ravel(), minlength=k * CLASSES).reshape(k, CLASSES)
-        return seen[begins].sum(axis=0), moves, emits
+        return seen[begins].sum(axis=0), moves, emits, np.log10(scales).sum(keepdims=True)
 
     @staticmethod
     def of(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, shares: np.ndarray) -> Hmm:
@@ -110,7 +116,7 @@ class Hmm:
 
 
 def _beginning(kinds: np.ndarray, sizes: np.ndarray, shares: np.ndarray, rounds: int) -> Hmm:
-    """States start as slight variations of the classes' shares and settle on the sample."""
+    """States start as slight variations of the classes' shares; then so many rounds on the given texts."""
     noise = np.random.default_rng(11).uniform(0.5, 1.5, (STATES, CLASSES))
     stay = np.full((STATES, STATES), 0.1 / (STATES - 1)) + np.eye(STATES) * (0.9 - 0.1 / (STATES - 1))
     model = Hmm.of(np.ones(STATES), stay * 1000, 1000 * noise * shares, shares)
@@ -119,32 +125,45 @@ def _beginning(kinds: np.ndarray, sizes: np.ndarray, shares: np.ndarray, rounds:
     return model
 
 
-def baum_welch(texts: DataFrame, shares: np.ndarray, rounds: int = ROUNDS) -> Hmm:
-    """Trained on all texts. Each task adds up its own counts; a fixed number of sums comes to the driver."""
-    sample = texts.where(F.octet_length("text") < SAMPLE_BYTES // 100).orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS).collect()
-    kinds, sizes = classes_of([r.text.encode() for r in sample if r.text]) if sample else (np.empty(0, np.int64), np.empty(0, np.int64))
-    model = _beginning(kinds, sizes, shares, SAMPLE_ROUNDS)
-    for _ in range(rounds):
+def baum_welch(texts: DataFrame, shares: np.ndarray, rounds: int | None = None) -> Hmm:
+    """Trained on all texts in every round, until their likelihood settles or for so many rounds.
+
+    Each task adds up its own counts; a fixed number of sums comes to the driver. The likelihoods before each round
+    are kept in the model.
+    """
+    model = _beginning(np.empty(0, np.int64), np.empty(0, np.int64), shares, 0)
+    likelihoods: list[float] = []
+    while rounds is None or len(likelihoods) < rounds:
         sent = texts.sparkSession.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            sums = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES))]
+            sums = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES)), np.zeros(1)]
             for batch in batches:
                 for _, part in text_batches([batch], "text", SLICE):
-                    for whole, more in zip(sums, sent.value.counts(*classes_of(part))):
+                    for whole, more in zip(sums, sent.value.sums(*classes_of(part))):
                         whole += more
             flat = np.concatenate([x.ravel() for x in sums])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int64)), pa.array(flat)], ["at", "x"])
 
         found = texts.select("text").mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
-        flat = np.zeros(STATES * (1 + STATES + CLASSES))
+        flat = np.zeros(STATES * (1 + STATES + CLASSES) + 1)
         for r in found:
             flat[r["at"]] = r.x
         a, b = STATES, STATES + STATES * STATES
-        model = Hmm.of(flat[:a], flat[a:b].reshape(STATES, STATES), flat[b:].reshape(STATES, CLASSES), shares)
+        model = Hmm.of(flat[:a], flat[a:b].reshape(STATES, STATES), flat[b:-1].reshape(STATES, CLASSES), shares)
+        sent.unpersist()
+        likelihoods.append(float(flat[-1]))
+        if _settled(likelihoods):
+            break
+    model.likelihoods = likelihoods
     return model
 
 
+def _settled(likelihoods: list[float]) -> bool:
+    gains = np.diff(likelihoods[-3:])
+    return len(gains) == 2 and bool((gains <= SETTLED * abs(likelihoods[-1])).all())
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """word, kind (its class), n: all tokens of the texts. Tasks count first; the end is the word END of class 0."""
 
@@ -169,7 +188,7 @@ class Model:
         self.hmm, self.class_logs, self.tokens, self.distinct, self.frequent, self.counts = hmm, class_logs, tokens, distinct, frequent, counts
 
 
-def learned(texts: DataFrame, most_words: int = MOST_WORDS, rounds: int = ROUNDS) -> Model:
+def learned(texts: DataFrame, most_words: int = MOST_WORDS, rounds: int | None = None) -> Model:
     """Word counts go to a table in the shared folder; frequent words, no more than `most_words`, to the driver."""
     spark = texts.sparkSession
     out = scratch(spark, "word-counts")

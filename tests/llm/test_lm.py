@@ -89,5 +89,5 @@ def test_every_round_sees_all_texts(spark):
     marks = got.likelihoods
     plain = lm._beginning(kinds, sizes, shares, len(marks))
     assert np.allclose(got.move, plain.move) and np.allclose(got.emit, plain.emit)
-    assert len(marks) > 3 and marks[-1] > marks[0] and marks[-1] - marks[-2] <= lm.SETTLED * abs(marks[-1])
+    assert len(marks) > 3 and marks[-1] > marks[0] and marks[-1] - marks[-2] <= lm.SETTLED * len(kinds)
     assert math.isclose(marks[0], lm._beginning(kinds, sizes, shares, 0).log10_likelihood(kinds, sizes).sum(), rel_tol=1e-9)

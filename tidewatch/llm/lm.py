@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.shared import remainder_of_id, scratch, table, text_batches
 
 STATES, CLASSES = 6, 1024
-#: Baum-Welch has settled once a round over all training texts raises their log likelihood by less than this part of it,
+#: Baum-Welch has settled once a round over all training texts raises their log10 likelihood by less than this a token,
 #: twice in a row: the first rounds from noise gain little.
 SETTLED = 1e-4
 #: Made-up emissions of every state, dealt by the classes' shares.
@@ -153,15 +153,15 @@ def baum_welch(texts: DataFrame, shares: np.ndarray, rounds: int | None = None)
         model = Hmm.of(flat[:a], flat[a:b].reshape(STATES, STATES), flat[b:-1].reshape(STATES, CLASSES), shares)
         sent.unpersist()
         likelihoods.append(float(flat[-1]))
-        if _settled(likelihoods):
+        if _settled(likelihoods, flat[b:-1].sum()):
             break
     model.likelihoods = likelihoods
     return model
 
 
-def _settled(likelihoods: list[float]) -> bool:
+def _settled(likelihoods: list[float], tokens: float) -> bool:
     gains = np.diff(likelihoods[-3:])
-    return len(gains) == 2 and bool((gains <= SETTLED * abs(likelihoods[-1])).all())
+    return len(gains) == 2 and bool((gains <= SETTLED * tokens).all())
 
 
 def word_counts(texts: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import bpe, conversations, decontaminate, html, language, lm, oracles, quality, secrets, simhash, tokens, toxicity, whitening
+from tidewatch.llm import bpe, conversations, decontaminate, html, language, lm, oracles, quality, secrets, simhash, subwords, tokens, toxicity, whitening
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_secrets": secrets.op9_secrets,
     "op10_quality": quality.op10_quality,
+    "op11_quality_classifier": subwords.op11_quality_classifier,
     "op12_conversations": conversations.op12_conversations,
     "op13_whitening": whitening.op13_whitening,
 }
 ORACLES: dict[str, str] = {
+    "op11_quality_classifier": subwords.op11_quality_classifier,
     "op12_conversations": oracles.CONVERSATIONS,
 }

@@ -1,5 +1,4 @@
 import os
-import re
 import sys
 
 import pytest
@@ -9,20 +8,6 @@ sys.path.insert(0, ROOT)
 
 from tidewatch.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
-
-def fixture_file(column: str) -> str:
-    """Path of the fixture with that column, as FIXTURES.md lists it."""
-    text = open(f"{ROOT}/FIXTURES.md", encoding="utf-8").read()
-    base = re.search(r"Paths under `([^`]+)`", text).group(1)
-    row = next(line for line in text.splitlines() if line.startswith("|") and column in line.split("|")[3])
-    path = os.path.join(base, row.split("|")[1].strip())
-    if not os.path.exists(path):
-        pytest.skip("fixture files are not here")
-    return path
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(

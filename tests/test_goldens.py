@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import fixture_file
+from golden_files import fixture_file
 from tidewatch import schemas
 from tidewatch.operators.clicks import cap_clicks, passed
 from tidewatch.plans import jobs

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from golden_files import SMALL
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 

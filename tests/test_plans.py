@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from golden_files import SMALL
 from tidewatch.operators.windows import sliding_counts
 from tidewatch.plans import queries as registered
 from tidewatch.plans.oracles import ORACLES

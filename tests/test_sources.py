@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import fixture_file
+from golden_files import fixture_file
 from tidewatch import schemas
 from tidewatch.plans import jobs, stream_jobs
 from tidewatch.sources import kafka

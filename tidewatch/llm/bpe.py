@@ -15,6 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -26,6 +27,8 @@ from tidewatch.llm.shared import table, text_batches
 VOCABULARY = "word_bpe_49k.json"
 #: Pieces of text whose ids, and arcs that, a task keeps; then it starts anew.
 KEPT_PIECES, KEPT_ARCS = 400_000, 400_000
+#: Bytes of text that a task takes at once.
+SLICE = 4 << 20
 _NEVER = 1 << 60
 
 
@@ -153,26 +156,26 @@ class WordTokenizer:
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.words = regex.compile(next(p["pattern"]["Regex"] for p in said["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.symbols = _byte_symbols()
+        #: Ids and labels of pieces between white space and of the words that pieces are split into.
         self.pieces: dict[str, tuple[bytes, str]] = {}
-        self.paths: dict[str, list[int]] = {}
 
-    def _path(self, word: str) -> list[int]:
-        path = self.automaton.read("".join([self.symbols[b] for b in word.encode()]) + "\0")
-        if len(self.paths) >= KEPT_PIECES:
-            self.paths.clear()
-        self.paths[word] = path
-        return path
-
-    def _piece(self, piece: str) -> tuple[bytes, str]:
-        ids: list[int] = []
-        for word in self.words.findall(piece):
-            ids += self.paths.get(word) or self._path(word)
-        out = struct.pack(f"<{len(ids)}I", *ids), " ".join([self.automaton.label[i] for i in ids])
+    def _kept(self, piece: str, out: tuple[bytes, str]) -> tuple[bytes, str]:
         if len(self.pieces) >= KEPT_PIECES:
             self.pieces.clear()
         self.pieces[piece] = out
         return out
 
+    def _word(self, word: str) -> tuple[bytes, str]:
+        ids = self.automaton.read("".join([self.symbols[b] for b in word.encode()]) + "\0")
+        return self._kept(word, (struct.pack(f"<{len(ids)}I", *ids), " ".join([self.automaton.label[i] for i in ids])))
+
+    def _piece(self, piece: str) -> tuple[bytes, str]:
+        words = self.words.findall(piece)
+        if len(words) == 1 and words[0] == piece:
+            return self._word(piece)
+        parts = [self.pieces.get(w) or self._word(w) for w in words]
+        return self._kept(piece, (b"".join([i for i, _ in parts]), " ".join([d for _, d in parts])))
+
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and what they decode to."""
         ids, labels = [], []
@@ -206,7 +209,9 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = True) -> DataFrame:
+def encoded(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = True, with_decoded: bool = True
+) -> DataFrame:
     """Per row: doc_id, n_tokens, digests of ids and decoded text, and on wish ids (list) and decoded (text).
 
     A null text counts as empty: no ids and an empty decoded text. Repeated rows and null ids keep one result
@@ -216,22 +221,32 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path)
-        for batch, texts in text_batches(batches, "text"):
-            both = [tokenizer.encode((t or b"").decode()) for t in texts]
-            columns = [
-                batch.column(0), pa.array([len(i) // 4 for i, _ in both], pa.int64()),
-                pa.array([hashlib.sha256(i).hexdigest() for i, _ in both]), pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in both]),
-            ]
+        for batch, texts in text_batches(batches, "text", SLICE):
+            ids, sizes, digests, decoded_digests, decoded = [], [], [], [], []
+            for text in texts:
+                packed, labels = tokenizer.encode((text or b"").decode())
+                sizes.append(len(packed) // 4)
+                digests.append(hashlib.sha256(packed).hexdigest())
+                decoded_digests.append(hashlib.sha256(labels.encode()).hexdigest())
+                if with_ids:
+                    ids.append(packed)
+                if with_decoded:
+                    decoded.append(labels)
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded_digests, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns += [pa.array([memoryview(i).cast("I").tolist() for i, _ in both], pa.list_(pa.int32())), pa.array([d for _, d in both])]
-                names += ["ids", "decoded"]
+                flat = pa.Array.from_buffers(pa.int32(), sum(sizes), [None, pa.py_buffer(b"".join(ids))])
+                columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), flat))
+                names.append("ids")
+            if with_decoded:
+                columns.append(pa.array(decoded, pa.string()))
+                names.append("decoded")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded string" * with_decoded
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, schema + (", ids array<int>, decoded string" if with_ids else ""))
+    return rows.mapInArrow(run, schema)
 
 
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return encoded(table(spark, folder, "documents"), with_ids=False)
+    return encoded(table(spark, folder, "documents"), with_ids=False, with_decoded=False)

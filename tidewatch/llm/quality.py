@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.shared import cut, let, table
+from tidewatch.llm.shared import cut, let, scratch, table
 
 WHITE = " \t\n\x0b\f\r"
 PUNCTUATION, DIGITS = string.punctuation, string.digits
@@ -200,11 +200,14 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
 
 
 def keep_good(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs that are kept, with their columns. Texts are read twice and never copied in between."""
+    """The rows of docs that are kept, with their columns. Texts are counted once; the rows wait with their votes in the
+    shared folder until the rules' rates are learned from all votes."""
     columns = docs.columns
-    facts = counted(docs.select(F.struct(*columns).alias("row"), "text"), ["row"]).select("*", *votes())
-    model = learned(counted(docs.select("text"), []).select(*votes()))
-    return facts.where(~_failed() & (posterior_column(model) >= least)).select("row.*")
+    facts = counted(docs.select(F.struct(*columns).alias("row"), "text"), ["row"]).select("row", _failed().alias("failed"), *votes())
+    spark, out = docs.sparkSession, scratch(docs.sparkSession, "votes")
+    facts.write.parquet(out)
+    facts = spark.read.parquet(out)
+    return facts.where(~F.col("failed") & (posterior_column(learned(facts)) >= least)).select("row.*")
 
 
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -261,8 +261,10 @@ def test_corrected_windows(spark, folder, size_s, slide_s):
     kept = batch(spark, pdf).where("kind = 'x'")
     want = ranking.top_per_window(batch_windows.sliding_counts(kept, ["key"], size_s, slide_s), "key", 3)
     assert rows(want, *want.columns) == rows(job.read(spark), *want.columns)
-    written = spark.read.parquet(folder + "o/rows").groupBy("window_end").agg(F.count_distinct("batch").alias("n"))
-    assert written.where("n > 1").count() > 0 and job.late(spark).count() == 0
+    changes = job.changes(spark)
+    back = changes.where("sign < 0").count()
+    # Only what changed is told again: each row taken back once, and no more rows than hold and were taken back.
+    assert back > 0 and changes.where("sign > 0").count() == want.count() + back and job.late(spark).count() == 0
 
 
 def test_rows_too_late_for_any_window_are_kept_aside(spark, folder):
@@ -278,18 +280,78 @@ def test_rows_too_late_for_any_window_are_kept_aside(spark, folder):
 
 
 def test_late_rows(spark, folder):
-    """Against the watermark of each micro-batch, replayed by hand."""
+    """Each row against all rows before it, however they fall into micro-batches."""
     pdf = events(400, ["x"], 5, 3600, jitter_s=1500)
-    got = finished(incremental.tag_late(as_stream(spark, pdf, folder, batches=4), folder + "o", 60, 10, 1, 60), spark)
-    want, watermark = [], 0
-    for at in range(0, 400, 100):
-        part = pdf.iloc[at:at + 100]
-        for us, seq in zip(part["us"], part["seq"]):
-            closes = us - us % (10 * SECOND) + 60 * SECOND - 1000 + 60 * SECOND
-            want.append((seq, "late" if closes <= watermark else "on_time"))
-        watermark = max(watermark, int(part["us"].max()) - SECOND)
-    assert rows(got, "seq", "kind") == sorted(want)
+    want, top = [], None
+    for us, seq in zip(pdf["us"], pdf["seq"]):
+        closes = us - us % (10 * SECOND) + 60 * SECOND - 1000 + 60 * SECOND
+        want.append((seq, "late" if top is not None and closes <= top - SECOND else "on_time"))
+        top = us if top is None else max(top, us)
     assert {k for _, k in want} == {"late", "on_time"}
+    for batches in (1, 5):
+        stream = as_stream(spark, pdf, f"{folder}{batches}", batches=batches)
+        job = incremental.tag_late(stream, f"{folder}o{batches}", F.col("seq"), ["seq"], 20, 100, 60, 10, 1, 60)
+        assert rows(finished(job, spark), "seq", "kind") == sorted(want)
+
+
+def test_late_pays_decide(spark, folder):
+    """A pay that comes after time has passed it, one that takes a timeout back, and one that is too late for anything."""
+    records = [
+        (1, "create", 1000), (2, "create", 1000), (3, "pay", 1010),
+        (1, "pay", 1005), (9, "create", 2100),
+        (2, "pay", 1200), (3, "create", 1001), (9, "pay", 2200),
+        (9, "create", 9000), (9, "pay", 9100),
+        (4, "pay", 1500), (9, "create", 9200),
+    ]
+    pdf = pd.DataFrame(records, columns=["key", "kind", "s"])
+    pdf = pdf.assign(us=START + pdf["s"] * SECOND, seq=range(len(pdf))).drop(columns="s")
+    names = {"create": "create", "pay": "pay", "key": "key", "kind": "kind", "arrival": "seq"}
+    stream = as_stream(spark, pdf, folder, batches=len(records))
+    job = incremental.order_states(stream, folder + "o", 900, 0, lateness_s=1800, **names)
+    got = rows(finished(job, spark), "key", "us", "result_msg")
+    want = batch_orders.order_results(batch(spark, pdf).where("seq <> 10"), 900, 0, **names)
+    assert got == rows(want, "key", "us", "result_msg")
+    assert (1, START + 1005 * SECOND, "payed successfully") in got and (2, START + 1200 * SECOND, "payed successfully") in got
+    back = rows(job.changes(spark).where("sign < 0"), "key", "us", "result_msg")
+    assert (2, START + 1000 * SECOND, "timeout") in back and (3, START + 1010 * SECOND, "payed but not found create") in back
+    assert [r.key for r in job.late(spark).collect()] == [4]
+
+
+def test_orders_in_disorder(spark, folder):
+    pdf = events(500, ["create", "pay"], 12, 600, jitter_s=40)
+    names = {"create": "create", "pay": "pay", "key": "key", "kind": "kind", "arrival": "seq"}
+    job = incremental.order_states(as_stream(spark, pdf, folder, 6), folder + "o", 20, 10, lateness_s=40, **names)
+    got = finished(job, spark)
+    want = batch_orders.order_results(batch(spark, pdf), 20, 10, **names)
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+    assert job.changes(spark).where("sign < 0").count() > 0 and job.late(spark).count() == 0
+
+
+def test_late_receipts_meet_who_still_waits(spark, folder):
+    """Seconds; each row is a micro-batch. The pay at 100 waits until 105."""
+    records = [("a", "pay", 100), ("b", "pay", 100), ("x", "pay", 103), ("x", "receipt", 103), ("a", "receipt", 99),
+               ("x", "pay", 120), ("x", "receipt", 120), ("b", "receipt", 102)]
+    pdf = pd.DataFrame(records, columns=["key", "kind", "s"])
+    pdf = pdf.assign(us=START + pdf["s"] * SECOND, rid=range(len(pdf))).drop(columns="s")
+    stream = as_stream(spark, pdf, folder, batches=len(records))
+    job = incremental.matches(
+        stream.where("kind = 'pay'"), stream.where("kind = 'receipt'"), folder + "o", key="key", pay_id="rid", receipt_id="rid")
+    got = rows_with_nulls(finished(job, spark), "key", "kind", "pay_id", "receipt_id")
+    assert got == sorted([
+        ("a", "matched", 0, 4), ("b", "unmatched_pay", 1, None), ("b", "unmatched_receipt", None, 7),
+        ("x", "matched", 2, 3), ("x", "matched", 5, 6)], key=repr)
+
+
+def test_a_silent_input_is_not_waited_for(spark, folder):
+    pdf = pd.DataFrame({"key": "a", "us": [START + s * SECOND for s in (100, 200, 300, 400)], "rid": range(4), "kind": "pay"})
+    stream = as_stream(spark, pdf, folder, batches=4)
+    pays, receipts = (stream.where(F.col("kind") == k) for k in ("pay", "receipt"))
+    for idle_s, decided in ((None, 0), (50, 3)):
+        job = incremental.matches(pays, receipts, f"{folder}o{idle_s}", key="key", pay_id="rid", receipt_id="rid", idle_s=idle_s)
+        sinks.run_available(job.writer, LIMIT_S)
+        assert job.read(spark).count() == decided
+        job.finish()
+        assert job.read(spark).count() == 4
 
 
 def test_capped_clicks_go_on_as_a_stream(spark, folder):

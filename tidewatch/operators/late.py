@@ -34,11 +34,13 @@ def tag_late(
     delay_s: int = 1,
     lateness_s: int = 60,
     ts: str = "ts",
+    seen: int | None = None,
 ) -> DataFrame:
     """Adds ``kind`` (``on_time`` or ``late``) against the watermark that stood
     when the row arrived: the largest event time of the rows before it, less
     ``delay_s``. ``place`` is the integer place of a row in the arrival order (a
-    time or an offset), ``arrival`` the full order.
+    time or an offset), ``arrival`` the full order. ``seen`` is the largest event
+    time of rows that came before all of these, if there were any.
 
     The running maximum over all rows is taken in three levels: inside blocks of
     ``fine`` places, over the blocks inside ``coarse`` places, and over those.
@@ -55,8 +57,8 @@ def tag_late(
         spans, "_coarse"
     ).select("_fine", F.greatest("block_seen", "span_seen").alias("_carried"))
     inside = Window.partitionBy("_fine").orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.greatest("_seen", "_carried")
-    late = is_late(F.col("_us"), seen - delay_s * SECOND, size_s, slide_s, lateness_s)
+    top = F.greatest("_seen", "_carried", F.lit(seen).cast("bigint"))
+    late = is_late(F.col("_us"), top - delay_s * SECOND, size_s, slide_s, lateness_s)
     # Running maximum first: its shuffle and order also serve the join.
     return (
         rows.withColumn("_seen", F.max("_us").over(inside))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.event_time import SECOND, floor_to
+from .windows import pane_counts, runs_of, sliding_counts, written_out
+
 
 def top_per_window(counts: DataFrame, subject: str, k: int) -> DataFrame:
     """``window_end, rank, subject, cnt`` for the ``k`` largest counts; ties go to
@@ -16,3 +19,30 @@ def top_per_window(counts: DataFrame, subject: str, k: int) -> DataFrame:
         .where(F.col("rank") <= k)
         .select("window_end", "rank", subject, "cnt")
     )
+
+
+def top_sliding(df: DataFrame, subject: str, k: int, size_s: int, slide_s: int, ts: str = "ts") -> DataFrame:
+    """``top_per_window`` of the sliding counts of ``df``."""
+    if size_s == slide_s or size_s % slide_s:
+        return top_per_window(sliding_counts(df, [subject], size_s, slide_s, ts), subject, k)
+    return top_of_panes(pane_counts(df, [subject], slide_s * SECOND, ts), subject, k, size_s, slide_s)
+
+
+def top_of_panes(panes: DataFrame, subject: str, k: int, size_s: int, slide_s: int, cells: int = 6) -> DataFrame:
+    """The same from pane counts, writing out few windows that are not among the first ``k``.
+
+    Runs of equal counts are cut at the borders of cells, ``cells`` to a window size. The k-th best run among those that
+    last a whole cell bounds it: what ranks behind that run is behind k others in every window of the cell and is
+    dropped before it is written out. Cells with fewer whole runs drop nothing."""
+    cell = -(-size_s // (cells * slide_s)) * slide_s * SECOND
+    runs = runs_of(panes, [subject], size_s, slide_s)
+    over = F.sequence(floor_to(F.col("at"), cell), floor_to(F.col("until") - 1, cell), F.lit(cell))
+    parts = runs.select(subject, "cnt", "at", "until", F.explode(over).alias("cell")).select(
+        subject, "cnt", "cell", F.greatest("at", "cell").alias("at"), F.least("until", F.col("cell") + cell).alias("until"))
+    whole = parts.where((F.col("at") == F.col("cell")) & (F.col("until") == F.col("cell") + cell))
+    best = Window.partitionBy("cell").orderBy(F.desc("cnt"), F.asc(subject))
+    bounds = whole.select("cell", "cnt", subject).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    bounds = bounds.where(F.col("rank") == k).select(F.col("cell").alias("_cell"), F.col("cnt").alias("_cnt"), F.col(subject).alias("_last"))
+    behind = (F.col("cnt") < F.col("_cnt")) | ((F.col("cnt") == F.col("_cnt")) & (F.col(subject) > F.col("_last")))
+    kept = parts.join(bounds, parts["cell"] == bounds["_cell"], "left").where(~F.coalesce(behind, F.lit(False)))
+    return top_per_window(written_out(kept.select(subject, "at", "until", "cnt"), [subject], slide_s), subject, k)

@@ -47,10 +47,12 @@ def match_one_to_one(
     predecessor (same side, or too late). Counted from the latest start, rows
     0 and 1 match, rows 2 and 3, and so on.
 
-    Cut into slices, neighbours come from the margins; the position counts from
-    a start that may lie many slices back, for which one summary row per slice
-    is carried forward. No join of the inputs, hence no pairs to emit or drop.
-    ``slices`` is the width of a slice in waiting times.
+    Cut into slices, neighbours come from the margins, and nearly all rows find
+    their start in their own slice. Only where the first row of the next slice is
+    no start, a slice hands on how far its last row is from one: a slice with a
+    start says so by itself, one without adds its rows to what it was handed, so
+    these few rows add up over any number of slices. No join of the inputs, hence
+    no pairs to emit or drop. ``slices`` is the width of a slice in waiting times.
     """
     rows = one_line(pays, receipts, key, pay_id, receipt_id, ts)
     return match_line(rows, pay_waits_s, receipt_waits_s, key, slices).drop("last")
@@ -77,33 +79,35 @@ def match_line(
         .withColumn("start_nth", F.max(F.when(F.col("home") & F.col("start"), F.col("nth"))).over(so_far))
         .where("home")
     )
-    # Rows before a slice, and the number of the latest start before it.
-    summary = placed.groupBy(key, "slice").agg(
-        F.max("nth").alias("rows"), F.max("start_nth").alias("last_start")
-    )
-    by_slice = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    counted = summary.withColumn("base", F.coalesce(F.sum("rows").over(by_slice), F.lit(0)))
-    carried = counted.select(
-        key, "slice", "base",
-        F.max(F.col("base") + F.col("last_start")).over(by_slice).alias("carried_start"),
+    # How slices that go on into the next one end: their rows, and the number of the latest start among them.
+    ends = F.struct("us", "is_receipt", "next_us", "next_is_receipt")
+    ended = placed.groupBy(key, "slice").agg(
+        F.max("nth").alias("rows"), F.max("start_nth").alias("last_start"), F.max_by(ends, "nth").alias("end")
+    ).select(key, "slice", "rows", "last_start", "end.*").where(~_cannot_match("", "next_", waits))
+    by_slice = Window.partitionBy(key).orderBy("slice")
+    before = F.coalesce(F.sum("rows").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    so_many = by_slice.rowsBetween(Window.unboundedPreceding, 0)
+    counted = ended.select(key, "slice", "rows", "last_start", before.alias("before"))
+    handed = counted.select(
+        key, (F.col("slice") + 1).alias("slice"),
+        (F.col("before") + F.col("rows") - F.max(F.col("before") + F.col("last_start")).over(so_many)).alias("handed"),
     )
     # A key that is NULL is a key like any other.
-    same = placed[key].eqNullSafe(carried[key]) & (placed["slice"] == carried["slice"])
-    joined = placed.join(carried, same).select(placed["*"], "base", "carried_start")
-    start_at = F.coalesce(F.col("base") + F.col("start_nth"), F.col("carried_start"))
-    odd = (F.col("base") + F.col("nth") - start_at) % 2 == 1
+    same = placed[key].eqNullSafe(handed[key]) & (placed["slice"] == handed["slice"])
+    joined = placed.join(handed, same, "left").select(placed["*"], "handed")
+    odd = (F.col("nth") - F.coalesce("start_nth", -F.col("handed"))) % 2 == 1
     taken = ~odd & ~_cannot_match("", "next_", waits)
     # An odd row closes a pair with the row before it; the ids it lacks are there.
     is_pay = ~F.col("is_receipt")
-    before = {c: F.when(odd, F.col(f"prev_{c}")) for c in IN_ORDER}
+    other = {c: F.when(odd, F.col(f"prev_{c}")) for c in IN_ORDER}
     kind = F.when(odd, MATCHED).when(is_pay, UNMATCHED_PAY).otherwise(UNMATCHED_RECEIPT)
     return joined.where(~taken).select(
         key,
         kind.alias("kind"),
-        F.coalesce("pay_id", before["pay_id"]).alias("pay_id"),
-        F.when(is_pay, F.col("us")).otherwise(before["us"]).alias("pay_us"),
-        F.coalesce("receipt_id", before["receipt_id"]).alias("receipt_id"),
-        F.when(is_pay, before["us"]).otherwise(F.col("us")).alias("receipt_us"),
+        F.coalesce("pay_id", other["pay_id"]).alias("pay_id"),
+        F.when(is_pay, F.col("us")).otherwise(other["us"]).alias("pay_us"),
+        F.coalesce("receipt_id", other["receipt_id"]).alias("receipt_id"),
+        F.when(is_pay, other["us"]).otherwise(F.col("us")).alias("receipt_us"),
         F.col("next_us").isNull().alias("last"),
     )
 

@@ -44,11 +44,26 @@ def sliding_counts(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ts
 
 
 def windows_of(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, slices: int = 8) -> DataFrame:
-    """The windows of pane counts, one row per key and pane. The running sum is
-    cut into slices of ``slices`` window sizes, in which the panes of the last
+    """The windows of pane counts, one row per key and pane."""
+    return written_out(runs_of(panes, keys, size_s, slide_s, slices), keys, slide_s)
+
+
+def written_out(runs: DataFrame, keys: list[str], slide_s: int) -> DataFrame:
+    """``keys, window_end, cnt`` for every window end of the runs."""
+    slide = slide_s * SECOND
+    ends = F.sequence(F.col("at"), F.col("until") - slide, F.lit(slide))
+    return runs.select(*keys, F.explode(ends).alias("_end"), "cnt").select(
+        *keys, to_millis(F.col("_end")).alias("window_end"), "cnt"
+    )
+
+
+def runs_of(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, slices: int = 8) -> DataFrame:
+    """``keys, at, until, cnt``: stretches of window ends of equal count, from ``at`` on and before ``until``, none empty.
+
+    The running sum is cut into slices of ``slices`` window sizes, in which the panes of the last
     window before count as guests: so few keys, or none, still make as many
     tasks as there are slices, for a copy of 1 / ``slices`` of the panes."""
-    size, slide = size_s * SECOND, slide_s * SECOND
+    size = size_s * SECOND
     width = size * slices
     # Where the running sum needs them, while there is one row per pane and not two.
     sliced = with_margins(panes, width, before=size, us="_end").repartition(*keys, "slice")
@@ -70,11 +85,7 @@ def windows_of(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, sli
         F.lead("at").over(by_time).alias("until"),
     )
     # Of steps at the same time only the last one has the full sum and a later successor.
-    flat = runs.where((F.col("cnt") > 0) & (F.col("until") > F.col("at")))
-    ends = F.sequence(F.col("at"), F.col("until") - slide, F.lit(slide))
-    return flat.select(*keys, F.explode(ends).alias("_end"), "cnt").select(
-        *keys, to_millis(F.col("_end")).alias("window_end"), "cnt"
-    )
+    return runs.where((F.col("cnt") > 0) & (F.col("until") > F.col("at")))
 
 
 def _copied_counts(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ts: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ..functions.filters import has_transaction, is_behavior, is_not_behavior, is_page
 from ..operators import clicks as click_cap
 from ..operators.orders import order_results
-from ..operators.ranking import top_per_window
+from ..operators.ranking import top_per_window, top_sliding
 from ..operators.reconcile import interval_join, match_one_to_one
 from ..operators.sequences import followed_within, repeated_failures
 from ..operators.windows import distinct_per_window, sliding_counts, tumbling_counts, with_window_texts
@@ -44,7 +44,7 @@ def page_hits(log: DataFrame, size_s: int = 600, slide_s: int = 10) -> DataFrame
 
 
 def hot_pages(log: DataFrame, k: int = 5, size_s: int = 600, slide_s: int = 10) -> DataFrame:
-    return top_per_window(page_hits(log, size_s, slide_s), "url", k)
+    return top_sliding(log.where(is_page()), "url", k, size_s, slide_s)
 
 
 def channel_windows(

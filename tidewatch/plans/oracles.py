@@ -210,12 +210,6 @@ ORACLES |= {f"stream_{name}": ORACLES[name] for name in (
 )}
 ORACLES["stream_click_cap_timers"] = ORACLES["click_cap"]
 ORACLES["stream_order_states"] = ORACLES["order_states_with_grace"]
-# The stream comes in six parts of equal time (more above six million rows); time stands still within one.
-ORACLES["stream_late_rows"] = _with(EVENTS, f"""arr AS (SELECT *, us + k % 7 * {1800 * S} AS arrived FROM ev)""", """cuts AS (
-  SELECT min(arrived) AS low, (max(arrived) - min(arrived)) // n + 1 AS width
-  FROM arr, (SELECT greatest(6, (count(*) + 999999) // 1000000) AS n FROM arr) GROUP BY n)""", """batches AS (
-  SELECT arr.*, (arrived - low) // width AS batch FROM arr, cuts)""", f"""reached AS (
-  SELECT batch, max(max(us)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-    // 1000 * 1000 - {S} AS before FROM batches GROUP BY batch)""") + f"""SELECT arrival, user_id,
-  CASE WHEN coalesce((us // {10 * S} + 60) * {10 * S} - 1000 + {60 * S} <= before, FALSE) THEN 'late' ELSE 'on_time' END AS kind
-FROM batches JOIN reached USING (batch)"""
+ORACLES["stream_late_rows"] = ORACLES["late_rows"]
+ORACLES["stream_hot_pages_late"] = ORACLES["hot_pages"]
+ORACLES["stream_order_states_late"] = ORACLES["order_states_with_grace"]

@@ -22,6 +22,7 @@ from . import driver_tables as tables
 from . import jobs, stream_jobs
 
 HOUR_S, DAY_S = 3600, 86_400
+LATENESS_S = 3 * HOUR_S
 CLICK_LIMIT = 2
 WAITS = {"pay_waits_s": 5 * HOUR_S, "receipt_waits_s": 3 * HOUR_S}
 NEAR = {"receipt_before_s": 3 * HOUR_S, "receipt_after_s": 5 * HOUR_S}
@@ -333,9 +334,26 @@ def stream_click_cap_strict(events):
 
 @query(tables.delayed_event_stream)
 def stream_late_rows(events):
-    """Against the time reached before the micro-batch of each row."""
     spark = events.sparkSession
-    return finished(incremental.tag_late(events, sinks.shared_folder(spark)), spark).select("arrival", "user_id", "kind")
+    job = incremental.tag_late(
+        tables.delayed(events), sinks.shared_folder(spark), F.col("arrived_us"), ["arrived_us", "arrival"], MINUTE, DAY)
+    return finished(job, spark).select("arrival", "user_id", "kind")
+
+
+@query(tables.delayed_event_stream)
+def stream_hot_pages_late(events):
+    """Rows up to three hours late correct the rankings."""
+    spark = events.sparkSession
+    return finished(stream_jobs.hot_pages(
+        parse_web_log(tables.web_log_lines(events)), sinks.shared_folder(spark), lateness_s=LATENESS_S), spark)
+
+
+@query(tables.delayed_event_stream)
+def stream_order_states_late(events):
+    """Creates and pays up to three hours late still decide."""
+    spark = events.sparkSession
+    return finished(stream_jobs.order_states(
+        tables.order_logs(events), sinks.shared_folder(spark), DAY_S, DAY_S, lateness_s=LATENESS_S, **ORDER), spark)
 
 
 @query(tables.event_stream)

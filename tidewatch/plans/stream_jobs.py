@@ -62,7 +62,7 @@ def hot_items(
 def hot_pages(
     log: DataFrame, path: str, k: int = 5, size_s: int = 600, slide_s: int = 10, delay_s: int = 1, lateness_s: int = 60
 ) -> Incremental:
-    """The ranking of each window when it is over, and again when late rows correct it."""
+    """The ranking of each window when it is over, and what late rows change in it."""
     return incremental.window_counts(
         log, path, ["url"], size_s, slide_s, delay_s, lateness_s, counted=is_page(),
         change=lambda counts: top_per_window(counts, "url", k))
@@ -115,6 +115,7 @@ def order_sequences(orders: DataFrame, path: str, within_s: int = 900, delay_s:
 def order_states(
     orders: DataFrame, path: str, within_s: int = 900, grace_s: int = 0, delay_s: int = 0, **names
 ) -> Incremental:
+    """The state of each order as soon as it is decided; late creates and pays correct it."""
     return incremental.order_states(orders, path, within_s, grace_s, delay_s, **names)
 
 

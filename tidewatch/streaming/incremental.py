@@ -7,13 +7,17 @@ open rows are tables next to each other below one shared path; a repeated batch
 rewrites its own part of both, so a failure loses and doubles nothing.
 
 Time has come as far as the newest row, of the slowest input if there are
-several, less the allowed disorder. Rows behind it are late: they are written to
-a table of their own, which ``late`` reads. ``finish`` closes a bounded input.
+several, less the allowed disorder. Rows behind it are late. Operators with a
+``lateness`` take such rows in and correct what they have said: their table is a
+log of rows that begin (``sign`` 1) or cease to hold (``sign`` -1), which
+``read`` adds up. What is later than that is written to a table of its own, which
+``late`` reads. ``finish`` closes a bounded input.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from operator import and_
@@ -22,18 +26,17 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..functions.event_time import DAY, SECOND, floor_to, micros
 from ..operators.clicks import PASS, WARNING
-from ..operators.late import LATE, ON_TIME, is_late
+from ..operators import late as late_rows
 from ..operators.orders import decided_results
 from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, match_line, one_line
 from ..operators.sequences import followed_within, repeated_failures
 from ..operators.windows import pane_counts, windows_of
 
 NEVER, FOREVER = -(2**62), 2**62
-TOPS = "tops array<bigint>"
 
 
 @dataclass(frozen=True)
@@ -57,15 +60,26 @@ class Incremental:
         """The rows that came when their time was over, or that have no time."""
         return spark.read.schema(self.line).parquet(f"{self.path}/late").drop("batch", "us", "_day")
 
+    def changes(self, spark: SparkSession) -> DataFrame:
+        """What was said in each batch, with ``sign`` -1 for rows that were taken back."""
+        return spark.read.schema(StructType([*self.schema.fields, StructField("batch", LongType())])).parquet(f"{self.path}/rows")
+
     def read(self, spark: SparkSession) -> DataFrame:
         results = spark.read.schema(self.schema).parquet(f"{self.path}/rows")
         if self.corrected:
-            last = results.groupBy("window_end").agg(F.max("batch").alias("batch"))
-            results = results.join(last, ["window_end", "batch"], "left_semi")
+            told = [c for c in self.schema.names if c != "sign"]
+            held = results.groupBy(*told).agg(F.sum("sign").alias("sign")).where("sign > 0")
+            return held.withColumn("sign", F.explode(F.sequence(F.lit(1), "sign"))).drop("sign")
         results = results.drop("batch", "_day", "_seen")
         return results.where(~F.col("held")).drop("held") if "held" in results.columns else results
 
 
+def _differences(old: DataFrame, now: DataFrame) -> DataFrame:
+    """Rows that hold now and did not before with ``sign`` 1, the others the other way; repeated rows count."""
+    both = now.withColumn("sign", F.lit(1)).unionByName(old.withColumn("sign", F.lit(-1)))
+    return both.groupBy(*now.columns).agg(F.sum("sign").cast("int").alias("sign")).where("sign <> 0")
+
+
 def in_event_order(
     line: DataFrame,
     path: str,
@@ -73,19 +87,24 @@ def in_event_order(
     results: Callable[[DataFrame, int, int], DataFrame],
     carry: Callable[[DataFrame, DataFrame, int], DataFrame],
     side: str | None = None,
+    idle_s: int | None = None,
+    take_late: bool = False,
 ) -> Incremental:
     """``results(rows, before, reached)`` gets the rows up to the time ``reached``
     and returns what was decided after ``before``. ``carry(results, rows,
     reached)`` picks the rows the next batch needs again. ``side`` is a boolean
-    column telling two inputs apart."""
+    column telling two inputs apart; an input is waited for until the other one is
+    ``idle_s`` ahead, for ever if that is None. With ``take_late`` late rows meet
+    what is still open; else they are only kept aside."""
     spark = line.sparkSession
     schema = results(spark.createDataFrame([], line.schema), NEVER, NEVER).schema
 
     def work(batch: DataFrame, number: int) -> None:
         batch = batch.persist(StorageLevel.DISK_ONLY)
-        before, reached = _advance(batch, path, number, delay_s, side)
-        _write(batch.where(~(F.coalesce("us", F.lit(NEVER)) > before)), _part(path, "late", number))
-        rows = batch.where(F.col("us") > before)
+        before, reached = _advance(batch, path, number, delay_s, side, idle_s)
+        least = F.lit(NEVER if take_late else before)
+        _write(batch.where(~(F.coalesce("us", F.lit(NEVER)) > least)), _part(path, "late", number))
+        rows = batch.where(F.col("us") > least)
         if number > 0:
             rows = rows.unionByName(spark.read.schema(line.schema).parquet(_part(path, "open", number - 1)))
         _write(results(rows.where(F.col("us") <= reached), before, reached), _part(path, "rows", number))
@@ -95,7 +114,7 @@ def in_event_order(
         _forget(spark, path, number - 2)
 
     def close() -> None:
-        number, reached = _last(spark, path, delay_s)
+        number, reached = _last(spark, path, delay_s, idle_s)
         if number is not None:
             rows = spark.read.schema(line.schema).parquet(_part(path, "open", number))
             _write(results(rows, reached, FOREVER), _part(path, "rows", number + 1))
@@ -104,50 +123,117 @@ def in_event_order(
     return Incremental(writer, path, schema, line.schema, close)
 
 
-def _last(spark: SparkSession, path: str, delay_s: int) -> tuple[int | None, int]:
+def corrected_by_late_rows(
+    line: DataFrame, path: str, delay_s: int, lateness_s: int, horizon: int, operator: Callable[[DataFrame], DataFrame],
+    decided: Column, *drop: str,
+) -> Incremental:
+    """For operators whose result at a time ``us`` depends on rows less than ``horizon`` from it and stands from the time
+    it is ``decided``, less than ``horizon`` later. Rows up to ``lateness_s`` late are put where they belong, and what was
+    said there before is taken back where it no longer holds. Carries the rows and the results that a row as late as
+    that can still change."""
+    spark, lateness = line.sparkSession, lateness_s * SECOND
+    plain = operator(spark.createDataFrame([], line.schema)).drop(*drop).schema
+    schema = StructType([*plain.fields, StructField("sign", IntegerType())])
+
+    def told(rows: DataFrame, before: int, reached: int) -> DataFrame:
+        still = F.col("us") > before - lateness - horizon
+        return operator(rows.where(F.col("us") <= reached)).where(still & (decided <= reached)).drop(*drop)
+
+    def work(batch: DataFrame, number: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        before, reached = _advance(batch, path, number, delay_s)
+        in_time = F.coalesce("us", F.lit(NEVER)) > F.lit(before - lateness)
+        _write(batch.where(~in_time), _part(path, "late", number))
+        rows, old = batch.where(in_time), spark.createDataFrame([], plain)
+        if number > 0:
+            rows = rows.unionByName(spark.read.schema(line.schema).parquet(_part(path, "open", number - 1)))
+            old = spark.read.schema(plain).parquet(_part(path, "told", number - 1))
+        _write(told(rows, before, reached), _part(path, "told", number))
+        now = spark.read.schema(plain).parquet(_part(path, "told", number))
+        _write(_differences(old.where(F.col("us") > before - lateness - horizon), now), _part(path, "rows", number))
+        _write(rows.where(F.col("us") > reached - lateness - 2 * horizon), _part(path, "open", number))
+        batch.unpersist()
+        _forget(spark, path, number - 2)
+
+    def close() -> None:
+        number, reached = _last(spark, path, delay_s)
+        if number is not None:
+            rows = spark.read.schema(line.schema).parquet(_part(path, "open", number))
+            old = spark.read.schema(plain).parquet(_part(path, "told", number))
+            old = old.where(F.col("us") > reached - lateness - horizon)
+            _write(_differences(old, told(rows, reached, FOREVER)), _part(path, "rows", number + 1))
+
+    writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
+    return Incremental(writer, path, schema, line.schema, close, corrected=True)
+
+
+def _last(spark: SparkSession, path: str, delay_s: int, idle_s: int | None = None) -> tuple[int | None, int]:
     """The number of the last batch, None before the first, and the time it reached."""
-    top = spark.createDataFrame([], f"{TOPS}, batch bigint")
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/tops")
-    if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
-        top = spark.read.schema(f"{TOPS}, batch bigint").parquet(f"{path}/tops")
-    last = top.orderBy(F.desc("batch")).first()
-    return (last["batch"], _reached(last["tops"], delay_s)) if last else (None, NEVER)
+    files, root = _files(spark, f"{path}/tops")
+    if not files.exists(root):
+        return None, NEVER
+    names = [status.getPath().getName() for status in files.listStatus(root)]
+    numbers = [int(name.removeprefix("batch=")) for name in names if name.removeprefix("batch=").isdigit()]
+    return (max(numbers), _reached(_tops(spark, path, max(numbers)), delay_s, idle_s)) if numbers else (None, NEVER)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _tops(spark: SparkSession, path: str, number: int) -> list[int]:
+    files, at = _files(spark, _part(path, "tops", number))
+    stream = files.open(at)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def _forget(spark: SparkSession, path: str, number: int) -> None:
     """Drops what only batch ``number + 1``, long committed, has needed."""
-    for name in ("open", "tops"):
-        old = spark._jvm.org.apache.hadoop.fs.Path(_part(path, name, number))
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    for name in ("open", "tops", "told"):
+        files, old = _files(spark, _part(path, name, number))
+        files.delete(old, True)
 
 
 def _part(path: str, name: str, number: int) -> str:
     return f"{path}/{name}/batch={number}"
 
 
-def _advance(batch: DataFrame, path: str, number: int, delay_s: int, side: str | None = None) -> tuple[int, int]:
+def _advance(
+    batch: DataFrame, path: str, number: int, delay_s: int, side: str | None = None, idle_s: int | None = None
+) -> tuple[int, int]:
     """The times reached before and with this batch. Keeps the newest row of each
-    side, two numbers at most, for the next batch."""
+    side, two numbers at most, in a small file for the next batch."""
     spark = batch.sparkSession
     sides = (False, True) if side else (False,)
-    old = [NEVER] * len(sides)
-    if number > 0:
-        old = spark.read.schema(TOPS).parquet(_part(path, "tops", number - 1)).first()["tops"]
+    old = _tops(spark, path, number - 1) if number > 0 else [NEVER] * len(sides)
     which = F.col(side) if side else F.lit(False)
     newest = batch.groupBy(which.alias("side")).agg(F.max("us").alias("top")).collect()
     now = {r["side"]: r["top"] for r in newest if r["top"] is not None}
     tops = [max(top, now.get(s, NEVER)) for s, top in zip(sides, old)]
-    _write(spark.createDataFrame([(tops,)], TOPS), _part(path, "tops", number))
-    return _reached(old, delay_s), _reached(tops, delay_s)
+    # Written aside and moved, so that no half of it is ever read.
+    files, at = _files(spark, _part(path, "tops", number))
+    aside = at.suffix(".new")
+    stream = files.create(aside, True)
+    stream.write(json.dumps(tops).encode())
+    stream.close()
+    files.delete(at, False)
+    files.rename(aside, at)
+    return _reached(old, delay_s, idle_s), _reached(tops, delay_s, idle_s)
 
 
 def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def _reached(tops: list[int], delay_s: int) -> int:
+def _reached(tops: list[int], delay_s: int, idle_s: int | None = None) -> int:
+    slowest = min(tops) if idle_s is None else max(min(tops), max(tops) - idle_s * SECOND)
     # Whole milliseconds, as the watermarks of Spark.
-    return min(tops) // 1000 * 1000 - delay_s * SECOND
+    return slowest // 1000 * 1000 - delay_s * SECOND
 
 
 def _within_horizon(
@@ -191,11 +277,15 @@ def sequences(
 def order_states(
     logs: DataFrame, path: str, within_s: int = 900, grace_s: int = 0, delay_s: int = 0, create: str = "create",
     pay: str = "pay", key: str = "order_id", kind: str = "event_type", arrival: str = "arrival",
+    lateness_s: int | None = None,
 ) -> Incremental:
+    """Creates and pays up to ``lateness_s`` late, by default as long as an order can stay open, still decide: a state
+    that was told too early is taken back."""
     line = logs.select(key, kind, arrival, "ts", micros().alias("us"))
     names = {"create": create, "pay": pay, "key": key, "kind": kind, "arrival": arrival}
-    return _within_horizon(
-        line, path, delay_s, (within_s + grace_s) * SECOND,
+    lateness_s = within_s + grace_s if lateness_s is None else lateness_s
+    return corrected_by_late_rows(
+        line, path, delay_s, lateness_s, (within_s + grace_s) * SECOND,
         lambda rows: decided_results(rows, within_s, grace_s, **names), F.col("decided_us"), "decided_us",
     )
 
@@ -203,9 +293,12 @@ def order_states(
 def matches(
     pays: DataFrame, receipts: DataFrame, path: str, pay_waits_s: int = 5, receipt_waits_s: int = 3,
     delay_s: int = 0, key: str = "tx_id", pay_id: str = "pay_id", receipt_id: str = "receipt_id",
+    idle_s: int | None = None,
 ) -> Incremental:
     """Who matches whom can depend on a chain of rows of any length, so not a
-    stretch of time is carried along but the rows that still wait."""
+    stretch of time is carried along but the rows that still wait. A late row
+    meets those, in event order; if none is its partner, it is told as unmatched
+    once its own wait is over."""
     line = one_line(pays, receipts, key, pay_id, receipt_id)
 
     def results(rows: DataFrame, before: int, reached: int) -> DataFrame:
@@ -223,7 +316,7 @@ def matches(
         )
         return waiting.unionByName(rows.where(F.col("us") > reached))
 
-    return in_event_order(line, path, delay_s, results, carry, side="is_receipt")
+    return in_event_order(line, path, delay_s, results, carry, "is_receipt", idle_s, take_late=True)
 
 
 def click_cap(
@@ -244,6 +337,7 @@ def click_cap(
     by_arrival = Window.partitionBy(*keys, "_day").orderBy(arrival)
 
     def work(batch: DataFrame, number: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
         before, reached = _advance(batch, path, number, delay_s)
         _write(batch.where(~(F.coalesce("_day", F.lit(NEVER)) + DAY > before)), _part(path, "late", number))
         first = (
@@ -267,6 +361,7 @@ def click_cap(
         _write(open_days.groupBy(*keys, "_day").agg(F.max("_seen").alias("_seen")), _part(path, "open", number))
         if then:
             then(written, number, before, reached)
+        batch.unpersist()
         _forget(spark, path, number - 2)
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
@@ -277,12 +372,12 @@ def window_counts(
     events: DataFrame, path: str, keys: list[str], size_s: int, slide_s: int, delay_s: int = 0, lateness_s: int = 0,
     counted: Column | None = None, change: Callable[[DataFrame], DataFrame] = lambda counts: counts,
 ) -> Incremental:
-    """Sliding counts ``keys, window_end, cnt``, each window once it is over and once
-    more, as a whole, in each batch that brings it rows up to ``lateness_s`` late;
-    ``read`` gives the last word on it. ``change`` goes on with the counts of the
-    windows of a batch, all there, so it may rank them. Rows that are not
-    ``counted`` move the time only. Carries the pane counts of the windows that
-    can still change."""
+    """Sliding counts ``keys, window_end, cnt``, each window once it is over, corrected
+    by rows up to ``lateness_s`` late: only what they change is told again, the old
+    row with ``sign`` -1 and the new one with 1. ``change`` goes on with the counts
+    of the windows of a batch, all there, so it may rank them. Rows that are not
+    ``counted`` move the time only. Carries the pane counts of the windows that can
+    still change and what was told of them."""
     if size_s % slide_s:
         raise ValueError("the slide must divide the size")
     spark = events.sparkSession
@@ -294,7 +389,8 @@ def window_counts(
     def counts(panes: DataFrame) -> DataFrame:
         return windows_of(panes, keys, size_s, slide_s)
 
-    schema = change(counts(spark.createDataFrame([], panes_schema))).schema
+    plain = change(counts(spark.createDataFrame([], panes_schema))).schema
+    schema = StructType([*plain.fields, StructField("sign", IntegerType())]) if lateness else plain
 
     def work(batch: DataFrame, number: int) -> None:
         batch = batch.persist(StorageLevel.DISK_ONLY)
@@ -307,12 +403,15 @@ def window_counts(
         if number > 0:
             panes = panes.unionByName(spark.read.schema(panes_schema).parquet(_part(path, "open", number - 1)))
         panes = panes.groupBy(*keys, "_end").agg(F.sum("cnt").alias("cnt"))
-        due = counts(panes).where((end > before - lateness) & (end <= reached))
+        # Windows that are over, those that late rows can still change included.
+        due = change(counts(panes).where((end > before - lateness) & (end <= reached)))
         if lateness:
-            touched = windows_of(fresh.groupBy("_end").agg(F.sum("cnt").alias("cnt")), [], size_s, slide_s)
-            touched = touched.where((end > before - lateness) & (end <= before)).select("window_end", F.lit(True).alias("_new"))
-            due = due.join(touched, "window_end", "left").where((end > before) | F.col("_new")).select(*keys, "window_end", "cnt")
-        _write(change(due), _part(path, "rows", number))
+            _write(due, _part(path, "told", number))
+            old = spark.createDataFrame([], plain)
+            if number > 0:
+                old = spark.read.schema(plain).parquet(_part(path, "told", number - 1)).where(end > before - lateness)
+            due = _differences(old, spark.read.schema(plain).parquet(_part(path, "told", number)))
+        _write(due, _part(path, "rows", number))
         _write(panes.where(F.col("_end") + size - slide + lateness > reached), _part(path, "open", number))
         batch.unpersist()
         _forget(spark, path, number - 2)
@@ -321,27 +420,31 @@ def window_counts(
         number, reached = _last(spark, path, delay_s)
         if number is not None:
             panes = spark.read.schema(panes_schema).parquet(_part(path, "open", number))
-            _write(change(counts(panes).where(end > reached)), _part(path, "rows", number + 1))
+            left = change(counts(panes).where(end > reached))
+            _write(left.withColumn("sign", F.lit(1)) if lateness else left, _part(path, "rows", number + 1))
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
-    return Incremental(writer, path, schema, line.schema, close, corrected=True)
+    return Incremental(writer, path, schema, line.schema, close, corrected=bool(lateness))
 
 
 def tag_late(
-    events: DataFrame, path: str, size_s: int = 600, slide_s: int = 10, delay_s: int = 1, lateness_s: int = 60
+    events: DataFrame, path: str, place: Column, arrival: list[str], fine: int, coarse: int,
+    size_s: int = 600, slide_s: int = 10, delay_s: int = 1, lateness_s: int = 60,
 ) -> Incremental:
-    """Each row as it comes with its ``kind``: ``late`` if, by the time reached before its
-    micro-batch, no window takes it any more, else ``on_time``. Rows without a time
-    are ``on_time`` as in the batch form. No row is shuffled."""
+    """The batch form on each micro-batch, going on from the time that the ones before
+    have reached: each row against the rows that came before it, however they fall
+    into micro-batches."""
     kept = [field for field in events.schema if field.name != "kind"]
     schema = StructType(kept + StructType.fromDDL("kind string").fields)
     line = events.withColumn("us", micros())
 
     def work(batch: DataFrame, number: int) -> None:
-        before, _ = _advance(batch, path, number, delay_s)
-        late = F.coalesce(is_late(F.col("us"), F.lit(before), size_s, slide_s, lateness_s), F.lit(False))
-        told = batch.withColumn("kind", F.when(late, LATE).otherwise(ON_TIME))
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        _advance(batch, path, number, delay_s)
+        top = _tops(batch.sparkSession, path, number - 1)[0] if number > 0 else None
+        told = late_rows.tag_late(batch, place, arrival, fine, coarse, size_s, slide_s, delay_s, lateness_s, seen=top)
         _write(told.select(*schema.names), _part(path, "rows", number))
+        batch.unpersist()
         _forget(batch.sparkSession, path, number - 2)
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")

@@ -91,3 +91,19 @@ def test_every_round_sees_all_texts(spark):
     assert np.allclose(got.move, plain.move) and np.allclose(got.emit, plain.emit)
     assert len(marks) > 3 and marks[-1] > marks[0] and marks[-1] - marks[-2] <= lm.SETTLED * len(kinds)
     assert math.isclose(marks[0], lm._beginning(kinds, sizes, shares, 0).log10_likelihood(kinds, sizes).sum(), rel_tol=1e-9)
+
+
+def test_blocks_change_nothing(monkeypatch):
+    """Counts and likelihoods of texts cut into blocks are those of whole texts."""
+    rng = np.random.default_rng(1)
+    sizes = np.array([1, 5, 700, 3, 2000, 256, 257, 513, 1, 40])
+    kinds = rng.integers(0, lm.CLASSES, sizes.sum())
+    hmm = lm.Hmm.of(rng.random(lm.STATES) * 5, rng.random((lm.STATES, lm.STATES)) * 50, rng.random((lm.STATES, lm.CLASSES)) * 9, np.full(lm.CLASSES, 1 / lm.CLASSES))
+    found = []
+    for block, group in ((10_000, 4096), (256, 4096), (7, 13)):
+        monkeypatch.setattr(lm, "BLOCK", block)
+        monkeypatch.setattr(lm, "GROUP", group)
+        found.append((*hmm.sums(kinds, sizes), hmm.log10_likelihood(kinds, sizes)))
+    for other in found[1:]:
+        assert all(np.allclose(a, b, rtol=1e-10, atol=1e-10) for a, b in zip(found[0], other))
+    assert np.isclose(found[0][4].sum(), found[0][3][0])

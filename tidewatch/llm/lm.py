@@ -28,6 +28,8 @@ SMOOTHING = 50.0
 #: Words that are sent to every task with their counts: those with at least this part of all tokens, so no more.
 MOST_WORDS = 1 << 20
 SLICE = 4 << 20
+#: Tokens of a block, and blocks that are taken side by side.
+BLOCK, GROUP = 256, 4096
 END = ""  # no word is empty
 
 
@@ -50,31 +52,96 @@ def classes_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
+class Pieces:
+    """Texts cut into blocks of BLOCK tokens, the last one of a text shorter: where each begins, its length, its text."""
+
+    def __init__(self, sizes: np.ndarray):
+        number = -(-sizes // BLOCK)
+        self.text = np.repeat(np.arange(len(sizes)), number)
+        self.nth = np.arange(len(self.text)) - np.repeat(np.cumsum(number) - number, number)
+        self.begins = np.repeat(np.cumsum(sizes) - sizes, number) + self.nth * BLOCK
+        self.lengths = np.minimum(BLOCK, np.repeat(sizes, number) - self.nth * BLOCK)
+        self.several = np.repeat(number, number) > 1
+
+    def groups(self, chosen: np.ndarray) -> Iterator[np.ndarray]:
+        """The chosen blocks, at most GROUP together, long ones first."""
+        for at in range(0, len(chosen), GROUP):
+            some = chosen[at:at + GROUP]
+            yield some[np.argsort(-self.lengths[some], kind="stable")]
+
+
 class Hmm:
+    """Texts are taken in blocks side by side, so that arrays stay wide whatever the lengths of texts. A block's product of
+    moves and emissions takes the forward variables over it and the backward ones back, so each block starts from the
+    exact variables at its ends. Only the products are kept for a whole text."""
+
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
         self.likelihoods: list[float] = []
 
-    def _packed(self, kinds: np.ndarray, sizes: np.ndarray):
-        """Texts from long to short, so that those not yet at their end stand in front."""
-        order = np.argsort(-sizes, kind="stable")
-        begins = (np.cumsum(sizes) - sizes)[order]
-        alive = np.searchsorted(-sizes[order], -np.arange(int(sizes.max(initial=0))), "left")
-        return order, begins, alive
+    def _ends(self, kinds: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+        """Of each block the forward variables before it (zero before the first) and the backward ones behind it, scaled."""
+        k, emit = len(self.start), np.ascontiguousarray(self.emit.T)
+        before, behind = np.zeros((len(pieces.text), k)), np.ones((len(pieces.text), k))
+        long = np.flatnonzero(pieces.several)
+        if not len(long):
+            return before, behind
+        products = np.empty((len(pieces.text) if len(long) else 0, k, k))
+        for some in pieces.groups(long):
+            begins, lengths = pieces.begins[some], pieces.lengths[some]
+            product = np.empty((len(some), k, k))
+            for t in range(int(lengths[0])):
+                n = int(np.searchsorted(-lengths, -t, "left"))
+                seen = emit[kinds[begins[:n] + t]][:, None, :]
+                if t == 0:
+                    # The first block of a text begins with the start, any other with a move.
+                    product[:] = np.where((pieces.nth[some] == 0)[:, None, None], np.eye(k), self.move) * seen
+                    continue
+                product[:n] = (product[:n].reshape(-1, k) @ self.move).reshape(n, k, k) * seen
+                if t % 8 == 0:
+                    product[:n] /= product[:n].sum(axis=(1, 2), keepdims=True)
+            products[some] = product
+        last = np.append(pieces.nth[1:] == 0, True)
+        for nth in range(1, int(pieces.nth.max()) + 1):
+            here = long[pieces.nth[long] == nth]
+            state = np.where((nth == 1), self.start, before[here - 1])
+            state = np.einsum("bi,bij->bj", np.broadcast_to(state, (len(here), k)), products[here - 1])
+            before[here] = state / state.sum(axis=1, keepdims=True)
+        for nth in range(int(pieces.nth.max()) - 1, -1, -1):
+            here = long[(pieces.nth[long] == nth) & ~last[long]]
+            state = np.einsum("bij,bj->bi", products[here + 1], behind[here + 1])
+            behind[here] = state / state.sum(axis=1, keepdims=True)
+        return before, behind
+
+    def _forward(self, kinds: np.ndarray, begins: np.ndarray, lengths: np.ndarray, prior: np.ndarray):
+        """Step by step over blocks, long ones first: variables, scales, classes, and where each step's begin."""
+        emit = np.ascontiguousarray(self.emit.T)
+        alive = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")
+        at = np.concatenate(([0], np.cumsum(alive)))
+        states, scales, seen = np.empty((at[-1], len(self.start))), np.empty(at[-1]), np.empty(at[-1], np.int64)
+        state = prior
+        for t, n in enumerate(alive):
+            kind = kinds[begins[:n] + t]
+            state = (state if t == 0 else state[:n] @ self.move) * emit[kind]
+            scale = state.sum(axis=1)
+            state /= scale[:, None]
+            here = slice(at[t], at[t + 1])
+            states[here], scales[here], seen[here] = state, scale, kind
+        return states, scales, seen, at
+
+    def _priors(self, pieces: Pieces, some: np.ndarray, before: np.ndarray) -> np.ndarray:
+        return np.where((pieces.nth[some] == 0)[:, None], self.start, before[some] @ self.move)
 
     def log10_likelihood(self, kinds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Of each text's classes: the sum over the logarithms of the scales of the forward variables."""
-        order, begins, alive = self._packed(kinds, sizes)
-        total, emit = np.zeros(len(sizes)), np.ascontiguousarray(self.emit.T)
-        state = np.repeat(self.start[None, :], len(sizes), axis=0)
-        for t, n in enumerate(alive):
-            state = (state[:n] if t == 0 else state[:n] @ self.move) * emit[kinds[begins[:n] + t]]
-            scale = state.sum(axis=1)
-            total[:n] += np.log10(scale)
-            state = state / scale[:, None]
-        out = np.empty(len(sizes))
-        out[order] = total
-        return out
+        pieces = Pieces(sizes)
+        before, _ = self._ends(kinds, pieces)
+        total = np.zeros(len(sizes))
+        for some in pieces.groups(np.arange(len(pieces.text))):
+            _, scales, _, at = self._forward(kinds, pieces.begins[some], pieces.lengths[some], self._priors(pieces, some, before))
+            block = np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))
+            np.add.at(total, pieces.text[some], np.bincount(block, np.log10(scales), len(some)))
+        return total
 
     def counts(self, kinds: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected starts, moves and emissions."""
@@ -82,32 +149,35 @@ class Hmm:
 
     def sums(self, kinds: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The same and the log10 likelihood of all texts: the forward and the backward recursion with the same scales."""
-        k = len(self.start)
-        order, begins, alive = self._packed(kinds, sizes)
+        k, pieces = len(self.start), Pieces(sizes)
         emit = np.ascontiguousarray(self.emit.T)
-        forward, scales, state = np.empty((len(kinds), k)), np.empty(len(kinds)), np.repeat(self.start[None, :], len(sizes), axis=0)
-        for t, n in enumerate(alive):
-            at = begins[:n] + t
-            state = (state[:n] if t == 0 else state[:n] @ self.move) * emit[kinds[at]]
-            scale = state.sum(axis=1)
-            state = state / scale[:, None]
-            forward[at], scales[at] = state, scale
-        moves, seen = np.zeros((k, k)), np.empty((len(kinds), k))
-        back = np.ones((0, k))
-        for t in range(len(alive) - 1, -1, -1):
-            n = alive[t]
-            at = begins[:n] + t
-            here = np.ones((n, k))
-            m = len(back)
-            if m:
-                after = back * emit[kinds[at[:m] + 1]] / scales[at[:m] + 1][:, None]
-                moves += (forward[at[:m]].T @ after) * self.move
-                here[:m] = after @ self.move.T
-            seen[at] = forward[at] * here
-            back = here
-        flat = (kinds[:, None] + np.arange(k) * CLASSES).ravel()
-        emits = np.bincount(flat, weights=seen.ravel(), minlength=k * CLASSES).reshape(k, CLASSES)
-        return seen[begins].sum(axis=0), moves, emits, np.log10(scales).sum(keepdims=True)
+        before, behind = self._ends(kinds, pieces)
+        starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((k, CLASSES)), np.zeros(1)
+        for some in pieces.groups(np.arange(len(pieces.text))):
+            states, scales, seen, at = self._forward(kinds, pieces.begins[some], pieces.lengths[some], self._priors(pieces, some, before))
+            likelihood += np.log10(scales).sum()
+            back = np.empty((0, k))
+            for t in range(len(at) - 2, -1, -1):
+                state = states[at[t]:at[t + 1]]
+                n, m = len(state), len(back)
+                here = np.empty((n, k))
+                if m < n:  # blocks that end here
+                    ended = behind[some[m:n]]
+                    here[m:] = ended / np.einsum("bi,bi->b", ended, state[m:])[:, None]
+                if m:
+                    moves += state[:m].T @ back
+                    here[:m] = back @ self.move.T
+                state *= here
+                if t:
+                    back = here * (emit[seen[at[t]:at[t + 1]]] / scales[at[t]:at[t + 1]][:, None])
+            # Moves into blocks from the blocks before them; what begins a text is a start.
+            first = pieces.nth[some[:n]] == 0
+            back = here * (emit[seen[:n]] / scales[:n][:, None])
+            moves += before[some[:n]][~first].T @ back[~first]
+            starts += states[:n][first].sum(axis=0)
+            for i in range(k):
+                emits[i] += np.bincount(seen, states[:, i], CLASSES)
+        return starts, moves * self.move, emits, likelihood
 
     @staticmethod
     def of(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, shares: np.ndarray) -> Hmm:
@@ -125,6 +195,19 @@ def _beginning(kinds: np.ndarray, sizes: np.ndarray, shares: np.ndarray, rounds:
     return model
 
 
+def sequences(texts: DataFrame) -> DataFrame:
+    """kinds (classes, two bytes each) and sizes (tokens of each text, eight bytes each) of slices of texts, written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, part in text_batches(batches, "text", SLICE):
+            kinds, sizes = classes_of(part)
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (kinds.astype("<u2").tobytes(), sizes.astype("<i8").tobytes())], ["kinds", "sizes"])
+
+    spark, out = texts.sparkSession, scratch(texts.sparkSession, "classes")
+    texts.select("text").mapInArrow(run, "kinds binary, sizes binary").write.parquet(out)
+    return spark.read.parquet(out)
+
+
 def baum_welch(texts: DataFrame, shares: np.ndarray, rounds: int | None = None) -> Hmm:
     """Trained on all texts in every round, until their likelihood settles or for so many rounds.
 
@@ -133,19 +216,20 @@ def baum_welch(texts: DataFrame, shares: np.ndarray, rounds: int | None = None)
     """
     model = _beginning(np.empty(0, np.int64), np.empty(0, np.int64), shares, 0)
     likelihoods: list[float] = []
+    rows = sequences(texts)
     while rounds is None or len(likelihoods) < rounds:
         sent = texts.sparkSession.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             sums = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES)), np.zeros(1)]
             for batch in batches:
-                for _, part in text_batches([batch], "text", SLICE):
-                    for whole, more in zip(sums, sent.value.sums(*classes_of(part))):
+                for kinds, sizes in zip(*batch.columns):
+                    for whole, more in zip(sums, sent.value.sums(np.frombuffer(kinds.as_buffer(), "<u2"), np.frombuffer(sizes.as_buffer(), "<i8"))):
                         whole += more
             flat = np.concatenate([x.ravel() for x in sums])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int64)), pa.array(flat)], ["at", "x"])
 
-        found = texts.select("text").mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
+        found = rows.select("kinds", "sizes").mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
         flat = np.zeros(STATES * (1 + STATES + CLASSES) + 1)
         for r in found:
             flat[r["at"]] = r.x

@@ -1,9 +1,13 @@
 """Rows that jobs cannot place by key or time, and bounded streams to their end."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidewatch import schemas
+from tidewatch.operators.clicks import cap_clicks
 from tidewatch.operators.reconcile import match_one_to_one
-from tidewatch.sources.lines import parse_web_log, rejected_lines
+from tidewatch.operators.windows import distinct_per_sliding_window
+from tidewatch.sources.lines import parse_csv_lines, parse_web_log, rejected_csv_lines, rejected_lines
 from tidewatch.streaming import incremental, sinks
 
 
@@ -44,3 +48,39 @@ def test_late_rows_are_kept_and_the_end_is_decided(spark, tmp_path):
     job.finish()
     assert sorted((r.order_id, r.result_msg) for r in job.read(spark).collect()) == [(7, "payed successfully"), (8, "timeout")]
     assert sorted(r.arrival for r in job.late(spark).collect()) == [4]
+
+
+def test_broken_csv_lines(spark):
+    lines = ["1,2,3,pv,1000", "1,2,3,pv", "1,x,3,pv,1000", "1,2,3,pv,1000,more", "", ",,,,", None]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "n long, value string")
+    got = {r.n: r.value for r in rejected_csv_lines(frame, schemas.USER_BEHAVIOR, ("n",)).collect()}
+    assert got == {i: lines[i] for i in (1, 2, 3, 4, 6)}
+    assert parse_csv_lines(frame, schemas.USER_BEHAVIOR).count() == len(lines)
+
+
+def test_days_of_the_clock(spark, tmp_path):
+    """Event times say one day, the clock says two: the cap starts again."""
+    schema = "arrival long, user_id long, ad_id long, came long, s long"
+    day = 86_400_000_000
+    parts = [[(1, 7, 1, 10, 5), (2, 7, 1, 20, 5)], [(3, 7, 1, day + 1, 6), (4, 7, 1, day + 2, 6), (5, 7, 1, day + 3, 6)], [(6, 7, 1, 30, 5)]]
+    job = incremental.click_cap(stream_of(spark, tmp_path, parts, schema), str(tmp_path / "out"), limit=1, clock="came")
+    sinks.run_available(job.writer, 120)
+    want = {1: "pass", 2: "warning", 3: "pass", 4: "warning"}
+    assert {r.arrival: r.kind for r in job.read(spark).collect()} == want
+    assert [r.arrival for r in job.late(spark).collect()] == [6]
+    rows = spark.createDataFrame([r for p in parts[:2] for r in p], schema).withColumn("ts", F.timestamp_seconds("s"))
+    assert {r.arrival: r.kind for r in cap_clicks(rows, 1, clock="came").collect()} == want
+
+
+@pytest.mark.parametrize("size_s,slide_s", [(60, 20), (3600, 60)])
+def test_sliding_visitors(spark, size_s, slide_s):
+    rows = [(k * 37 % 11 if k % 13 else None, k * k % 900) for k in range(400)]
+    frame = spark.createDataFrame(rows, "user_id long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    want = {}
+    for user, s in rows:
+        for end in range(s // slide_s * slide_s + slide_s, s // slide_s * slide_s + slide_s + size_s, slide_s):
+            if user is not None:
+                want.setdefault(end * 1000, set()).add(user)
+    for approximate in (False, True):
+        got = distinct_per_sliding_window(frame, "user_id", size_s, slide_s, approximate=approximate)
+        assert {r.window_end: r.cnt for r in got.collect()} == {end: len(users) for end, users in want.items()}

@@ -17,17 +17,20 @@ def cap_clicks(
     keys: tuple[str, ...] = ("user_id", "ad_id"),
     arrival: tuple[str, ...] = ("arrival",),
     ts: str = "ts",
+    clock: str | None = None,
 ) -> DataFrame:
     """Adds ``kind``: the first ``limit`` clicks per key and UTC day ``pass``, the
     next one becomes the ``warning``, all later ones are dropped. ``strict``
     warns only once the count is above the limit, so one more click passes.
+    The day is that of the event time, or of the ``clock``, a column of
+    microseconds, where one is given.
 
     The rank filter becomes a group limit in front of the shuffle: a task sends
     at most ``limit + 2`` rows per key and day, however hot the key is (Spark
     does so for limits below spark.sql.optimizer.windowGroupLimitThreshold).
     """
     allowed = limit + 1 if strict else limit
-    day = floor_to(micros(ts), DAY)
+    day = floor_to(F.col(clock) if clock else micros(ts), DAY)
     by_arrival = Window.partitionBy(*keys, "_day").orderBy(*arrival)
     return (
         clicks.withColumn("_day", day)

@@ -86,9 +86,9 @@ def market_behaviors(events: DataFrame) -> DataFrame:
     )
 
 
-def ad_clicks(events: DataFrame) -> DataFrame:
+def ad_clicks(events: DataFrame, *keep: str) -> DataFrame:
     return events.select(
-        "arrival", "user_id", F.expr("k div 50").alias("ad_id"),
+        *keep, "arrival", "user_id", F.expr("k div 50").alias("ad_id"),
         F.concat(F.lit("province"), (F.col("k") % 5).cast("string")).alias("province"),
         F.concat(F.lit("city"), (F.col("k") % 10).cast("string")).alias("city"), "ts",
     )
@@ -122,6 +122,16 @@ def behavior_lines(events: DataFrame) -> DataFrame:
     )
 
 
+def broken_behavior_lines(events: DataFrame) -> DataFrame:
+    """CSV lines with their arrival; one in 50 lacks its last field, one in 50 has no number for its item."""
+    columns = ["user_id", "item_id", "category_id", "behavior", "epoch_s"]
+    records = behaviors(events).withColumn("epoch_s", F.unix_seconds("ts"))
+    lines = to_csv_lines(records, columns, ("arrival",))
+    short, odd = F.col("arrival") % 50 == 7, F.col("arrival") % 50 == 8
+    broken = F.when(short, F.substring_index("value", ",", 4)).when(odd, F.regexp_replace("value", r"^(\d+),\d+", "$1,item"))
+    return lines.select("arrival", F.coalesce(broken, "value").alias("value"))
+
+
 def web_log_lines(events: DataFrame, *keep: str) -> DataFrame:
     """Access-log lines; some of the urls are stylesheets and scripts."""
     tail = F.when(F.col("k") % 10 == 0, ".css").when(F.col("k") % 10 == 1, ".js").when(

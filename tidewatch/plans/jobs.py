@@ -10,7 +10,7 @@ from ..operators.orders import order_results
 from ..operators.ranking import top_per_window, top_sliding
 from ..operators.reconcile import interval_join, match_one_to_one
 from ..operators.sequences import followed_within, repeated_failures
-from ..operators.windows import distinct_per_window, sliding_counts, tumbling_counts, with_window_texts
+from ..operators.windows import distinct_per_sliding_window, distinct_per_window, sliding_counts, tumbling_counts, with_window_texts
 
 HOUR_S, FIVE_MINUTES_S = 3600, 300
 # What the inputs call a page view and a removed app.
@@ -39,6 +39,13 @@ def unique_visitors(
     return distinct_per_window(behaviors.where(is_behavior(view)), "user_id", size_s, approximate=approximate)
 
 
+def sliding_visitors(
+    behaviors: DataFrame, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S, view: str = VIEW, approximate: bool = False
+) -> DataFrame:
+    views = behaviors.where(is_behavior(view))
+    return distinct_per_sliding_window(views, "user_id", size_s, slide_s, approximate=approximate)
+
+
 def page_hits(log: DataFrame, size_s: int = 600, slide_s: int = 10) -> DataFrame:
     return sliding_counts(log.where(is_page()), ["url"], size_s, slide_s)
 

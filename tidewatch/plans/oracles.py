@@ -202,6 +202,18 @@ ORACLES["rejected_log_lines"] = _with(EVENTS) + """SELECT arrival, '10.0.0.' ||
     || CASE event_type WHEN 'purchase' THEN 'POST' ELSE 'GET' END || ' /' || event_type || '/' || k
     || CASE k % 10 WHEN 0 THEN '.css' WHEN 1 THEN '.js' WHEN 2 THEN '.js?v=1' ELSE '' END END AS value
 FROM ev WHERE arrival % 50 IN (7, 8)"""
+ORACLES["rejected_csv_records"] = _with(EVENTS, BEHAVIORS) + """SELECT arrival, CASE
+  WHEN arrival % 50 = 7 THEN user_id || ',' || item_id || ',' || category_id || ',' || behavior
+  ELSE user_id || ',item,' || category_id || ',' || behavior || ',' || (us // 1000000) END AS value
+FROM beh WHERE arrival % 50 IN (7, 8)"""
+ORACLES["sliding_visitors"] = _with(EVENTS, BEHAVIORS) + f"""SELECT w_end // 1000 AS window_end, count(DISTINCT user_id) AS cnt, TRUE AS near
+FROM (SELECT user_id, {_ends(DAY_S, HOUR_S)} AS w_end FROM beh WHERE {PV}) GROUP BY 1"""
+ORACLES["click_cap_by_clock"] = _with(EVENTS, CLICKS) + f"""SELECT arrival, user_id, ad_id,
+  CASE WHEN nth <= {CLICK_LIMIT} THEN 'pass' ELSE 'warning' END AS kind FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, arrived // {DAY} ORDER BY arrived, arrival) AS nth
+    FROM (SELECT *, us + k % 7 * {1800 * S} AS arrived FROM clk))
+  WHERE nth <= {CLICK_LIMIT} + 1"""
+ORACLES["stream_click_cap_by_clock"] = ORACLES["click_cap_by_clock"]
 # Streams come to the same results as tables.
 ORACLES |= {f"stream_{name}": ORACLES[name] for name in (
     "page_views", "unique_visitors", "hot_items", "province_clicks", "channel_counts", "click_cap",

@@ -15,7 +15,7 @@ from ..functions.reports import item_report, page_report
 from ..operators.clicks import cap_clicks
 from ..operators.late import tag_late
 from ..session import SETTINGS
-from ..sources.lines import parse_csv_lines, parse_web_log, rejected_lines
+from ..sources.lines import parse_csv_lines, parse_web_log, rejected_csv_lines, rejected_lines
 from ..streaming import incremental, sinks
 from ..streaming.incremental import Incremental
 from . import driver_tables as tables
@@ -137,6 +137,22 @@ def unique_visitors(events):
     return jobs.unique_visitors(tables.behaviors(events), view=tables.VIEW)
 
 
+@query()
+def rejected_csv_records(events):
+    """Some CSV lines are cut short or hold text in place of a number."""
+    return rejected_csv_lines(tables.broken_behavior_lines(events), schemas.USER_BEHAVIOR, ("arrival",))
+
+
+@query()
+def sliding_visitors(events):
+    """Windows of a day, one per hour, with whether the sketches come within 5 % of the exact count."""
+    views = tables.behaviors(events)
+    exact = jobs.sliding_visitors(views, DAY_S, HOUR_S, tables.VIEW)
+    sketched = jobs.sliding_visitors(views, DAY_S, HOUR_S, tables.VIEW, approximate=True).withColumnRenamed("cnt", "about")
+    near = F.abs(F.col("about") - F.col("cnt")) <= F.greatest(0.05 * F.col("cnt"), F.lit(1.0))
+    return exact.join(sketched, "window_end", "full").select("window_end", "cnt", F.coalesce(near, F.lit(False)).alias("near"))
+
+
 @query()
 def hot_pages(events):
     return jobs.hot_pages(parse_web_log(tables.web_log_lines(events)))
@@ -192,6 +208,14 @@ def click_cap_strict(events):
     return capped.select("arrival", "user_id", "ad_id", "kind")
 
 
+@query()
+def click_cap_by_clock(events):
+    """Days are those of the clock at which a click comes in, up to three hours after its event time."""
+    capped = cap_clicks(
+        tables.ad_clicks(tables.delayed(events), "arrived_us"), CLICK_LIMIT, arrival=("arrived_us", "arrival"), clock="arrived_us")
+    return capped.select("arrival", "user_id", "ad_id", "kind")
+
+
 @query()
 def click_blacklist(events):
     return jobs.click_blacklist(tables.ad_clicks(events), CLICK_LIMIT)
@@ -332,6 +356,14 @@ def stream_click_cap_strict(events):
     return finished(job, spark).select("arrival", "user_id", "ad_id", "kind")
 
 
+@query(tables.delayed_event_stream)
+def stream_click_cap_by_clock(events):
+    spark = events.sparkSession
+    clicks = tables.ad_clicks(tables.delayed(events), "arrived_us").withColumn("came", F.struct("arrived_us", "arrival"))
+    job = stream_jobs.click_cap_table(clicks, sinks.shared_folder(spark), CLICK_LIMIT, arrival="came", clock="arrived_us")
+    return finished(job, spark).select("arrival", "user_id", "ad_id", "kind")
+
+
 @query(tables.delayed_event_stream)
 def stream_late_rows(events):
     spark = events.sparkSession

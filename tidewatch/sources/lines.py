@@ -20,6 +20,17 @@ def parse_csv_lines(lines: DataFrame, layout: StructType, keep: tuple[str, ...]
     return with_event_time(lines.select(*keep, record.alias("r")).select(*keep, "r.*"))
 
 
+def rejected_csv_lines(lines: DataFrame, layout: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The CSV lines whose fields are too few or too many, or do not have the types of the layout, whole. What can be read
+    of such a line is in ``parse_csv_lines`` all the same; blank and absent lines are rejected too."""
+    broken = "_broken"
+    ddl = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in layout)
+    record = F.from_csv("value", f"{ddl}, {broken} string", {"columnNameOfCorruptRecord": broken})
+    blank = F.coalesce(F.trim("value") == "", F.lit(True))
+    rejected = lines.select(*keep, "value", record.alias("r")).where(blank | F.col(f"r.{broken}").isNotNull())
+    return rejected.select(*keep, "value")
+
+
 def parse_web_log(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Space separated access log; times are read in the session zone. What a
     broken line lacks is NULL; ``rejected_lines`` has such lines whole."""
@@ -40,6 +51,6 @@ def rejected_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return parse_web_log(lines, (*keep, "value")).where("ts is null or url is null").select(*keep, "value")
 
 
-def to_csv_lines(df: DataFrame, columns: list[str]) -> DataFrame:
+def to_csv_lines(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Records back to lines, e.g. to publish them to a topic."""
-    return df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in columns]).alias("value"))
+    return df.select(*keep, F.concat_ws(",", *[F.col(c).cast("string") for c in columns]).alias("value"))

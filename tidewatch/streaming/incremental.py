@@ -321,15 +321,18 @@ def matches(
 
 def click_cap(
     clicks: DataFrame, path: str, limit: int = 100, strict: bool = False, delay_s: int = 0,
-    keys: tuple[str, ...] = ("user_id", "ad_id"), arrival: str = "arrival",
+    keys: tuple[str, ...] = ("user_id", "ad_id"), arrival: str = "arrival", clock: str | None = None,
     then: Callable[[DataFrame, int, int, int], None] | None = None,
 ) -> Incremental:
     """The click cap by arrival, batch after batch. Carries one small row per key
     and open UTC day: how many of its clicks have been let through or warned
-    about, at most ``limit + 2``. Clicks of days that are over are late.
+    about, at most ``limit + 2``. Clicks of days that are over are late. Days are
+    those of the event time, or of ``clock``, a column of microseconds that tells
+    when a click came in: then its micro-batches close the days.
     ``then`` goes on with the clicks of a batch, its number and its times."""
     allowed = limit + 1 if strict else limit
-    line = clicks.withColumns({"us": micros(), "_day": floor_to(micros(), DAY)})
+    us = F.col(clock) if clock else micros()
+    line = clicks.withColumns({"us": us, "_day": floor_to(us, DAY)})
     kept = [field for field in clicks.schema if field.name != "kind"]
     counted = StructType([clicks.schema[k] for k in keys] + StructType.fromDDL("_day bigint, _seen bigint").fields)
     schema = StructType(kept + StructType.fromDDL("kind string, _day bigint, _seen bigint").fields)

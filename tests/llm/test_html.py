@@ -1,6 +1,7 @@
 import html as references
 import json
 import re
+import time
 
 from tidewatch.llm import html
 from tidewatch.llm.shared import table
@@ -36,15 +37,47 @@ def test_rules_and_blocks():
 
 def test_wrapper_generalises():
     shown = [page("<p>x</p>", menu=2), page("<p>x</p><p>y</p>", menu=5), page("<p>x</p><blockquote>q</blockquote>", menu=3)]
-    said = html.inferred(shown)
+    said = html.aligned_all(map(html.expression, shown))
     wrapper = html.Wrapper(said)
-    assert all(wrapper.fits(p) for p in shown)
-    assert wrapper.fits(page("<p>n</p>" * 7, "<blockquote>z</blockquote>", menu=9)) and not wrapper.fits("<p>other</p>")
-    kinds = {x[0] for x in json.loads(said)["expression"] if isinstance(x, list)}
+    fits = lambda p: wrapper.fits(html.Reading(p))
+    assert all(map(fits, shown))
+    assert fits(page("<p>n</p>" * 7, "<blockquote>z</blockquote>", menu=9)) and not fits("<p>other</p>")
+    kinds = {x[0] for x in json.loads(said) if isinstance(x, list)}
     assert kinds == {"+", "?"}
     assert html.main_text(shown[2], wrapper) == html.main_text(shown[2]) == "A & B\nx\nq"
 
 
+SCHEMA = "page_id long, url string, html string"
+
+
+def texts_of(spark, pages):
+    rows = [(k, "https://one.example/", p) for k, p in enumerate(pages)]
+    return {r.page_id: r.text for r in html.extracted(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_what_pages_share_is_no_main_text(spark):
+    """A notice that no name tells apart is known by its being the same on all pages; without the wrapper it stays."""
+    pages = [f"<html><body><article><h1>same title</h1><div>Read our terms.</div><p>story {k}</p><p>the same line</p></article></body></html>" for k in range(4)]
+    assert texts_of(spark, pages) == {k: f"same title\nstory {k}\nthe same line" for k in range(4)}
+    assert html.main_text(pages[0]) == "same title\nRead our terms.\nstory 0\nthe same line"
+    # Copies of one page, and hosts with too few pages, tell nothing.
+    assert set(texts_of(spark, pages[:1] * 9).values()) == {html.main_text(pages[0])}
+    assert texts_of(spark, pages[:2]) == {k: html.main_text(pages[k]) for k in (0, 1)}
+
+
+def test_names_that_only_look_aside():
+    text = '<article><h1>t</h1><div class="social impact">one</div><section class="share-price">two</section><div class="share bar">out</div><div class="ad top-story">out</div></article>'
+    assert html.main_text(text) == "t\none\ntwo"
+
+
+def test_long_broken_and_deep_pages():
+    started = time.process_time()
+    for broken in ("<a " * 350_000, "<div>x" * 170_000, "<!" * 500_000, "<p \"" * 250_000, "</b>" + "<i>y</b>" * 120_000):
+        html.expression(broken)
+        html.main_text(broken)
+    assert time.process_time() - started < 120
+
+
 def test_edge_cases(spark):
     schema = "page_id long, url string, html string, host string, text string"
     rows = [(1, None, None, "h", "t"), (1, "https://a.b/x", "", "h", "t"), (None, "nonsense", "<p>x", "h", "t"), (2, "https://a.b/y", page("<p>" + "w " * 100_000), "h", "t")]
@@ -59,8 +92,8 @@ def test_host_with_and_without_article(spark):
     """One host, two templates that both fit its wrapper: whether a page has an article is told by the page."""
     whole = [f"<html><body><article><p>story {k}</p></article></body></html>" for k in range(3)]
     plain = [f"<html><body><div><p>plain {k}</p></div></body></html>" for k in range(3)]
-    said = html.Wrapper(html.inferred(whole + plain))
-    assert said.fits(whole[0]) and said.fits(plain[0])
+    said = html.Wrapper(html.aligned_all(map(html.expression, whole + plain)))
+    assert said.fits(html.Reading(whole[0])) and said.fits(html.Reading(plain[0]))
     rows = [(k, "https://two.example/", p) for k, p in enumerate(whole + plain)]
     got = {r.page_id: r.text for r in html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {0: "story 0", 1: "story 1", 2: "story 2", 3: "plain 0", 4: "plain 1", 5: "plain 2"}

@@ -1,9 +1,10 @@
 """Main text of web pages by wrappers: union-free regular expressions inferred from pages of the same host.
 
-A page is a row of tags and text slots. What repeats side by side becomes a repeated group; two pages are
-aligned, and what only one of them has becomes an optional group. The wrapper of a host also holds, for every
-place of a text slot, whether it is main text on pages with and without a main element. A page that its host's wrapper does not fit, or a place that the
-wrapper has not seen, is judged by the rules that the wrapper was judged by.
+A page is a row of tags and text slots. What repeats side by side becomes a repeated group; the distinct rows of a host are
+aligned one after the other, and what only some of them have becomes an optional group. Where pages that differ hold the
+same text in a slot, the text is part of the wrapper and no main text. The other slots hold what varies; of those the tags
+and names around them tell what stands aside. On a host with too few pages, on a page that its wrapper does not fit, and for
+the h1 of an article, which near copies may share, tags and names decide alone.
 """
 
 from __future__ import annotations
@@ -11,38 +12,47 @@ from __future__ import annotations
 import html as references
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.shared import table, text_batches
+from tidewatch.llm.shared import scratch, table, text_batches
 
-#: Pages of each host that its wrapper is inferred from: those with the smallest hash of their html.
-SAMPLE = 4
+#: Distinct pages that must hold the same text in a slot, all that have the slot, to make it part of the wrapper.
+LEAST_PAGES = 3
+#: Wrappers of so many bytes together are sent to every task; more of them meet their pages in a join.
+MOST_SENT = 16 << 20
+#: Parts in which the rows of a host are aligned before the parts are.
+PARTS = 32
 #: Longest group that is looked for side by side, in tags and slots.
 LONGEST_GROUP = 24
 SLOT = "#"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg)\b.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S | re.I,
+    r"|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^\"'<>]++|\"[^\"]{0,65536}\"|'[^']{0,65536}')*+)>|[^<]++|<", re.S | re.I,
 )
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i img kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-#: Elements that are no main text, and words in classes and ids that tell the same.
+#: Elements that are no main text, and words in classes and ids that tell the same: some in any company, some only with
+#: their like and with words that say nothing.
 ASIDE = frozenset("nav footer aside form head title button select option dialog menu".split())
 ASIDE_WORDS = frozenset(
-    "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer header masthead menu modal "
-    "nav navbar navigation newsletter notice notices popup promo promoted related replies respond share sharing sidebar skip social sponsor sponsored "
-    "subscribe toolbar widget".split()
+    "ad ads advert advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies disqus footer masthead menu modal "
+    "nav navbar navigation newsletter popup promo promoted related replies respond sidebar sponsor sponsored subscribe".split()
 )
+ASIDE_ALONE = frozenset("banner header notice notices share sharing skip social toolbar widget".split())
+IDLE_WORDS = frozenset("area bar block body bottom box button buttons container content div inner item left link links list main outer page panel right section site top wrap wrapper".split())
 MAIN = frozenset(("article", "main"))
 #: An element of this name ends an open one of the same name.
 SELF_ENDING = frozenset("p li dt dd tr td th option".split())
+LISTS = ("ul", "ol", "table", "dl", "select")
 
 
 def parsed(page: str) -> Iterator[tuple[str, str, str]]:
@@ -60,43 +70,78 @@ def parsed(page: str) -> Iterator[tuple[str, str, str]]:
             yield "text", "", m[0]
 
 
-def _walk(page: str) -> Iterator[tuple[str, str, tuple[str, ...], str]]:
-    """(kind, name, place, value): place is the shapes of the open elements, without plain inline ones."""
-    names: list[str] = []
-    shapes: list[str] = []
-    for kind, name, value in parsed(page):
-        if kind == "open":
-            if name in SELF_ENDING and name in names:
-                at = len(names) - 1 - names[::-1].index(name)
-                if not {"ul", "ol", "table", "dl", "select"}.intersection(names[at:]):
-                    del names[at:], shapes[at:]
-            names.append(name)
-            shapes.append(value)
-        elif kind == "close" and name in names:
-            at = len(names) - 1 - names[::-1].index(name)
-            del names[at:], shapes[at:]
-        yield kind, name, tuple(s for s in shapes if s not in INLINE), value
-
-
-def is_main(place: tuple[str, ...], has_main: bool) -> bool:
-    """The rules: inside an article or main element if the page has one, and in nothing that stands aside."""
-    inside = False
-    for shape in place:
-        name, *marks = shape.split(" ")
-        if name in ASIDE or (name == "header" and not inside) or (name != "body" and not ASIDE_WORDS.isdisjoint(marks)):
-            return False
-        inside = inside or name in MAIN or "main" in marks and name == "div" and "article" in marks
-    return inside or not has_main
-
-
-def _has_main(places: set[tuple[str, ...]]) -> bool:
-    return any(s.split(" ")[0] in MAIN for p in places for s in p)
-
-
-def sequence(page: str) -> list:
+class Reading:
+    """A page read once, forward only. Places are numbered paths of open elements, without plain inline ones."""
+
+    def __init__(self, page: str):
+        #: (kind, name, place, value) in order; for each place its key, and whether it lies inside a main element or aside.
+        self.tokens: list[tuple[str, str, int, str]] = []
+        self.keys, self.inside, self.aside, self.names = [0], [False], [False], [""]
+        known: dict[tuple[int, str], int] = {}
+        open_names: list[str] = []
+        places: list[int] = []
+        at_of: dict[str, list[int]] = defaultdict(list)
+
+        def close(at: int) -> None:
+            while len(open_names) > at:
+                at_of[open_names.pop()].pop()
+                places.pop()
+
+        for kind, name, value in parsed(page):
+            if kind == "open":
+                if name in SELF_ENDING and at_of[name]:
+                    at = at_of[name][-1]
+                    if all(not at_of[x] or at_of[x][-1] < at for x in LISTS):
+                        close(at)
+                place = places[-1] if places else 0
+                if value not in INLINE:
+                    above, place = place, known.get((place, value), -1)
+                    if place < 0:
+                        place = known[above, value] = len(self.keys)
+                        self.keys.append(xxhash.xxh64_intdigest(value, self.keys[above]))
+                        self.names.append(name)
+                        inside = self.inside[above]
+                        self.aside.append(self.aside[above] or stands_aside(value, inside))
+                        self.inside.append(inside or is_main(value))
+                at_of[name].append(len(open_names))
+                open_names.append(name)
+                places.append(place)
+            elif kind == "close" and at_of[name]:
+                close(at_of[name][-1])
+            self.tokens.append((kind, name, places[-1] if places else 0, value))
+
+    def has_main(self) -> bool:
+        return any(self.inside[place] for kind, _, place, value in self.tokens if kind == "text" and value.strip())
+
+    def slots(self) -> dict[int, int]:
+        """For each place with text that could be main text its key and a digest of all its texts."""
+        texts = defaultdict(xxhash.xxh64)
+        for kind, _, place, value in self.tokens:
+            if kind == "text" and value.strip() and not self.aside[place] and self.names[place] != "h1":
+                texts[place].update(" ".join(value.split()) + "\n")
+        return {self.keys[place]: digest.intdigest() for place, digest in texts.items()}
+
+
+def stands_aside(shape: str, inside: bool) -> bool:
+    """By an element's own name, classes, id and role."""
+    name, *marks = shape.split(" ")
+    if name in ASIDE or (name == "header" and not inside):
+        return True
+    if name == "body" or not marks:
+        return False
+    alone = not ASIDE_ALONE.isdisjoint(marks) and all(m in ASIDE_ALONE or m in IDLE_WORDS for m in marks)
+    return alone or not ASIDE_WORDS.isdisjoint(marks)
+
+
+def is_main(shape: str) -> bool:
+    name, *marks = shape.split(" ")
+    return name in MAIN or (name == "div" and "main" in marks and "article" in marks)
+
+
+def sequence(reading: Reading) -> list:
     """Symbols of a page: tags, and SLOT for text that is not blank."""
     out: list = []
-    for kind, name, value in parsed(page):
+    for kind, name, _, value in reading.tokens:
         if kind == "text":
             if value.strip() and (not out or out[-1] != SLOT):
                 out.append(SLOT)
@@ -168,47 +213,53 @@ def aligned(wrapper: list, page: list) -> list:
     return out
 
 
-def _places(page: str) -> set[tuple[str, ...]]:
-    return {place for kind, _, place, value in _walk(page) if kind == "text" and value.strip()}
+def _thawed(x):
+    return tuple(x) if isinstance(x, list) else x
 
 
-def inferred(pages: list[str]) -> str:
-    """The wrapper of a host's pages, as JSON: the expression, and the places of slots with their part."""
-    sequences = [grouped(sequence(p)) for p in pages]
-    wrapper = sequences[0] if sequences else []
-    for following in sequences[1:]:
-        wrapper = aligned(wrapper, following)
-    places = {(_has_main(found), p) for found in map(_places, pages) for p in found}
-    return json.dumps({"expression": wrapper, "places": sorted([has_main, "\n".join(p), is_main(p, has_main)] for has_main, p in places)})
+def expression(page: str) -> str:
+    return json.dumps(grouped(sequence(Reading(page))), ensure_ascii=False)
+
+
+def aligned_all(expressions: Iterator[str]) -> str:
+    """One expression that fits all, as JSON; one after the other, so that only two are held at a time."""
+    out: list | None = None
+    for said in expressions:
+        page = [_thawed(x) for x in json.loads(said)]
+        out = page if out is None else aligned(out, page)
+    return json.dumps(out or [], ensure_ascii=False)
 
 
 class Wrapper:
-    def __init__(self, said: str):
-        found = json.loads(said)
+    """The expression of a host, and the keys of the places whose text is part of it."""
+
+    def __init__(self, said: str, fixed: frozenset[int] = frozenset()):
         self.symbols: dict[str, str] = {}
         # Groups keep what they have taken, so matching takes time in proportion to the page.
-        self.expression = re.compile("".join(map(self._pattern, found["expression"])))
-        self.places = {(has_main, tuple(p.split("\n")) if p else ()): main for has_main, p, main in found["places"]}
+        self.expression = re.compile("".join(map(self._pattern, json.loads(said))))
+        self.fixed = fixed
 
     def _pattern(self, x) -> str:
         if isinstance(x, list):
             return "(?:" + "".join(map(self._pattern, x[1:])) + ")" + x[0] + "+"
         return self.symbols.setdefault(x, chr(0xF0000 + len(self.symbols)))
 
-    def fits(self, page: str) -> bool:
-        return bool(self.expression.fullmatch("".join([self.symbols.get(x, "\0") for x in sequence(page)])))
+    def fits(self, reading: Reading) -> bool:
+        return bool(self.expression.fullmatch("".join([self.symbols.get(x, "\0") for x in sequence(reading)])))
 
 
 @lru_cache(maxsize=4096)
-def _wrapper(said: str) -> Wrapper:
-    return Wrapper(said)
+def _wrapper(said: str, fixed: tuple[int, ...]) -> Wrapper:
+    return Wrapper(said, frozenset(fixed))
 
 
 def main_text(page: str, wrapper: Wrapper | None = None) -> str:
     """Blocks of main text in page order, joined by line ends."""
-    known = wrapper.places if wrapper and wrapper.fits(page) else {}
+    reading = Reading(page)
+    fixed = wrapper.fixed if wrapper and wrapper.fixed and wrapper.fits(reading) else frozenset()
     # By page: a host may have templates with an article and others without.
-    has_main = _has_main(_places(page))
+    has_main = reading.has_main()
+    wanted = [not aside and (inside or not has_main) and key not in fixed for key, inside, aside in zip(reading.keys, reading.inside, reading.aside)]
     blocks: list[str] = []
     pieces: list[str] = []
 
@@ -218,12 +269,9 @@ def main_text(page: str, wrapper: Wrapper | None = None) -> str:
         if text:
             blocks.append(text)
 
-    for kind, name, place, value in _walk(page):
+    for kind, name, place, value in reading.tokens:
         if kind == "text":
-            part = known.get((has_main, place))
-            if part is None:
-                part = is_main(place, has_main)
-            if part:
+            if wanted[place]:
                 pieces.append(value)
         elif name in ("br", "hr"):
             pieces.append(" ")
@@ -237,19 +285,58 @@ def host_of(url_col: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """host, wrapper. Of a host of any size each task sends on a few pages only."""
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """host, wrapper, fixed (keys of places): of the hosts with a place whose text is the same on LEAST_PAGES distinct pages
+    or more and on all that have it.
+
+    Every page counts. A task sends on each page's expression, and the keys and digests of its slots, never its html;
+    equal expressions of a host are aligned once, in parts of the host first, each part one after the other.
+    """
     rows = pages.select(host_of(url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.xxhash64("html"))))
-    few = ranked.where(F.col("rank") <= sample).groupBy("host").agg(F.sort_array(F.collect_set("html")).alias("pages"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_batches(batches, "html"):
+            said, pages_, slots = [], [], []
+            for text in texts:
+                reading = Reading(text.decode())
+                said.append(json.dumps(grouped(sequence(reading)), ensure_ascii=False))
+                pages_.append(_signed(xxhash.xxh64_intdigest(text)))
+                slots.append([{"key": _signed(k), "digest": _signed(d)} for k, d in reading.slots().items()])
+            kinds = pa.list_(pa.struct([("key", pa.int64()), ("digest", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said), pa.array(pages_), pa.array(slots, kinds)], ["host", "said", "page", "slots"])
+
+    spark, out = pages.sparkSession, scratch(pages.sparkSession, "expressions")
+    rows.mapInArrow(read, "host string, said string, page long, slots array<struct<key: bigint, digest: bigint>>").write.parquet(out)
+    seen = spark.read.parquet(out)
+    slots = seen.select("host", "page", F.explode("slots").alias("slot")).select("host", "page", "slot.*")
+    fixed = slots.groupBy("host", "key").agg(
+        F.count_distinct("page").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high")
+    ).where((F.col("n") >= LEAST_PAGES) & (F.col("low") == F.col("high")))
+    fixed = fixed.groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("fixed"))
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in order of host and part."""
+        now, said = None, ""
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([inferred(p) for p in part.column(1).to_pylist()], pa.string())], ["host", "wrapper"])
-
-    return few.mapInArrow(run, "host string, wrapper string")
+            for host, part, following in zip(*[c.to_pylist() for c in batch.columns]):
+                if (host, part) == now:
+                    said = aligned_all(iter((said, following)))
+                    continue
+                if now is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.array([said])], ["host", "said"])
+                now, said = (host, part), following
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.array([said])], ["host", "said"])
+
+    rows = seen.select("host", "said").distinct().join(fixed.select("host"), "host", "left_semi")
+    for part in (F.pmod(F.xxhash64("said"), F.lit(PARTS)).cast("int"), F.lit(0)):
+        rows = rows.select("host", part.alias("part"), "said").repartition("host", "part").sortWithinPartitions("host", "part", "said")
+        rows = rows.mapInArrow(align, "host string, said string")
+    return rows.join(fixed, "host").select("host", F.col("said").alias("wrapper"), "fixed")
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -258,11 +345,16 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     ids keep one result each; whole pages of any length are read; other columns are ignored; an empty table gives
     an empty one."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), host_of(url_col).alias("host"), F.col(html_col).alias("html"))
-    met = rows.join(wrappers(pages, url_col, html_col), "host", "left").select("page_id", "url", "html", "wrapper")
+    spark, out = pages.sparkSession, scratch(pages.sparkSession, "wrappers")
+    wrappers(pages, url_col, html_col).write.parquet(out)
+    found = spark.read.parquet(out)
+    size = found.agg(F.sum(F.length("wrapper") + 8 * F.size("fixed")).alias("size")).first()["size"] or 0
+    met = rows.join(F.broadcast(found) if size <= MOST_SENT else found, "host", "left").select("page_id", "url", "html", "wrapper", "fixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "html"):
-            found = [main_text((t or b"").decode(), _wrapper(w) if w else None) for t, w in zip(texts, batch.column(3).to_pylist())]
+            said, keys = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            found = [main_text((t or b"").decode(), _wrapper(w, tuple(k % (1 << 64) for k in f)) if w else None) for t, w, f in zip(texts, said, keys)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 

@@ -20,6 +20,5 @@ QUERIES = {
     "op13_whitening": whitening.op13_whitening,
 }
 ORACLES: dict[str, str] = {
-    "op11_quality_classifier": subwords.op11_quality_classifier,
     "op12_conversations": oracles.CONVERSATIONS,
 }

@@ -101,9 +101,10 @@ def in_event_order(
 
     def work(batch: DataFrame, number: int) -> None:
         batch = batch.persist(StorageLevel.DISK_ONLY)
-        before, reached = _advance(batch, path, number, delay_s, side, idle_s)
+        before, reached, behind = _advance(batch, path, number, delay_s, side, idle_s)
         least = F.lit(NEVER if take_late else before)
-        _write(batch.where(~(F.coalesce("us", F.lit(NEVER)) > least)), _part(path, "late", number))
+        if behind:
+            _write(batch.where(~(F.coalesce("us", F.lit(NEVER)) > least)), _part(path, "late", number))
         rows = batch.where(F.col("us") > least)
         if number > 0:
             rows = rows.unionByName(spark.read.schema(line.schema).parquet(_part(path, "open", number - 1)))
@@ -141,9 +142,10 @@ def corrected_by_late_rows(
 
     def work(batch: DataFrame, number: int) -> None:
         batch = batch.persist(StorageLevel.DISK_ONLY)
-        before, reached = _advance(batch, path, number, delay_s)
+        before, reached, behind = _advance(batch, path, number, delay_s)
         in_time = F.coalesce("us", F.lit(NEVER)) > F.lit(before - lateness)
-        _write(batch.where(~in_time), _part(path, "late", number))
+        if behind:
+            _write(batch.where(~in_time), _part(path, "late", number))
         rows, old = batch.where(in_time), spark.createDataFrame([], plain)
         if number > 0:
             rows = rows.unionByName(spark.read.schema(line.schema).parquet(_part(path, "open", number - 1)))
@@ -205,14 +207,16 @@ def _part(path: str, name: str, number: int) -> str:
 
 def _advance(
     batch: DataFrame, path: str, number: int, delay_s: int, side: str | None = None, idle_s: int | None = None
-) -> tuple[int, int]:
-    """The times reached before and with this batch. Keeps the newest row of each
-    side, two numbers at most, in a small file for the next batch."""
+) -> tuple[int, int, bool]:
+    """The times reached before and with this batch, and whether it may hold rows to be
+    kept aside: rows behind the former or without a time. The first one counts as such,
+    so there is a table of them. Keeps the newest row of each side, two numbers at most,
+    in a small file for the next batch."""
     spark = batch.sparkSession
     sides = (False, True) if side else (False,)
     old = _tops(spark, path, number - 1) if number > 0 else [NEVER] * len(sides)
     which = F.col(side) if side else F.lit(False)
-    newest = batch.groupBy(which.alias("side")).agg(F.max("us").alias("top")).collect()
+    newest = batch.groupBy(which.alias("side")).agg(F.max("us").alias("top"), F.min(F.coalesce("us", F.lit(NEVER))).alias("low")).collect()
     now = {r["side"]: r["top"] for r in newest if r["top"] is not None}
     tops = [max(top, now.get(s, NEVER)) for s, top in zip(sides, old)]
     # Written aside and moved, so that no half of it is ever read.
@@ -223,7 +227,8 @@ def _advance(
     stream.close()
     files.delete(at, False)
     files.rename(aside, at)
-    return _reached(old, delay_s, idle_s), _reached(tops, delay_s, idle_s)
+    before = _reached(old, delay_s, idle_s)
+    return before, _reached(tops, delay_s, idle_s), number == 0 or any(r["low"] <= before for r in newest)
 
 
 def _write(df: DataFrame, path: str) -> None:
@@ -341,8 +346,9 @@ def click_cap(
 
     def work(batch: DataFrame, number: int) -> None:
         batch = batch.persist(StorageLevel.DISK_ONLY)
-        before, reached = _advance(batch, path, number, delay_s)
-        _write(batch.where(~(F.coalesce("_day", F.lit(NEVER)) + DAY > before)), _part(path, "late", number))
+        before, reached, behind = _advance(batch, path, number, delay_s)
+        if behind:
+            _write(batch.where(~(F.coalesce("_day", F.lit(NEVER)) + DAY > before)), _part(path, "late", number))
         first = (
             batch.where(F.col("_day") + DAY > before)
             .withColumn("nth", F.row_number().over(by_arrival)).where(F.col("nth") <= allowed + 1)
@@ -397,9 +403,10 @@ def window_counts(
 
     def work(batch: DataFrame, number: int) -> None:
         batch = batch.persist(StorageLevel.DISK_ONLY)
-        before, reached = _advance(batch, path, number, delay_s)
+        before, reached, behind = _advance(batch, path, number, delay_s)
         last_end = F.coalesce(floor_to(F.col("us"), slide) + size, F.lit(NEVER))
-        _write(batch.where(last_end + lateness <= before), _part(path, "late", number))
+        if behind:
+            _write(batch.where(last_end + lateness <= before), _part(path, "late", number))
         rows = batch.where(last_end + lateness > before)
         fresh = pane_counts(rows if counted is None else rows.where(counted), keys, slide, "ts")
         panes = fresh

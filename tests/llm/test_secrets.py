@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 from tidewatch.llm import secrets
@@ -37,6 +38,18 @@ def plain(text):
     return (*[sum(k == x for _, k, _ in base) for x in (0, 1, 2)], hashlib.sha256(join(base).encode()).hexdigest(), join(sorted(base + entropy_spans(text))))
 
 
+def plain_masked(text):
+    """Secrets that touch or overlap become one mask."""
+    spots = [(m.start(2), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    spots += [(s, e) for s, k, e in base_spans(text) if k] + [(s, e) for s, _, e in entropy_spans(text)]
+    out, at = [], 0
+    for start, end in sorted(spots):
+        if start >= at:
+            out += [text[at:start], secrets.MASK]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
 def check(docs):
     rows = docs.collect()
     got = secrets.found_secrets(docs).collect()
@@ -62,6 +75,37 @@ def test_edge_cases(frame):
     assert secrets.found_secrets(frame()).collect() == [] and secrets.redacted(frame()).collect() == []
 
 
+def runs(n):
+    """n hex runs and an assignment after every hundredth."""
+    return " é ".join(f"{i:016x}" + (f" token=Zq8Lm2Vt7Rw{i:04d}" if i % 100 == 0 else "") for i in range(n))
+
+
+def test_matches_beyond_a_block_of_blocks(frame):
+    """Places and masks are right where matches fill one block, some blocks and blocks of blocks."""
+    docs = frame(*[runs(n) for n in (63, 64, 65, 128, 4_097)])
+    check(docs)
+    out = [r.text for r in secrets.redacted(docs).orderBy("doc_id").collect()]
+    assert out == [plain_masked(runs(n)) for n in (63, 64, 65, 128, 4_097)]
+
+
+def test_redacted_against_brute_force(documents):
+    got = {r.doc_id: r.text for r in secrets.redacted(documents).collect()}
+    assert got == {r.doc_id: None if r.text is None else plain_masked(r.text) for r in documents.collect()}
+
+
+def test_time_grows_with_the_matches(frame):
+    def seconds(n):
+        docs = frame(runs(n)).cache()
+        docs.count()
+        start = time.perf_counter()
+        secrets.found_secrets(docs).collect()
+        secrets.redacted(docs).collect()
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    assert seconds(16_000) < 8 * max(seconds(4_000), 0.5)
+
+
 def test_redacted_texts_hold_no_secret(frame):
     docs = frame(*TEXTS)
     out = {r.doc_id: r for r in secrets.redacted(docs).collect()}

@@ -31,29 +31,54 @@ ALLOWED = (
     r"^/?([A-Za-z_-]+/)+[A-Za-z_-]*[0-9]{0,4}$", r"(?i:example|sample|placeholder|changeme|dummy)",
 )
 MASK = "[SECRET]"
+#: Matches that one fold goes over.
+BLOCK = 64
 _SPAN = "struct<s:int,k:int,e:int,r:int>"
 
 
+def _cut_in_blocks(values: Column) -> Column:
+    """The entries of an array in arrays of BLOCK each; one empty block for an empty array."""
+    last = F.floor(F.greatest(F.size(values) - 1, F.lit(0)) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * BLOCK + 1, BLOCK))
+
+
+def _before(values: Column, join, levels: int = 2) -> Column:
+    """For each of the whole numbers in `values` all before it, joined from 0 on.
+
+    A fold copies what it carries at every step, so one that appends to its result takes quadratic time. Here
+    folds run over BLOCK entries; what comes before a block follows in the same way from what blocks join to.
+    """
+    if not levels:
+        def step(state: Column, x: Column) -> Column:
+            return F.struct(join(state["at"], x).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(values, start, step, lambda state: state["out"])
+
+    def shifted(blocks: Column) -> Column:
+        wholes = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), join))
+        inner = F.transform(blocks, lambda block: _before(block, join, 0))
+        return F.flatten(F.zip_with(inner, let(wholes, lambda w: _before(w, join, levels - 1)), lambda block, at: F.transform(block, lambda x: join(at, x))))
+
+    return let(_cut_in_blocks(values), shifted)
+
+
 def _matches(text: Column, pattern: str, group: int | None = None) -> Column:
     """Leftmost matches that do not overlap: structs of start s and end e (code points), match m, group g.
 
     What lies between the matches and the matches themselves, put one after the other, give the places.
     """
     def places(both: Column) -> Column:
-        def step(state: Column, x: Column) -> Column:
-            start = state["at"] + F.length(x["between"])
-            end = start + F.length(x["m"])
-            one = F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m"), x["g"].alias("g"))
-            return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
-
-        empty = F.array().cast("array<struct<s:int,e:int,m:string,g:string>>")
-        return F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda state: state["out"])
+        lengths = F.transform(both, lambda x: F.length(x["between"]) + F.length(x["m"]))
+        ends = let(lengths, lambda n: F.zip_with(_before(n, lambda a, b: a + b), n, lambda at, one: at + one))
+        return F.zip_with(both, ends, lambda x, end: F.struct(
+            (end - F.length(x["m"])).alias("s"), end.alias("e"), x["m"].alias("m"), x["g"].alias("g")))
 
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     groups = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     both = F.arrays_zip(F.split(text, pattern, -1).alias("between"), found.alias("m"), groups.alias("g"))
     # There is one piece more than matches.
-    return F.when(text.rlike(pattern), places(F.filter(both, lambda x: x["m"].isNotNull()))).otherwise(
+    return F.when(text.rlike(pattern), let(F.filter(both, lambda x: x["m"].isNotNull()), places)).otherwise(
         F.array().cast("array<struct<s:int,e:int,m:string,g:string>>")
     )
 
@@ -140,16 +165,24 @@ def found_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _masked(text: Column, spans: Column) -> Column:
-    """The text with MASK in place of each secret; secrets that touch or overlap share one."""
-    def step(state: Column, x: Column) -> Column:
-        piece = F.concat(F.substring(text, state["at"] + 1, x["r"] - state["at"]), F.lit(MASK))
-        parts = F.when(x["r"] >= state["at"], F.concat(state["out"], F.array(piece))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], x["e"]).alias("at"), parts.alias("out"))
+    """The text with MASK in place of each secret; secrets that touch or overlap share one.
+
+    A place in a text is found by going there from its start, so pieces are taken from the part of their block.
+    """
+    def pieces(block: Column) -> Column:
+        first, last = F.get(block, F.lit(0))["at"], F.array_max(F.transform(block, lambda x: x["r"]))
+        part = F.substring(text, first + 1, F.greatest(last - first, F.lit(0)))
+        return let(F.struct(first.alias("first"), part.alias("part")), lambda own: F.array_join(F.transform(block, lambda x: F.when(
+            x["r"] >= x["at"], F.concat(F.substring(own["part"], x["at"] - own["first"] + 1, x["r"] - x["at"]), F.lit(MASK))).otherwise("")), ""))
+
+    def whole(secrets: Column) -> Column:
+        ends = F.transform(secrets, lambda x: x["e"])
+        placed = F.zip_with(secrets, let(ends, lambda e: _before(e, lambda a, b: F.greatest(a, b))), lambda x, at: F.struct(x["r"].alias("r"), at.alias("at")))
+        masked = F.transform(let(placed, _cut_in_blocks), pieces)
+        return F.concat(F.array_join(masked, ""), F.substring(text, F.array_max(ends) + 1, F.length(text)))
 
     by_secret = F.sort_array(F.transform(spans, lambda x: F.struct(x["r"].alias("r"), x["e"].alias("e"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    whole = lambda state: F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(by_secret, start, step, whole)).otherwise(text)
+    return F.when(F.size(spans) > 0, let(by_secret, whole)).otherwise(text)
 
 
 def redacted(docs: DataFrame) -> DataFrame:

@@ -11,17 +11,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.shared import remainder_of_id, table, text_batches
+from tidewatch.llm.shared import cut, remainder_of_id, table, text_batches
 
 #: Labelled rows that lexicon and weights are fitted on: those with the smallest hash of the id.
 SAMPLE = 20_000
-#: A term occurs in so many toxic documents of the sample, and so many times as often as in others.
-LEAST_DOCS, LEAST_RATIO, MOST_TERMS = 3, 20.0, 1000
+#: A term occurs in so many toxic documents of the sample, and so many times as often as in others. All such terms are kept.
+LEAST_DOCS, LEAST_RATIO = 3, 20.0
+#: A word near finds tells quotation or abuse if it stands there in so many documents of one label, and so many times as often as in those of the other.
+LEAST_CONTEXTS, CONTEXT_RATIO = 5, 4.0
 #: Words on either side of a find that tell quotation from abuse.
 CONTEXT = 5
 WORD = re.compile(r"\w+")
 QUOTES = re.compile(r"[\"“”„«»‘’]")
-#: Words of reporting and of address, by language.
+#: Words of reporting and of address in four languages. More are learned from the labelled rows.
 REPORTING = frozenset("said says wrote called quote quoted word term sagte schrieb nannte wort dit écrit appelé mot dijo escribió llamó palabra".split())
 ADDRESS = frozenset("you your youre u du dich dein ihr euch tu toi ton vous votre tú tu ti usted te".split())
 FEATURES = ("exact", "one", "two", "quoted", "addressed", "dense")
@@ -112,8 +114,8 @@ class LexiconAutomaton:
 
 
 class Finder:
-    def __init__(self, terms: list[str], innocent: frozenset[str]):
-        self.automaton, self.innocent = LexiconAutomaton(terms), innocent
+    def __init__(self, terms: list[str], innocent: frozenset[str], reporting: frozenset[str] = REPORTING, address: frozenset[str] = ADDRESS):
+        self.automaton, self.innocent, self.reporting, self.address = LexiconAutomaton(terms), innocent, reporting, address
         self.known: dict[str, tuple[int, int] | None] = {}
 
     def _find(self, word: str) -> tuple[int, int] | None:
@@ -123,12 +125,22 @@ class Finder:
         self.known[word] = found
         return found
 
+    def finds(self, words: list[str]) -> list[tuple[int, tuple[int, int]]]:
+        known, find = self.known, self._find
+        return [(i, f) for i, w in enumerate(words) if (f := known[w] if w in known else find(w))]
+
+    def contexts(self, text: str) -> set[str]:
+        """Words around the finds of a text that are no finds themselves."""
+        words = WORD.findall(text.lower())
+        finds = self.finds(words)
+        near = {j for i, _ in finds for j in range(max(0, i - CONTEXT), min(len(words), i + CONTEXT + 1))}
+        return {words[j] for j in near.difference(i for i, _ in finds)}
+
     def features(self, text: str) -> list[float]:
         """FEATURES of a text: finds by edits, finds in quotation, finds near an address, finds among its words."""
         low = text.lower()
         words = WORD.findall(low)
-        known, find = self.known, self._find
-        finds = [(i, f) for i, w in enumerate(words) if (f := known[w] if w in known else find(w))]
+        finds = self.finds(words)
         if not finds:
             return [0.0] * len(FEATURES)
         spans = [m.span() for m in WORD.finditer(low)]
@@ -138,59 +150,87 @@ class Finder:
             first, last = max(0, i - CONTEXT), min(len(words) - 1, i + CONTEXT)
             near = words[first:i] + words[i + 1:last + 1]
             marks = bool(QUOTES.search(low, spans[first][0], spans[i][0])) and bool(QUOTES.search(low, spans[i][1], spans[last][1] + 1))
-            quote = marks or not REPORTING.isdisjoint(words[first:i])
+            quote = marks or not self.reporting.isdisjoint(words[first:i])
             quoted += quote
-            addressed += not ADDRESS.isdisjoint(near)
+            addressed += not self.address.isdisjoint(near)
             by_edits[edits] += not quote
         return [*(float(np.log1p(n)) for n in (*by_edits, quoted, addressed)), float(np.log1p(1000 * len(finds) / len(words)))]
 
 
 def _labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """id, text and toxic of at most `most` labelled rows. The chosen ids are few enough to be sent to every task."""
+    """id, text and toxic of at most `most` labelled ids, one row each: of rows that share an id that with the least text.
+
+    The chosen ids are few enough to be sent to every task.
+    """
     chosen = labels.where("doc_id is not null and toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return cut(rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"))
 
 
 class Model:
-    def __init__(self, terms: list[str], innocent: frozenset[str], weights: np.ndarray):
-        self.terms, self.innocent, self.weights = terms, innocent, weights
+    def __init__(self, terms: list[str], innocent: frozenset[str], weights: np.ndarray, reporting: frozenset[str] = REPORTING, address: frozenset[str] = ADDRESS):
+        self.terms, self.innocent, self.weights, self.reporting, self.address = terms, innocent, weights, reporting, address
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         odds = features @ self.weights[1:] + self.weights[0]
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def _finders(terms, innocent):
+def _finders(model: Model):
     cached = []
+    parts = model.terms, model.innocent, model.reporting, model.address
 
     def get() -> Finder:
         if not cached:
-            cached.append(Finder(terms, innocent))
+            cached.append(Finder(*parts))
         return cached[0]
 
     return get
 
 
-def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Lexicon and weights from a bounded sample of labelled rows. Without any, scores are the same for all texts."""
-    rows = _labelled_sample(docs, labels, sample)
+def _word_counts(rows: DataFrame, words_of) -> DataFrame:
+    """word, clean, toxic: in how many rows of each label a word is among words_of(text). The empty word counts rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "text"):
             sums = {0: Counter(), 1: Counter()}
             for text, toxic in zip(texts, batch.column(1).to_pylist()):
-                sums[toxic].update({"", *WORD.findall((text or b"").decode().lower())})  # "" counts documents
+                sums[toxic].update(words_of((text or b"").decode()) | {""})
             every = list(dict.fromkeys([*sums[0], *sums[1]]))
             yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *[pa.array([sums[k][w] for w in every], pa.int64()) for k in (0, 1)]], ["word", "clean", "toxic"])
 
     words = rows.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")).mapInArrow(count, "word string, clean long, toxic long")
-    words = words.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).cache()
+    return words.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+
+def _context_words(rows: DataFrame, model: Model) -> tuple[frozenset[str], frozenset[str]]:
+    """Words near finds that go with clean documents (reporting) and with toxic ones (address)."""
+    get = _finders(model)
+    words = cut(_word_counts(rows, lambda text: get().contexts(text)))
+    # Documents without a find have no context, so shares are among the contexts of each label.
+    total = words.where("word <> ''").agg(F.sum("clean"), F.sum("toxic")).first()
+    n_clean, n_toxic = (x or 0 for x in total)
+    tilt = ((F.col("clean") + 0.5) / (n_clean + 1.0)) / ((F.col("toxic") + 0.5) / (n_toxic + 1.0))
+    listed = words.where("word <> ''").select(
+        "word", ((F.col("clean") >= LEAST_CONTEXTS) & (tilt >= CONTEXT_RATIO)).alias("reports"),
+        ((F.col("toxic") >= LEAST_CONTEXTS) & (tilt <= 1 / CONTEXT_RATIO)).alias("addresses"),
+    ).where("reports or addresses").collect()
+    more = {side: {r.word for r in listed if r[side]} for side in ("reports", "addresses")}
+    return REPORTING | more["reports"] - ADDRESS, ADDRESS | more["addresses"] - REPORTING
+
+
+def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Lexicon, context words and weights from a bounded sample of labelled rows. Without any, scores are the same for all texts.
+
+    What comes to the driver is bounded by the sample: terms, words near finds and a row of features for each id.
+    """
+    rows = _labelled_sample(docs, labels, sample)
+    words = cut(_word_counts(rows, lambda text: set(WORD.findall(text.lower()))))
     whole = words.where("word = ''").first()
     n_clean, n_toxic = (whole.clean, whole.toxic) if whole else (0, 0)
     ratio = ((F.col("toxic") + 0.5) / (n_toxic + 1.0)) / ((F.col("clean") + 0.5) / (n_clean + 1.0))
-    listed = words.where((F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO) & (F.length("word") >= 3)).orderBy(ratio.desc(), "word").limit(MOST_TERMS)
-    terms = [r.word for r in listed.collect()]
+    terms = [r.word for r in words.where((F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO) & (F.col("word") != "")).orderBy(ratio.desc(), "word").collect()]
     # Words of clean documents that only look like terms; there are as many at most as near forms occur there.
     automaton = LexiconAutomaton(terms)
 
@@ -200,8 +240,9 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(hits, pa.string())], ["word"])
 
     innocent = frozenset(r.word for r in words.where("clean >= 2 and toxic < clean").select("word").mapInArrow(alike, "word string").collect()) if terms else frozenset()
-    words.unpersist()
     model = Model(terms, innocent, np.zeros(1 + len(FEATURES)))
+    if terms:
+        model.reporting, model.address = _context_words(rows, model)
     facts = featured(rows, model, ["doc_id", "toxic"]).collect()
     x = np.array([r.features for r in facts], float).reshape(len(facts), len(FEATURES))
     model.weights = _logistic(x, np.array([float(r.toxic > 0) for r in facts]))
@@ -227,7 +268,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30
 
 def featured(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns `keep` (longs) and the features of each text."""
-    get = _finders(model.terms, model.innocent)
+    get = _finders(model)
     rows = docs.select("text", *[F.col(c).cast("long").alias(c) for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

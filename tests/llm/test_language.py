@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -44,3 +45,54 @@ def test_edge_cases(spark, frame):
     empty = language.learned(frame().where("false"))
     assert [r.lang_pred for r in language.predicted(frame("some text"), empty).collect()] == ["und"]
     assert language.predicted(frame(), model).collect() == []
+
+
+def plain_prediction(model_grams, text):
+    """The language that has most of a text's n-grams by plain sets; None where two have equally many."""
+    keys = language.grams_of([text.encode()])[0].tolist()
+    counts = sorted(((sum(k in grams for k in keys), lang) for lang, grams in model_grams.items()), reverse=True)
+    return counts[0][1] if len(counts) < 2 or counts[0][0] > counts[1][0] else None
+
+
+def plain_model(rows):
+    counts = {}
+    for lang, text in rows:
+        counts.setdefault(lang, Counter()).update(language.grams_of([text.encode()])[0].tolist())
+    share = {lang: {k: n / sum(c.values()) for k, n in c.items()} for lang, c in counts.items()}
+    best = Counter()
+    for one in share.values():
+        for k, x in one.items():
+            best[k] = max(best[k], x)
+    return {lang: {k for k, x in one.items() if x >= language.LEAST_PART * best[k]} for lang, one in share.items()}
+
+
+def test_predictions_against_plain_sets(documents):
+    """The filter put together by the tasks has the n-grams of plain counting, and predicts as plain sets do."""
+    docs = documents.where("length(text) < 4000")
+    rows = docs.collect()
+    plain = plain_model([(r.lang, r.text) for r in rows if r.lang is not None and r.text is not None])
+    model = language.learned(docs)
+    assert model.languages == sorted(plain)
+    built = language.GramFilter(sorted(plain), [np.array(sorted(plain[x]), np.int64).view(np.uint64) for x in sorted(plain)])
+    assert (built.masks == model.masks).all()
+    got = {r.doc_id: r.lang_pred for r in language.predicted(docs, model).collect()}
+    expected = {r.doc_id: plain_prediction(plain, r.text) for r in rows if r.text and any(map(str.isalpha, r.text))}
+    clear = [i for i, lang in expected.items() if lang]
+    assert len(clear) > 100 and sum(got[i] == expected[i] for i in clear) >= 0.99 * len(clear)
+
+
+def test_more_than_64_languages(spark, frame):
+    """150 languages, each with words of its own, and a filter that the bytes make full."""
+    words = {i: [f"{chr(0x4e00 + i)}{chr(0x5e00 + k)}{chr(0x4e00 + i)}" for k in range(20)] for i in range(150)}
+    docs = spark.createDataFrame([(i, " ".join(words[i]), f"l{i:03d}") for i in words], "doc_id long, text string, lang string")
+    texts = frame(*[" ".join(words[i][:10]) for i in words])
+    for most_bytes in (language.MOST_BYTES, 1 << 17):
+        model = language.learned(docs, most_bytes=most_bytes)
+        assert len(model.languages) == 150 and model.masks.nbytes <= most_bytes and model.masks.shape[0] == 3
+        assert [r.lang_pred for r in language.predicted(texts, model).orderBy("doc_id").collect()] == [f"l{i:03d}" for i in words]
+
+
+def test_rare_ngrams_count(spark, frame):
+    """An n-gram that one in two million has still tells the language."""
+    docs = spark.createDataFrame([(0, "ba" * 1_100_000 + " xyz", "one"), (1, "ba" * 500, "two")], "doc_id long, text string, lang string")
+    assert [r.lang_pred for r in language.predicted(frame("xyz"), language.learned(docs)).collect()] == ["one"]

@@ -9,17 +9,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.shared import remainder_of_id, table, text_batches
+from tidewatch.llm.shared import cut, remainder_of_id, table, text_batches
 
 N = 3
 #: Slots of the filter by n-gram kept, and probes of each n-gram.
 SLOTS_PER_GRAM, PROBES = 16, 2
-#: Most slots. The filter is sent to every task: 8 bytes a slot bound it to 32 MB. More n-grams fill it more,
-#: which the correction for false positives takes into account.
-MOST_SLOTS = 1 << 22
+#: Most bytes of the filter, which is sent to every task. A slot takes 8 bytes for each 64 languages. More n-grams
+#: or languages fill it more, which the correction for false positives takes into account.
+MOST_BYTES = 32 << 20
+#: Slots that one task puts together.
+BLOCK_SLOTS = 1 << 12
 #: A language contains an n-gram if its share there is this part of its share in the language that uses it most.
 LEAST_PART = 0.2
-MOST_LANGUAGES = 64
+LANGUAGES_A_MASK = 64
 UNKNOWN = "und"
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -50,43 +52,99 @@ def _slots(keys: np.ndarray, size: int) -> list[np.ndarray]:
     return [((one + np.uint64(i) * two) >> np.uint64(24)) % np.uint64(size) for i in range(PROBES)]
 
 
+def _slots_for(grams: int, languages: int, most_bytes: int = MOST_BYTES) -> int:
+    """Slots of a filter: a power of two, enough for the n-grams if the bytes allow it."""
+    columns = max(1, -(-languages // LANGUAGES_A_MASK))
+    return 1 << min((most_bytes // (8 * columns)).bit_length() - 1, (SLOTS_PER_GRAM * max(1, grams) - 1).bit_length())
+
+
 class GramFilter:
-    """Looks up the languages of n-grams; built from the n-grams of each language."""
+    """Looks up the languages of n-grams; made from the n-grams of each language, or by `of_masks` from ready masks.
+
+    masks[c] has a mask a slot for the languages from 64 c on.
+    """
 
     def __init__(self, languages: list[str], grams: list[np.ndarray]):
-        self.languages = languages
-        total = max(1, sum(map(len, grams)))
-        self.size = 1 << min(MOST_SLOTS.bit_length() - 1, (SLOTS_PER_GRAM * total - 1).bit_length())
-        self.masks = np.zeros(self.size, np.uint64)
+        size = _slots_for(sum(map(len, grams)), len(languages))
+        masks = np.zeros((max(1, -(-len(languages) // LANGUAGES_A_MASK)), size), np.uint64)
         for i, keys in enumerate(grams):
-            for slots in _slots(keys, self.size):
-                np.bitwise_or.at(self.masks, slots, np.uint64(1 << i))
+            for slots in _slots(keys, size):
+                masks[i // LANGUAGES_A_MASK, slots] |= np.uint64(1 << i % LANGUAGES_A_MASK)
+        self._set(languages, masks)
+
+    def _set(self, languages: list[str], masks: np.ndarray) -> None:
+        self.languages, self.masks, self.size = languages, masks, masks.shape[1]
         # How often an n-gram foreign to a language is found there all the same.
-        filled = np.array([np.mean(self.masks >> np.uint64(i) & np.uint64(1)) for i in range(len(languages))])
+        filled = np.array([np.mean(self._bit(masks[i // LANGUAGES_A_MASK], i)) for i in range(len(languages))])
         self.false = filled ** PROBES
 
-    def languages_of(self, keys: np.ndarray) -> np.ndarray:
+    @classmethod
+    def of_masks(cls, languages: list[str], masks: np.ndarray) -> GramFilter:
+        made = cls.__new__(cls)
+        made._set(languages, masks)
+        return made
+
+    @staticmethod
+    def _bit(masks: np.ndarray, i: int) -> np.ndarray:
+        return masks >> np.uint64(i % LANGUAGES_A_MASK) & np.uint64(1)
+
+    def languages_of(self, keys: np.ndarray, column: int = 0) -> np.ndarray:
+        """Masks of the languages from 64 * column on that contain each n-gram."""
         slots = _slots(keys, self.size)
-        out = self.masks[slots[0]]
+        out = self.masks[column, slots[0]]
         for more in slots[1:]:
-            out = out & self.masks[more]
+            out = out & self.masks[column, more]
         return out
 
     def counts(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """N-grams of each text, and how many of them each language contains, without false positives on average."""
         keys, owner = grams_of(texts)
         total = np.bincount(owner, minlength=len(texts))[:len(texts)].astype(float)
-        found = self.languages_of(keys)
-        hits = np.stack([
-            np.bincount(owner, weights=(found >> np.uint64(i) & np.uint64(1)).astype(float), minlength=len(texts))[:len(texts)]
-            for i in range(len(self.languages))
-        ], axis=1) if self.languages else np.zeros((len(texts), 0))
+        hits = np.zeros((len(texts), len(self.languages)))
+        for i in range(len(self.languages)):
+            if i % LANGUAGES_A_MASK == 0:
+                found = self.languages_of(keys, i // LANGUAGES_A_MASK)
+            hits[:, i] = np.bincount(owner, weights=self._bit(found, i).astype(float), minlength=len(texts))[:len(texts)]
         return total, np.clip((hits - self.false * total[:, None]) / (1 - np.minimum(self.false, 0.999)), 0, total[:, None])
 
 
-def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> GramFilter:
-    """The filter of all rows with a language. N-grams are counted in the tasks; what comes to the driver are
-    the n-grams that a language uses at least once in a million, so no more than a million each."""
+def _masks_of(kept: DataFrame, size: int, columns: int) -> np.ndarray:
+    """The masks of all slots from rows of an n-gram and the numbers of its languages, put together by the tasks.
+
+    The driver gets `columns` * `size` masks as bytes, however many n-grams there are.
+    """
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column(1)
+            at = pa.compute.list_parent_indices(langs).to_numpy(zero_copy_only=False)
+            lang = langs.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            keys = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)[at]
+            mask = np.left_shift(np.uint64(1), (lang % LANGUAGES_A_MASK).astype(np.uint64)).view(np.int64)
+            for slots in _slots(keys, size):
+                cell = slots.astype(np.int64) + size * (lang // LANGUAGES_A_MASK)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(mask)], ["cell", "mask"])
+
+    def joined(rows: pa.Table) -> pa.Table:
+        cells, block = rows.column("cell").to_numpy(), rows.column("block")[0].as_py()
+        part = np.zeros(BLOCK_SLOTS, np.int64)
+        part[cells - block * BLOCK_SLOTS] = rows.column("mask").to_numpy()
+        return pa.table({"block": pa.array([block], pa.int64()), "part": pa.array([part.tobytes()], pa.binary())})
+
+    cells = kept.mapInArrow(bits, "cell long, mask long").groupBy("cell").agg(F.bit_or("mask").alias("mask"))
+    blocks = cells.withColumn("block", F.floor(F.col("cell") / BLOCK_SLOTS)).groupBy("block").applyInArrow(joined, "block long, part binary")
+    masks = np.zeros(-(-columns * size // BLOCK_SLOTS) * BLOCK_SLOTS, np.uint64)
+    for r in blocks.collect():
+        masks[r.block * BLOCK_SLOTS:(r.block + 1) * BLOCK_SLOTS] = np.frombuffer(r.part, np.uint64)
+    return masks[:columns * size].reshape(columns, size)
+
+
+def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_bytes: int = MOST_BYTES) -> GramFilter:
+    """The filter of all rows with a language: every n-gram and every language counts.
+
+    N-grams are counted, and the filter is put together, in the tasks. What comes to the driver are the names of the
+    languages and the filter itself, whose bytes are bounded.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "text"):
@@ -96,20 +154,16 @@ def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    sums = rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = sums.groupBy("lang").agg(F.sum("n").alias("total"))
-    listed = totals.orderBy(F.desc("total"), "lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(listed) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages do not fit the filter's slots")
-    shares = sums.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total")).where("n * 1000000L >= total")
-    best = shares.groupBy("gram").agg(F.max("share").alias("best"), F.collect_list(F.struct("lang", "share")).alias("by"))
-    kept = best.select("gram", F.expr(f"transform(filter(by, x -> x.share >= {LEAST_PART} * best), x -> x.lang)").alias("langs")).collect()
-    languages = sorted(r.lang for r in listed)
-    grams: dict[str, list[int]] = {lang: [] for lang in languages}
-    for r in kept:
-        for lang in r.langs:
-            grams[lang].append(r.gram)
-    return GramFilter(languages, [np.array(sorted(grams[x]), np.int64).view(np.uint64) for x in languages])
+    sums = cut(rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    totals = sums.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()
+    languages = [r.lang for r in totals]
+    numbered = docs.sparkSession.createDataFrame([(i, r.lang, r.total) for i, r in enumerate(totals)], "number int, lang string, total long")
+    # One row a language: these are the names that the driver has anyway.
+    shares = sums.join(F.broadcast(numbered), "lang").select("gram", "number", (F.col("n") / F.col("total")).alias("share"))
+    best = shares.groupBy("gram").agg(F.max("share").alias("best"), F.collect_list(F.struct("number", "share")).alias("by"))
+    kept = cut(best.select("gram", F.expr(f"transform(filter(by, x -> x.share >= {LEAST_PART} * best), x -> x.number)").alias("langs")))
+    size = _slots_for(kept.agg(F.sum(F.size("langs"))).first()[0] or 0, len(languages), most_bytes)
+    return GramFilter.of_masks(languages, _masks_of(kept, size, max(1, -(-len(languages) // LANGUAGES_A_MASK))))
 
 
 def predicted(docs: DataFrame, model: GramFilter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,13 +11,13 @@ several, less the allowed disorder. Rows behind it are late. Operators with a
 ``lateness`` take such rows in and correct what they have said: their table is a
 log of rows that begin (``sign`` 1) or cease to hold (``sign`` -1), which
 ``read`` adds up. What is later than that is written to a table of its own, which
-``late`` reads. ``finish`` closes a bounded input.
+``late`` reads. ``finish`` closes a bounded input. ``parts`` keeps the tables to
+few files, however many batches there are.
 """
 
 from __future__ import annotations
 
 import functools
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from operator import and_
@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.event_time import DAY, SECOND, floor_to, micros
 from ..operators.clicks import PASS, WARNING
@@ -35,6 +35,7 @@ from ..operators.orders import decided_results
 from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, match_line, one_line
 from ..operators.sequences import followed_within, repeated_failures
 from ..operators.windows import pane_counts, windows_of
+from . import parts
 
 NEVER, FOREVER = -(2**62), 2**62
 
@@ -58,14 +59,14 @@ class Incremental:
 
     def late(self, spark: SparkSession) -> DataFrame:
         """The rows that came when their time was over, or that have no time."""
-        return spark.read.schema(self.line).parquet(f"{self.path}/late").drop("batch", "us", "_day")
+        return parts.read(spark, f"{self.path}/late", self.line).drop("batch", "us", "_day")
 
     def changes(self, spark: SparkSession) -> DataFrame:
         """What was said in each batch, with ``sign`` -1 for rows that were taken back."""
-        return spark.read.schema(StructType([*self.schema.fields, StructField("batch", LongType())])).parquet(f"{self.path}/rows")
+        return parts.read(spark, f"{self.path}/rows", self.schema)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        results = spark.read.schema(self.schema).parquet(f"{self.path}/rows")
+        results = parts.read(spark, f"{self.path}/rows", self.schema)
         if self.corrected:
             told = [c for c in self.schema.names if c != "sign"]
             held = results.groupBy(*told).agg(F.sum("sign").alias("sign")).where("sign > 0")
@@ -112,7 +113,7 @@ def in_event_order(
         written = spark.read.schema(schema).parquet(_part(path, "rows", number))
         _write(carry(written, rows, reached), _part(path, "open", number))
         batch.unpersist()
-        _forget(spark, path, number - 2)
+        _settle(spark, path, number, schema, line.schema)
 
     def close() -> None:
         number, reached = _last(spark, path, delay_s, idle_s)
@@ -155,7 +156,7 @@ def corrected_by_late_rows(
         _write(_differences(old.where(F.col("us") > before - lateness - horizon), now), _part(path, "rows", number))
         _write(rows.where(F.col("us") > reached - lateness - 2 * horizon), _part(path, "open", number))
         batch.unpersist()
-        _forget(spark, path, number - 2)
+        _settle(spark, path, number, schema, line.schema)
 
     def close() -> None:
         number, reached = _last(spark, path, delay_s)
@@ -171,7 +172,7 @@ def corrected_by_late_rows(
 
 def _last(spark: SparkSession, path: str, delay_s: int, idle_s: int | None = None) -> tuple[int | None, int]:
     """The number of the last batch, None before the first, and the time it reached."""
-    files, root = _files(spark, f"{path}/tops")
+    files, root = parts.file_system(spark, f"{path}/tops")
     if not files.exists(root):
         return None, NEVER
     names = [status.getPath().getName() for status in files.listStatus(root)]
@@ -179,28 +180,27 @@ def _last(spark: SparkSession, path: str, delay_s: int, idle_s: int | None = Non
     return (max(numbers), _reached(_tops(spark, path, max(numbers)), delay_s, idle_s)) if numbers else (None, NEVER)
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system of a path, and the path as it knows it."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
 def _tops(spark: SparkSession, path: str, number: int) -> list[int]:
-    files, at = _files(spark, _part(path, "tops", number))
-    stream = files.open(at)
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    return parts.read_json(spark, _part(path, "tops", number))
 
 
 def _forget(spark: SparkSession, path: str, number: int) -> None:
     """Drops what only batch ``number + 1``, long committed, has needed."""
     for name in ("open", "tops", "told"):
-        files, old = _files(spark, _part(path, name, number))
+        files, old = parts.file_system(spark, _part(path, name, number))
         files.delete(old, True)
 
 
+def _settle(spark: SparkSession, path: str, number: int, rows: StructType, late: StructType | None = None) -> None:
+    """Ends batch ``number``: drops what no batch needs again, and puts parts of the tables together. Batches before this
+    one are committed; this one may run again."""
+    _forget(spark, path, number - 2)
+    if number % parts.FAN == 0:
+        parts.compact(spark, f"{path}/rows", rows, number)
+        if late:
+            parts.compact(spark, f"{path}/late", late, number)
+
+
 def _part(path: str, name: str, number: int) -> str:
     return f"{path}/{name}/batch={number}"
 
@@ -219,14 +219,7 @@ def _advance(
     newest = batch.groupBy(which.alias("side")).agg(F.max("us").alias("top"), F.min(F.coalesce("us", F.lit(NEVER))).alias("low")).collect()
     now = {r["side"]: r["top"] for r in newest if r["top"] is not None}
     tops = [max(top, now.get(s, NEVER)) for s, top in zip(sides, old)]
-    # Written aside and moved, so that no half of it is ever read.
-    files, at = _files(spark, _part(path, "tops", number))
-    aside = at.suffix(".new")
-    stream = files.create(aside, True)
-    stream.write(json.dumps(tops).encode())
-    stream.close()
-    files.delete(at, False)
-    files.rename(aside, at)
+    parts.write_json(spark, _part(path, "tops", number), tops)
     before = _reached(old, delay_s, idle_s)
     return before, _reached(tops, delay_s, idle_s), number == 0 or any(r["low"] <= before for r in newest)
 
@@ -371,7 +364,7 @@ def click_cap(
         if then:
             then(written, number, before, reached)
         batch.unpersist()
-        _forget(spark, path, number - 2)
+        _settle(spark, path, number, schema, line.schema)
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
     return Incremental(writer, path, schema, line.schema)
@@ -424,7 +417,7 @@ def window_counts(
         _write(due, _part(path, "rows", number))
         _write(panes.where(F.col("_end") + size - slide + lateness > reached), _part(path, "open", number))
         batch.unpersist()
-        _forget(spark, path, number - 2)
+        _settle(spark, path, number, schema, line.schema)
 
     def close() -> None:
         number, reached = _last(spark, path, delay_s)
@@ -455,7 +448,7 @@ def tag_late(
         told = late_rows.tag_late(batch, place, arrival, fine, coarse, size_s, slide_s, delay_s, lateness_s, seen=top)
         _write(told.select(*schema.names), _part(path, "rows", number))
         batch.unpersist()
-        _forget(batch.sparkSession, path, number - 2)
+        _settle(batch.sparkSession, path, number, schema)
 
     writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
     return Incremental(writer, path, schema, line.schema)
@@ -484,7 +477,7 @@ def capped_windows(
         over = windows_of(panes, [group], size_s, slide_s).where((end > before) & (end <= reached))
         _write(over, _part(place, "rows", number))
         _write(panes.where(F.col("_end") + size - slide > reached), _part(place, "open", number))
-        _forget(spark, place, number - 2)
+        _settle(spark, place, number, schema)
 
     def close() -> None:
         number, reached = _last(spark, path, cap.get("delay_s", 0))

@@ -9,18 +9,22 @@ from tidewatch.llm.shared import table
 SMALL = "/root/testdata/sf0.001"
 
 
-def grams(text):
-    words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().lower())
-    return [tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))] if words else []
+def words_of(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def grams(text, size=5):
+    words = words_of(text)
+    return [tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
 
 
 def plain(docs, items, least=0.8):
     """Every window of every item's size, compared outright."""
     out = set()
     for doc_id, text in docs:
-        doc = grams(text)
         for item_id, item_text in items:
-            item = grams(item_text)
+            size = min(5, max(1, len(words_of(item_text))))
+            doc, item = grams(text, size), grams(item_text, size)
             if not item or not doc:
                 continue
             n, want, best = min(len(item), len(doc)), Counter(item), (0.0, None)
@@ -83,3 +87,36 @@ def test_blocks_and_empty_tables(spark, documents, frame):
     left = d.clean(documents, benchmark)
     assert left.columns == documents.columns
     assert {r.doc_id for r in left.collect()} == {r.doc_id for r in documents.collect()} - {a for a, _ in whole}
+
+
+def test_short_items_and_letter_case(spark, frame):
+    """Items of fewer than five words inside texts, upper case beyond ASCII, curly quotes and dashes."""
+    items = ["école nationale supérieure", "ja", "das große Übungsbuch der Straße “links” neben dem Ärztehaus – sagt man dort", "x y z w", ""]
+    texts = [
+        "Die ÉCOLE Nationale—SUPÉRIEURE hier", "Ja, ja", "janein", "vor DAS GROSSE Übungsbuch", "nichts x y z v", "x  y\nz, W!", None, "",
+        "Hier: DAS GROßE ÜBUNGSBUCH DER STRAßE links NEBEN dem ÄRZTEHAUS, sagt MAN dort … und Ende",
+    ]
+    benchmark = spark.createDataFrame([*enumerate(items), (7, None), (8, "JA")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.first_shingle) for r in check(frame(*texts), benchmark)}
+    assert got == {(0, 0, 1), (1, 1, 0), (1, 8, 0), (5, 3, 0), (8, 2, 1)}
+
+
+def test_recall_of_the_radius(capsys):
+    """Windows at a similarity of 0.8 to 0.85 against their items: those that the radius lets through."""
+    rng = np.random.default_rng(9)
+    near = total = 0
+    while total < 3000:
+        n = int(rng.integers(40, 120))
+        words = rng.integers(0, 10**9, n).tolist()
+        changed = list(words)
+        for k in rng.integers(0, n, max(1, n // 45)):
+            changed[k] = int(rng.integers(0, 10**9))
+        one, two = (d.hashed(" ".join(map(str, w)).encode()) for w in (words, changed))
+        shared = len(np.intersect1d(one, two))
+        if 0.8 <= shared / (2 * len(one) - shared) < 0.85:
+            prints = [d._packed(d._signs(x).sum(axis=0, keepdims=True))[0] for x in (one, two)]
+            total += 1
+            near += int(np.bitwise_count(prints[0] ^ prints[1])) <= d.RADIUS
+    with capsys.disabled():
+        print(f"within the radius: {near} of {total}")
+    assert near >= 0.995 * total

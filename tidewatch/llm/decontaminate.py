@@ -1,7 +1,8 @@
 """Documents that hold benchmark items: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
-Words are those of letters and digits in lower case; shingles are five words. Similarity is the weighted Jaccard
-of two multisets of shingles: the sum of the smaller counts over the sum of the larger ones.
+Words are those of letters and digits in lower case, of any script; shingles are five words. Similarity is the
+weighted Jaccard of two multisets of shingles: the sum of the smaller counts over the sum of the larger ones. An
+item of fewer words than a shingle is one shingle of its own length, sought among those of that length.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ BITS, BLOCKS = 64, 4
 RADIUS = 20
 #: Bytes of benchmark text that are sent to the tasks at once; larger benchmarks are taken block by block.
 BLOCK_BYTES = 16 << 20
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_WORD = re.compile(rb"[0-9a-z]+")
+_ANY_WORD = re.compile(r"[^\W_]+")
 _PRIME, _MIX1, _MIX2 = np.uint64(0x100000001B3), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -56,12 +58,21 @@ class Powers:
 _powers = Powers()
 
 
+def words_of(text: bytes | None) -> list[bytes]:
+    """Runs of letters and digits in lower case."""
+    text = text or b""
+    return _WORD.findall(text.lower()) if text.isascii() else [w.encode() for w in _ANY_WORD.findall(text.decode().lower())]
+
+
 def hashed(text: bytes | None, size: int = SIZE) -> np.ndarray:
     """64-bit hashes of all shingles of a text in order; fewer words than size: of the whole sequence; no word: none.
 
     One polynomial hash over the bytes gives those of all shingles by differences.
     """
-    words = _WORD.findall((text or b"").lower())
+    return _hashed(words_of(text), size)
+
+
+def _hashed(words: list[bytes], size: int) -> np.ndarray:
     if not words:
         return np.empty(0, np.uint64)
     joined = np.frombuffer(b" ".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
@@ -129,9 +140,15 @@ class Items:
 
     def __init__(self, ids: list[int | None], texts: list[bytes | None], size: int = SIZE, least: float = LEAST, radius: int = RADIUS):
         self.size, self.least = size, least
-        hashes = [hashed(t, size) for t in texts]
-        used = [i for i, h in enumerate(hashes) if len(h)]
-        self.ids = [ids[i] for i in used]
+        words = [words_of(t) for t in texts]
+        hashes = [_hashed(w, size) for w in words]
+        #: Items shorter than a shingle come behind the others, by their length and their one shingle.
+        short = [i for i, w in enumerate(words) if 0 < len(w) < size]
+        used = [i for i, w in enumerate(words) if len(w) >= size]
+        self.ids = [ids[i] for i in [*used, *short]]
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for place, i in enumerate(short, len(used)):
+            self.short.setdefault(len(words[i]), {}).setdefault(int(hashes[i][0]), []).append(place)
         self.hashes = [hashes[i] for i in used]
         self.counts = [Counter(h.tolist()) for h in self.hashes]
         prints = [_packed(_signs(h).sum(axis=0, keepdims=True))[0] for h in self.hashes]
@@ -150,7 +167,21 @@ class Items:
         Windows of every item's size at every place are meant. Those in which fewer shingles than `least` of the
         smallest possible union occur in any item cannot be similar to one, so they get no fingerprint.
         """
-        doc = hashed(text, self.size)
+        words = words_of(text)
+        return [*self._long_in(_hashed(words, self.size)), *self._short_in(words)]
+
+    def _short_in(self, words: list[bytes]) -> list[tuple[int, float, int]]:
+        """Items shorter than a shingle, at the first place where their words follow each other."""
+        found = []
+        for length, sought in sorted(self.short.items()):
+            if len(words) >= length:
+                own = _hashed(words, length)
+                spots = np.flatnonzero(np.isin(own, np.fromiter(sought, np.uint64, len(sought))))
+                values, first = np.unique(own[spots], return_index=True)
+                found += [(i, 1.0, int(spots[at])) for v, at in zip(values.tolist(), first) for i in sought[v]]
+        return found
+
+    def _long_in(self, doc: np.ndarray) -> list[tuple[int, float, int]]:
         hit = self.seen[(doc & np.uint64((1 << 20) - 1)).astype(np.int64)] if len(doc) else np.empty(0, bool)
         spots = np.flatnonzero(hit)
         if not spots.size:
@@ -204,8 +235,8 @@ def matches(
 ) -> DataFrame:
     """doc_id, item_id, similarity, first_shingle: the most similar window of each item in each document.
 
-    Texts and items that are null or have no word match nothing; items shorter than a shingle match such texts
-    only as a whole; repeated documents and items each give their rows; null ids are passed on; whole texts of
+    Texts and items that are null or have no word match nothing; items shorter than a shingle match where their
+    words follow each other in a text, first_shingle being their first word's place; repeated documents and items each give their rows; null ids are passed on; whole texts of
     any length are searched; other columns are ignored; empty tables give an empty result. Every document goes
     through one task without a shuffle, once for each block of the benchmark.
     """

@@ -20,5 +20,6 @@ QUERIES = {
     "op13_whitening": whitening.op13_whitening,
 }
 ORACLES: dict[str, str] = {
+    "op9_secrets": oracles.SECRETS,
     "op12_conversations": oracles.CONVERSATIONS,
 }

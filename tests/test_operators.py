@@ -14,7 +14,7 @@ from tidewatch.operators import windows
 from tidewatch.operators.clicks import cap_clicks
 from tidewatch.operators.late import tag_late
 from tidewatch.operators.orders import order_results
-from tidewatch.operators.ranking import top_per_window
+from tidewatch.operators.ranking import _most_missed, top_by_sketches, top_per_window, top_sliding
 from tidewatch.operators.reconcile import interval_join, match_one_to_one
 from tidewatch.operators.sequences import followed_within, repeated_failures
 
@@ -95,6 +95,64 @@ def test_top_and_report(spark):
         "No1:商品ID=9浏览量=8\nNo2:商品ID=3浏览量=5\nNo3:商品ID=7浏览量=5\n")
 
 
+def plain_top(records, k, size_s, slide_s):
+    """From rows ``subject, us``."""
+    counts = defaultdict(lambda: defaultdict(int))
+    for subject, us in records:
+        end = us // (slide_s * SECOND) * slide_s * SECOND + slide_s * SECOND
+        while subject is not None and end - size_s * SECOND <= us:
+            counts[end // 1000][subject] += 1
+            end += slide_s * SECOND
+    return sorted((end, rank, s, n) for end, of in counts.items()
+                  for rank, (s, n) in enumerate(sorted(of.items(), key=lambda x: (-x[1], x[0]))[:k], 1))
+
+
+@pytest.mark.parametrize("tracked,named", [(500, None), (40, 10), (12, 3)])
+@pytest.mark.parametrize("text", [False, True])
+def test_top_by_sketches(spark, tmp_path, tracked, named, text):
+    """Many rare subjects and few frequent ones, windows of ties alone, rows without subject, few counters and many."""
+    rng = random.Random(tracked)
+    records = []
+    for window in range(6):
+        # The first windows have clear winners, the others only subjects of about one row each.
+        for _ in range(1500):
+            subject = rng.choice([None, 1, 1, 1, 2, 2, 2, 3, 3]) if window < 3 and rng.random() < 0.6 else rng.randint(10, 5000)
+            records.append((subject, BASE + window * 1200 * SECOND + rng.randrange(600 * SECOND)))
+    records = [(f"/{s:04d}" if text and s is not None else s, us) for s, us in records]
+    df = spark.createDataFrame(records, f"subject {'string' if text else 'long'}, us long").withColumn("ts", F.timestamp_micros("us"))
+    got = top_by_sketches(df, "subject", 3, 600, 60, str(tmp_path), tracked=tracked, candidates=named)
+    want = plain_top(records, 3, 600, 60)
+    assert rows(got, "window_end", "rank", "subject", "cnt") == sorted(want, key=repr)
+    assert rows(got, "window_end", "rank", "subject", "cnt") == rows(
+        top_sliding(df.where("subject is not null"), "subject", 3, 600, 60), "window_end", "rank", "subject", "cnt")
+
+
+def test_top_by_sketches_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(None, 0)], "subject long, us long").withColumn("ts", F.timestamp_micros("us"))
+    assert top_by_sketches(df, "subject", 3, 600, 60, f"{tmp_path}/null").count() == 0
+    assert top_by_sketches(df.limit(0), "subject", 3, 600, 60, f"{tmp_path}/empty").columns == ["window_end", "rank", "subject", "cnt"]
+    for wrong in ({"size_s": 100, "slide_s": 30}, {"tracked": 5000}, {"candidates": 2}):
+        with pytest.raises(ValueError):
+            top_by_sketches(df, "subject", 3, folder=f"{tmp_path}/wrong", **{"size_s": 600, "slide_s": 60, **wrong})
+
+
+@pytest.mark.parametrize("tracked", [12, 100, 700])
+def test_no_frequent_subject_is_missed(spark, tracked):
+    """The bound that says which windows are sure, on 200 sketches of panes put together."""
+    rng = random.Random(tracked)
+    drawn = [(int(rng.paretovariate(0.7)) % 100_000, i % 200) for i in range(100_000)]
+    df = spark.createDataFrame(pd.DataFrame(drawn, columns=["subject", "pane"]))
+    panes = df.groupBy("pane").agg(F.expr(f"approx_top_k_accumulate(subject, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n"))
+    united = panes.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n"))
+    named = min(tracked, 20)
+    found = united.select("n", F.expr(f"approx_top_k_estimate(sketch, {named})").alias("found"))
+    row = found.select("found.item", _most_missed(tracked, named).alias("missed")).first()
+    counts = defaultdict(int)
+    for subject, _ in drawn:
+        counts[subject] += 1
+    assert max(n for s, n in counts.items() if s not in row["item"]) <= row["missed"] < len(drawn)
+
+
 def test_window_texts(spark):
     counts = spark.createDataFrame([(1_511_658_300_000, "a", 4)], "window_end long, channel string, cnt long")
     assert rows(windows.with_window_texts(counts, 3600), "*") == [

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ..functions.filters import has_transaction, is_behavior, is_not_behavior, is_page
 from ..operators import clicks as click_cap
 from ..operators.orders import order_results
-from ..operators.ranking import top_per_window, top_sliding
+from ..operators.ranking import top_by_sketches, top_per_window, top_sliding
 from ..operators.reconcile import interval_join, match_one_to_one
 from ..operators.sequences import followed_within, repeated_failures
 from ..operators.windows import distinct_per_sliding_window, distinct_per_window, sliding_counts, tumbling_counts, with_window_texts
@@ -29,6 +29,13 @@ def hot_items(
     return top_per_window(item_views(behaviors, size_s, slide_s, view), "item_id", k)
 
 
+def hot_items_of_many(
+    behaviors: DataFrame, folder: str, k: int = 3, size_s: int = HOUR_S, slide_s: int = FIVE_MINUTES_S, view: str = VIEW
+) -> DataFrame:
+    """``hot_items`` for catalogues without bound; ``folder`` takes the candidates."""
+    return top_by_sketches(behaviors.where(is_behavior(view)), "item_id", k, size_s, slide_s, folder)
+
+
 def page_views(behaviors: DataFrame, size_s: int = HOUR_S, view: str = VIEW) -> DataFrame:
     return tumbling_counts(behaviors.where(is_behavior(view)), [], size_s)
 

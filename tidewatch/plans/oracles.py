@@ -165,6 +165,7 @@ ORACLES: dict[str, str] = {
     "paid_order_rows": _with(EVENTS, ORDERS) + "SELECT arrival, order_id, tx_id FROM ord WHERE tx_id <> ''",
     "item_views": _with(EVENTS, BEHAVIORS, ITEM_COUNTS) + "SELECT item_id, w_end // 1000 AS window_end, cnt FROM cnts",
     "hot_items": _with(EVENTS, BEHAVIORS, ITEM_COUNTS, _ranked("item_id", 3)) + "SELECT * FROM ranked",
+    "hot_items_of_many": _with(EVENTS, BEHAVIORS, _counts("beh", "item_id", DAY_S, HOUR_S, PV), _ranked("item_id", 3)) + "SELECT * FROM ranked",
     "hot_items_report": _with(EVENTS, BEHAVIORS, ITEM_COUNTS, _ranked("item_id", 3)) + _report(
         "item_id", "=" * 34, "商品ID=", "浏览量="),
     "page_views": _with(EVENTS, BEHAVIORS) + f"""SELECT (us // {HOUR} + 1) * {HOUR} // 1000 AS window_end,

@@ -116,6 +116,13 @@ def hot_items(events):
     return jobs.hot_items(tables.behaviors(events), view=tables.VIEW)
 
 
+@query()
+def hot_items_of_many(events):
+    """Windows of a day, one per hour: candidates by sketches, counted exactly."""
+    folder = sinks.shared_folder(events.sparkSession)
+    return jobs.hot_items_of_many(tables.behaviors(events), folder, 3, DAY_S, HOUR_S, tables.VIEW)
+
+
 @query()
 def hot_items_report(events):
     return item_report(jobs.hot_items(tables.behaviors(events), view=tables.VIEW))

@@ -41,13 +41,14 @@ def _replayed(
     table: DataFrame, parts: int = 6, most_rows: int = 1_000_000, closing: bool = False, wait: Column | None = None
 ) -> DataFrame:
     """Files in order of time, one for each micro-batch: cut by ranges in one job, so that none
-    gets more rows than others however uneven the times are."""
+    gets more rows than others however uneven the times are. A range is one file: cut by its rows it would
+    come in two batches of the same times, and the second one would be late."""
     spark = table.sparkSession
     place = shared_folder(spark)
     us = F.unix_micros(F.col("ts").cast("timestamp")) + (F.lit(0) if wait is None else wait)
     rows, high = table.agg(F.count("*"), F.max(us)).first()
     n = max(parts, -(-rows // most_rows))
-    table.repartitionByRange(n, us).write.option("maxRecordsPerFile", most_rows).parquet(place)
+    table.repartitionByRange(n, us).write.option("maxRecordsPerFile", 0).parquet(place)
     if closing and rows:
         ahead = F.timestamp_micros(F.lit(high + 1000 * DAY)).cast(table.schema["ts"].dataType)
         columns = [ahead.alias(f.name) if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]

@@ -441,5 +441,6 @@ def stream_payment_receipts(events):
 
 @query(tables.event_stream)
 def stream_payment_receipt_pairs(events):
-    orders, receipts = tables.order_logs(events), tables.receipts(events)
-    return sinks.table_of(stream_jobs.payment_receipt_pairs(orders, receipts, **NEAR, **IDS))
+    spark = events.sparkSession
+    return finished(stream_jobs.payment_receipt_pair_table(
+        tables.order_logs(events), tables.receipts(events), sinks.shared_folder(spark), **NEAR, **IDS), spark)

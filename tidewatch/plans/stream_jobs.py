@@ -126,3 +126,8 @@ def payment_receipts(orders: DataFrame, receipts: DataFrame, path: str, **option
 def payment_receipt_pairs(orders: DataFrame, receipts: DataFrame, delay_s: int = 0, **options) -> DataFrame:
     paid = where_watermarked(watermarked(orders, delay_s), has_transaction())
     return detect.interval_join(paid, watermarked(receipts, delay_s), **options)
+
+
+def payment_receipt_pair_table(orders: DataFrame, receipts: DataFrame, path: str, **options) -> Incremental:
+    """The pairs as a table, without the rows of both inputs in Spark's state."""
+    return incremental.pairs(orders, receipts, path, counted=has_transaction(), **options)

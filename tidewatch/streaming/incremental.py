@@ -32,7 +32,7 @@ from ..functions.event_time import DAY, SECOND, floor_to, micros
 from ..operators.clicks import PASS, WARNING
 from ..operators import late as late_rows
 from ..operators.orders import decided_results
-from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, match_line, one_line
+from ..operators.reconcile import MATCHED, UNMATCHED_RECEIPT, interval_join, match_line, one_line
 from ..operators.sequences import followed_within, repeated_failures
 from ..operators.windows import pane_counts, windows_of
 from . import parts
@@ -317,6 +317,49 @@ def matches(
     return in_event_order(line, path, delay_s, results, carry, "is_receipt", idle_s, take_late=True)
 
 
+def pairs(
+    pays: DataFrame, receipts: DataFrame, path: str, receipt_before_s: int = 3, receipt_after_s: int = 5,
+    delay_s: int = 0, key: str = "tx_id", pay_id: str = "pay_id", receipt_id: str = "receipt_id",
+    idle_s: int | None = None, counted: Column | None = None,
+) -> Incremental:
+    """All pairs within the interval, in the batch in which the later row of a pair comes. Carries the rows that can
+    still get a partner. Pays that are not ``counted`` move the time only."""
+    if counted is not None:
+        pays = pays.withColumn(key, F.when(counted, F.col(key)))
+    line = one_line(pays, receipts, key, pay_id, receipt_id)
+    spark = line.sparkSession
+    before_us, after_us = receipt_before_s * SECOND, receipt_after_s * SECOND
+
+    def met(pay_rows: DataFrame, receipt_rows: DataFrame) -> DataFrame:
+        rows = [df.withColumn("ts", F.timestamp_micros("us")) for df in (pay_rows.where("NOT is_receipt"), receipt_rows.where("is_receipt"))]
+        return interval_join(*rows, receipt_before_s, receipt_after_s, key, "pay_id", "receipt_id")
+
+    nothing = spark.createDataFrame([], line.schema)
+    schema = met(nothing, nothing).schema
+
+    def work(batch: DataFrame, number: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        before, reached, behind = _advance(batch, path, number, delay_s, "is_receipt", idle_s)
+        if behind:
+            _write(batch.where(~(F.coalesce("us", F.lit(NEVER)) > before)), _part(path, "late", number))
+        # Without a key a row meets none.
+        fresh = batch.where((F.col("us") > before) & F.col(key).isNotNull())
+        rows = fresh
+        found = met(fresh, fresh)
+        if number > 0:
+            waiting = spark.read.schema(line.schema).parquet(_part(path, "open", number - 1))
+            rows = fresh.unionByName(waiting)
+            found = found.unionByName(met(fresh, waiting)).unionByName(met(waiting, fresh))
+        _write(found, _part(path, "rows", number))
+        wait = F.when(F.col("is_receipt"), F.lit(before_us)).otherwise(F.lit(after_us))
+        _write(rows.where(F.col("us") + wait > reached), _part(path, "open", number))
+        batch.unpersist()
+        _settle(spark, path, number, schema, line.schema)
+
+    writer = line.writeStream.foreachBatch(work).option("checkpointLocation", f"{path}/checkpoint")
+    return Incremental(writer, path, schema, line.schema)
+
+
 def click_cap(
     clicks: DataFrame, path: str, limit: int = 100, strict: bool = False, delay_s: int = 0,
     keys: tuple[str, ...] = ("user_id", "ad_id"), arrival: str = "arrival", clock: str | None = None,

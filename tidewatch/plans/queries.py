@@ -292,24 +292,19 @@ def stream_unique_visitors(events):
     return sinks.table_of(stream_jobs.unique_visitors(tables.behaviors(events), view=tables.VIEW))
 
 
-@query(tables.closed_event_stream)
-def stream_hot_items(events):
-    counts = stream_jobs.item_views(tables.behaviors(events), view=tables.VIEW)
-    spark = events.sparkSession
-    folder = sinks.shared_folder(spark)
-    writer = sinks.to_top_per_window(counts, "item_id", 3, f"{folder}/rows", f"{folder}/checkpoint")
-    ranked = "window_end bigint, rank int, item_id bigint, cnt bigint"
-    return sinks.batches_table(writer, spark, f"{folder}/rows", ranked).select(
-        "window_end", "rank", "item_id", "cnt"
-    )
-
-
 def finished(job: Incremental, spark: SparkSession) -> DataFrame:
     sinks.run_available(job.writer)
     job.finish()
     return job.read(spark)
 
 
+@query(tables.event_stream)
+def stream_hot_items(events):
+    spark = events.sparkSession
+    return finished(stream_jobs.hot_items(
+        tables.behaviors(events), sinks.shared_folder(spark), view=tables.VIEW), spark)
+
+
 @query(tables.event_stream)
 def stream_hot_pages(events):
     """Windows of ten minutes, one per ten seconds, with corrections by rows up to a minute late."""

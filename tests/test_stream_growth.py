@@ -8,7 +8,8 @@ from streams import as_stream, rows, rows_with_nulls
 from tidewatch.functions.event_time import SECOND, watermarked
 from tidewatch.operators import clicks as batch_clicks
 from tidewatch.operators import reconcile as batch_reconcile
-from tidewatch.plans import driver_tables
+from tidewatch.operators import windows as batch_windows
+from tidewatch.plans import driver_tables, stream_jobs
 from tidewatch.streaming import clicks, incremental, sinks
 
 START = 1_700_000_000 * SECOND
@@ -58,6 +59,18 @@ def test_pairs_keep_no_rows_in_sparks_state(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "o/open/batch=4")).count() < 60
 
 
+def test_visitors_keep_no_rows_in_sparks_state(spark, tmp_path):
+    n, rng = 500, np.random.default_rng(6)
+    pdf = pd.DataFrame({"user_id": rng.integers(0, 40, n), "behavior": rng.choice(["pv", "buy"], n), "us": START + np.arange(n) * 30 * SECOND})
+    stream = as_stream(spark, pdf, str(tmp_path / "in"), 4)
+    job = stream_jobs.visitor_table(stream, str(tmp_path / "o"), view="pv")
+    assert spark_state(sinks.run_available(job.writer, LIMIT_S)) == []
+    job.finish()
+    table = spark.read.parquet(str(tmp_path / "in")).withColumn("ts", F.timestamp_micros("us"))
+    want = batch_windows.distinct_per_window(table.where("behavior = 'pv'"), "user_id", 3600)
+    assert rows(want, *want.columns) == rows(job.read(spark), *want.columns)
+
+
 def test_replayed_batches_do_not_overlap_in_time(spark, tmp_path):
     """However many rows a range gets: what comes behind the watermark is lost."""
     table = spark.range(3000).select(F.timestamp_micros(START + (F.col("id") * 7919 % 3000) * 1000).alias("ts"), F.col("id"))

@@ -287,17 +287,19 @@ def stream_page_views(events):
     return sinks.table_of(stream_jobs.page_views(tables.behaviors(events), view=tables.VIEW))
 
 
-@query(tables.closed_event_stream)
-def stream_unique_visitors(events):
-    return sinks.table_of(stream_jobs.unique_visitors(tables.behaviors(events), view=tables.VIEW))
-
-
 def finished(job: Incremental, spark: SparkSession) -> DataFrame:
     sinks.run_available(job.writer)
     job.finish()
     return job.read(spark)
 
 
+@query(tables.event_stream)
+def stream_unique_visitors(events):
+    spark = events.sparkSession
+    return finished(stream_jobs.visitor_table(
+        tables.behaviors(events), sinks.shared_folder(spark), view=tables.VIEW), spark)
+
+
 @query(tables.event_stream)
 def stream_hot_items(events):
     spark = events.sparkSession

@@ -4,6 +4,7 @@ delays are those of the inputs: 0 for ascending times."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.event_time import watermarked, where_watermarked
 from ..functions.filters import has_transaction, is_behavior, is_not_behavior, is_page
@@ -33,6 +34,13 @@ def unique_visitors(behaviors: DataFrame, size_s: int = HOUR_S, view: str = VIEW
     return windows.distinct_per_window(views, "user_id", size_s)
 
 
+def visitor_table(behaviors: DataFrame, path: str, size_s: int = HOUR_S, view: str = VIEW, delay_s: int = 0) -> Incremental:
+    """The same as a table, without a row of Spark's state for each window and visitor."""
+    return incremental.window_counts(
+        behaviors, path, ["user_id"], size_s, size_s, delay_s, counted=is_behavior(view),
+        change=lambda visitors: visitors.groupBy("window_end").agg(F.count(F.lit(1)).alias("cnt")))
+
+
 def page_hits(
     log: DataFrame, size_s: int = 600, slide_s: int = 10, delay_s: int = 1, lateness_s: int = 60
 ) -> DataFrame:
